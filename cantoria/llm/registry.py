@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from ..session import checkpointed
+from . import token_files
+from .bpe import WordTableBpe
 from .chunks import table
 from .suffix_dedup import SuffixDedup
 
 
+def op2_bpe(spark, sf_dir):
+    return WordTableBpe(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).digests()
+
+
 def op3_suffix_dedup(spark, sf_dir):
     return SuffixDedup(table(spark, sf_dir, "documents"), length=50).digests()
 
 
+def op4_token_files(spark, sf_dir):
+    folder = token_files.shared_folder(spark)
+    manifest = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder, ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return token_files.read(checkpointed(manifest), folder)
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
