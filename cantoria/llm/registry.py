@@ -8,6 +8,7 @@ from ..session import checkpointed
 from . import token_files
 from .bpe import WordTableBpe
 from .chunks import table
+from .minhash import NearDuplicates
 from .suffix_dedup import SuffixDedup
 
 
@@ -25,6 +26,10 @@ def op4_token_files(spark, sf_dir):
     return token_files.read(checkpointed(manifest), folder)
 
 
+def op5_minhash(spark, sf_dir):
+    return NearDuplicates(table(spark, sf_dir, "documents"), k=3, percent=85, bands=32, rows=6).components()
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
