@@ -13,6 +13,7 @@ from .chunks import table
 from .decontaminate import Decontaminate
 from .line_dedup import LineDedup
 from .minhash import NearDuplicates
+from .pii import Surrogates
 from .quality_classifier import QualityClassifier
 from .quality_rules import QualityRules
 from .suffix_dedup import SuffixDedup
@@ -48,6 +49,10 @@ def op7_decontaminate(spark, sf_dir):
     return Decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least=5, percent=50).documents()
 
 
+def op8_pii(spark, sf_dir):
+    return Surrogates(table(spark, sf_dir, "documents"), key="cantoria").texts()
+
+
 def op9_quality_rules(spark, sf_dir):
     trusted = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("trusted"))
     return QualityRules(table(spark, sf_dir, "documents"), trusted).judged().drop("tie")
