@@ -104,7 +104,7 @@ class Items:
 
     def covered(self, batch) -> Iterator[tuple[int, int, int, int]]:
         """(row, item, covered words, item's words) for each row that shares a seed with an item."""
-        words, first = word_hashes(text_of(batch))
+        words, first = word_hashes(text_of(batch).fill_null(""))
         pairs: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for n, (hashes, owner, place) in self.by_length.items():
             runs = rolling(words, n)
@@ -132,12 +132,38 @@ class Decontaminate:
     """
 
     def __init__(self, docs: DataFrame, items: DataFrame, least: int = 5, percent: int = 50, block_bytes: int = BLOCK_BYTES):
+        self.whole = docs
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         self.least, self.percent = least, percent
         self.items = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
         self.size = self.items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.blocks = max(1, -(-self.size // block_bytes))
 
+    def _block(self, block: int):
+        """The items of one block, sent to every task."""
+        own = self.items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(self.blocks)) == block) if self.blocks > 1 else self.items
+        return own.sparkSession.sparkContext.broadcast(sorted(map(tuple, own.collect()), key=lambda r: (r[0] is not None, r)))  # block_bytes or so
+
+    def clean(self) -> DataFrame:
+        """The documents that aren't contaminated, with all their columns."""
+        least, percent, out = self.least, self.percent, self.whole
+
+        def without(sent):
+            def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                items = Items(sent.value, least)
+                for batch in batches:
+                    for piece in slices(batch, "text"):
+                        good = np.ones(piece.num_rows, bool)
+                        for r, _, covered, size in items.covered(piece):
+                            good[r] &= 100 * covered < percent * size
+                        yield piece.filter(pa.array(good))
+
+            return judge
+
+        for block in range(self.blocks):
+            out = out.mapInArrow(without(self._block(block)), out.schema)
+        return out
+
     def documents(self) -> DataFrame:
         """doc_id, contaminated, kept, n_items (test items covered), coverage (largest share of any item), items (their ids): a row for each document."""
         least, percent = self.least, self.percent
@@ -145,8 +171,7 @@ class Decontaminate:
         keyed = self.docs.withColumn("tie", F.xxhash64("text"))
 
         def against(block: int) -> DataFrame:
-            own = self.items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(self.blocks)) == block) if self.blocks > 1 else self.items
-            sent = keyed.sparkSession.sparkContext.broadcast(sorted(map(tuple, own.collect()), key=lambda r: (r[0] is not None, r)))  # block_bytes or so
+            sent = self._block(block)
 
             def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 items = Items(sent.value, least)

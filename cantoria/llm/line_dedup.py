@@ -16,18 +16,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Fixed value: what a blank line may hold.
+BLANK = " \t\r\x0b\x0c"
+
+
 def _doubled(names: Column, step: Column | int) -> Column:
     """Names of the runs made of the run at each place and the one `step` further on; where there is none, the run is dropped."""
     return F.transform(
         F.slice(names, 1, F.greatest(F.size(names) - step, F.lit(0))),
-        lambda x, i: F.struct(F.xxhash64(x["a"], names[i + step]["a"]).alias("a"), F.xxhash64(x["b"], names[i + step]["b"], F.lit(1)).alias("b")),
+        lambda x, i: F.struct(
+            F.xxhash64(x["a"], names[i + step]["a"]).alias("a"),
+            F.xxhash64(x["b"], names[i + step]["b"], F.lit(1)).alias("b"),
+            x["begin"].alias("begin"),
+            names[i + step]["end"].alias("end"),
+        ),
     )
 
 
+def _written(line: Column) -> Column:
+    return F.length(F.btrim(line, F.lit(BLANK))) > 0
+
+
 def _line_names(text: Column) -> Column:
-    """The ids of the lines that are not blank."""
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(" \t\r\x0b\x0c"))) > 0)
-    return F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit("second"), x).alias("b")))
+    """The ids of the lines that are not blank, and their places among all lines."""
+    named = F.transform(F.split(text, "\n"), lambda x, i: F.when(_written(x), F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit("second"), x).alias("b"), i.alias("begin"), i.alias("end"))))
+    return F.filter(named, lambda x: x.isNotNull())
 
 
 class LineDedup:
@@ -42,20 +55,20 @@ class LineDedup:
     def __init__(self, docs: DataFrame, least_lines: int = 2):
         self.docs, self.least = docs, least_lines
         text = F.coalesce(F.col("text"), F.lit(""))
-        self.keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
+        self.keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"), F.struct("*").alias("row"))
 
     def _later(self) -> DataFrame:
-        """(doc_id, tie, at): starts, among the lines not blank, of runs that stand earlier."""
+        """(doc_id, tie, at, begin, end): runs of `least` lines that stand earlier; at counts the lines not blank, begin and end all."""
         width, runs = 1, self.keyed.select("doc_id", "tie", _line_names(F.col("text")).alias("names"))
         while 2 * width <= self.least:
             runs = runs.withColumn("names", _doubled(F.col("names"), width))
             width *= 2
         if width < self.least:
             runs = runs.withColumn("names", _doubled(F.col("names"), self.least - width))
-        starts = runs.select("doc_id", "tie", F.posexplode("names").alias("at", "name")).select("doc_id", "tie", "at", "name.a", "name.b")
+        starts = runs.select("doc_id", "tie", F.posexplode("names").alias("at", "name")).select("doc_id", "tie", "at", "name.*")
         place = F.struct("doc_id", "tie", "at")
         shared = starts.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        return starts.join(shared, ["a", "b"]).filter(place > F.col("first")).select("doc_id", "tie", "at")
+        return starts.join(shared, ["a", "b"]).filter(place > F.col("first")).select("doc_id", "tie", "at", "begin", "end")
 
     def runs(self) -> DataFrame:
         """(doc_id, start, n_lines): the maximal runs that are deleted, by place among the lines not blank."""
@@ -65,19 +78,32 @@ class LineDedup:
         marked = self._later().withColumn("new", (F.col("at") - F.coalesce(F.lag("at").over(w), F.lit(-self.least - 1)) > self.least).cast("int"))
         return marked.withColumn("run", F.sum("new").over(w)).groupBy("doc_id", "tie", "run").agg(F.min("at").alias("start"), (F.max("at") - F.min("at") + self.least).alias("n_lines")).select("doc_id", "start", "n_lines")
 
+    def _cleaned(self) -> DataFrame:
+        """Each document's row, with its text without later copies."""
+        spans = F.transform(F.collect_list(F.struct("begin", "end")), lambda x: F.sequence(x["begin"], x["end"]))
+        found = self._later().groupBy(F.col("doc_id").alias("found_id"), F.col("tie").alias("found_tie")).agg(F.array_distinct(F.flatten(spans)).alias("gone"))
+        joined = self.keyed.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("tie") == F.col("found_tie")), "left")
+        lines, gone = F.split("text", "\n"), F.col("gone")
+        stays = lambda x, i: ~(F.array_contains(gone, i) & _written(x))
+        n_lines = F.size(F.filter(lines, _written)).cast("long")
+        n_kept = F.size(F.filter(F.filter(lines, stays), _written)).cast("long")
+        return joined.select(
+            "row",
+            "doc_id",
+            F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, stays), "\n")).alias("text"),
+            n_lines.alias("n_lines"),
+            F.when(gone.isNull(), 0).otherwise(n_lines - n_kept).cast("long").alias("n_removed"),
+        )
+
     def texts(self) -> DataFrame:
         """doc_id, text without later copies, n_lines, n_removed: a row for each document."""
-        least = self.least
-        found = self._later().groupBy("doc_id", "tie").agg(F.array_distinct(F.collect_list("at")).alias("at"))
-        found = found.select(F.col("doc_id").alias("found_id"), F.col("tie").alias("found_tie"), F.array_distinct(F.flatten(F.transform("at", lambda x: F.sequence(x, x + least - 1)))).alias("gone"))
-        joined = self.keyed.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("tie") == F.col("found_tie")), "left")
-        lines = F.split("text", "\n")
-        written = F.transform(lines, lambda x: (F.length(F.btrim(x, F.lit(" \t\r\x0b\x0c"))) > 0).cast("int"))
-        # the place of each line among those not blank, by a running count
-        place = F.aggregate(written, F.struct(F.array().cast("array<int>").alias("p"), F.lit(0).alias("n")), lambda s, x: F.struct(F.concat(s["p"], F.array(F.when(x == 1, s["n"]).otherwise(F.lit(-1)))).alias("p"), (s["n"] + x).alias("n")), lambda s: s["p"])
-        kept = F.array_join(F.transform(F.filter(F.arrays_zip(lines.alias("l"), place.alias("p")), lambda x: ~F.array_contains(F.col("gone"), x["p"])), lambda x: x["l"]), "\n")
-        gone = F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long")
-        return joined.select("doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"), F.size(F.filter(written, lambda x: x == 1)).cast("long").alias("n_lines"), gone.alias("n_removed"), "tie")
+        return self._cleaned().drop("row")
+
+    def apply(self) -> DataFrame:
+        """The documents with their own columns and their texts without later copies; those of which no line is left go."""
+        left = self._cleaned().filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+        new = {"text": F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("row.text")), "n_chars": F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("row.n_chars")) if "n_chars" in self.docs.columns else None}
+        return left.select(*(new[c].cast(self.docs.schema[c].dataType).alias(c) if new.get(c) is not None else F.col("row").getField(c).alias(c) for c in self.docs.columns))
 
 
 #: DuckDB, for the lines of documents: the same rule by windows of two lines.

@@ -248,3 +248,8 @@ class NearDuplicates:
         out = described.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
         component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
         return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+    def one_of_each(self, docs: DataFrame) -> DataFrame:
+        """Of the documents it was built on, with all their columns, those of the smallest doc_id of their component."""
+        kept = self.components().filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+        return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")

@@ -88,25 +88,42 @@ class QualityRules:
             return None
         return np.log((good + 1) / (good.sum() + len(good))) - np.log((raw + 1) / (raw.sum() + len(raw)))
 
+    def _judge(self):
+        ratios, threshold = self.plain.sparkSession.sparkContext.broadcast(self.ratios()), self.threshold
+
+        def judge(piece) -> list[np.ndarray]:
+            llr, c = ratios.value, Counts(piece)
+            b = bins(c.data)
+            ok = inside(c.offsets, len(b))
+            each, one = np.zeros(len(c.data)), np.zeros(len(c.data))
+            if llr is not None:
+                each[: len(b)] = np.where(ok, llr[b], 0)
+            one[: len(b)] = ok
+            score = np.round(c.per_row(each) / np.maximum(c.per_row(one), 1), 9)
+            failed = (c.n_words < 50) | (100 * c.n_repeat_words > 50 * c.n_words)
+            kept = ~failed & ((score >= threshold) | (llr is None))
+            return [c.n_words, c.word_chars, c.n_symbols, c.n_dup_lines, c.n_repeat_words, failed, kept, score]
+
+        return judge
+
     def judged(self) -> DataFrame:
         """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score."""
-        ratios, threshold = self.plain.sparkSession.sparkContext.broadcast(self.ratios()), self.threshold
+        judge, names = self._judge(), ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for piece in slices(batch, "text"):
+                    yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *map(pa.array, judge(piece))], names)
+
+        return self.plain.mapInArrow(rows, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double")
 
-        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            llr = ratios.value
+    def kept(self) -> DataFrame:
+        """The documents that are kept, with all their columns."""
+        judge = self._judge()
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for piece in slices(batch, "text"):
-                    c = Counts(piece)
-                    b = bins(c.data)
-                    ok = inside(c.offsets, len(b))
-                    each, one = np.zeros(len(c.data)), np.zeros(len(c.data))
-                    if llr is not None:
-                        each[: len(b)] = np.where(ok, llr[b], 0)
-                    one[: len(b)] = ok
-                    score = np.round(c.per_row(each) / np.maximum(c.per_row(one), 1), 9)
-                    failed = (c.n_words < 50) | (100 * c.n_repeat_words > 50 * c.n_words)
-                    kept = ~failed & ((score >= threshold) | (llr is None))
-                    yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("tie"), *(pa.array(x) for x in (c.n_words, c.word_chars, c.n_symbols, c.n_dup_lines, c.n_repeat_words, failed, kept, score))], names)
-
-        names = ["doc_id", "tie", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
-        return self.plain.withColumn("tie", F.xxhash64("text")).mapInArrow(judge, "doc_id long, tie long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, score double")
+                    yield piece.filter(pa.array(judge(piece)[-2]))
+
+        return self.docs.mapInArrow(rows, self.docs.schema)

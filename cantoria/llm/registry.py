@@ -20,7 +20,7 @@ from .suffix_dedup import SuffixDedup
 
 
 def op1_line_dedup(spark, sf_dir):
-    return LineDedup(table(spark, sf_dir, "documents"), least_lines=2).texts().drop("tie")
+    return LineDedup(table(spark, sf_dir, "documents"), least_lines=2).texts()
 
 
 def op2_bpe(spark, sf_dir):
@@ -55,7 +55,7 @@ def op8_pii(spark, sf_dir):
 
 def op9_quality_rules(spark, sf_dir):
     trusted = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("trusted"))
-    return QualityRules(table(spark, sf_dir, "documents"), trusted).judged().drop("tie")
+    return QualityRules(table(spark, sf_dir, "documents"), trusted).judged()
 
 
 def op10_chat(spark, sf_dir):
