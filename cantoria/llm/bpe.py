@@ -10,25 +10,30 @@ from __future__ import annotations
 
 import hashlib
 import os
-import zlib
+import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import chunked, pack, unpack
 from .suffix_dedup import _rows, _runs
+from .textbytes import RangeHasher, slices, text_buffer
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 WORDS = "chunk int, bucket int, words binary"
-CODES = "chunk int, bucket int, words binary, sizes binary, ids binary"
-#: Fixed value: the split pattern of the word-level vocabulary.
+CODES = "chunk int, bucket int, ids binary, pieces binary"
+#: The split pattern of the word-level vocabulary, over all characters (for regex) and over those of PLAIN (for re).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Characters below U+0250, but for control characters: str.lower and this pattern treat them as the tokenizer does, and they are composed already.
-PLAIN = regex.compile(r"[\t-\r\x20-\x7e\xa0-ɏ]*")
+LETTERS, NUMBERS = "a-zA-ZªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+PLAIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
+#: Anything but characters below U+0250 that aren't control characters: those str.lower and this pattern treat as the tokenizer does, and they are composed already.
+NOT_PLAIN = re.compile(r"[^\t-\r\x20-\x7e\xa0-ɏ]")
 
 
 @lru_cache(maxsize=4)
@@ -53,11 +58,11 @@ def splitter(path: str):
     tok = tokenizer(path)
     special = [x.content for x in tok.get_added_tokens_decoder().values()]
     cut = regex.compile("(" + "|".join(regex.escape(x) for x in special) + ")") if special else None
-    words = regex.compile(WORD_PATTERN)
+    find = PLAIN_WORDS.findall
 
     def plain(text: str) -> list[str]:
-        if PLAIN.fullmatch(text):
-            return words.findall(text.lower())
+        if not NOT_PLAIN.search(text):
+            return find(text.lower())
         text = tok.normalizer.normalize_str(text)
         return [text[a:z] for _, (a, z) in tok.pre_tokenizer.pre_tokenize_str(text)]
 
@@ -72,15 +77,31 @@ def splitter(path: str):
     return split
 
 
-def _texts(table: pa.Table):
-    for batch in table.select(["doc_id", "text"]).to_batches(max_chunksize=256):
-        yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+def _split(table: pa.Table, path: str) -> Iterator[tuple[list, np.ndarray, pa.Array]]:
+    """(doc_ids, number of words before each document and in all, the words in order) of slices of a chunk."""
+    split = splitter(path)
+    for piece in slices(table, "text"):
+        words = [split(text) for text in piece.column("text").to_pylist()]
+        yield piece.column("doc_id").to_pylist(), np.append(0, np.cumsum([len(w) for w in words])), pa.array([w for own in words for w in own], pa.string())
+
+
+def _dealt(words: list[pa.Array], buckets: int) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words, sorted by bucket and word, and their buckets."""
+    own = pa.chunked_array(words, pa.string()).unique()
+    data, at = text_buffer(own)
+    to = (RangeHasher(data).ranges(at[:-1], at[1:]) % np.uint64(buckets)).astype(np.int64)
+    order = pc.sort_indices(pa.table({"b": to, "w": own}), [("b", "ascending"), ("w", "ascending")])
+    return own.take(order), to[order.to_numpy()]
 
 
 def _listed(words) -> bytes:
     return pack(np.frombuffer("\n".join(words).encode(), np.uint8), True)
 
 
+def _lines(raw: bytes) -> list[str]:
+    return bytes(unpack(raw, np.uint8, True)).decode().split("\n")
+
+
 class WordTableBpe:
     """Encodes documents (doc_id, text) with a BPE tokenizer whose words don't depend on each other.
 
@@ -98,57 +119,59 @@ class WordTableBpe:
         path, buckets = self.path, self.buckets
 
         def announce(table: pa.Table) -> pa.Table:
-            split, words = splitter(path), set()
-            for _, text in _texts(table):
-                words.update(split(text))
-            words = sorted(words)
-            to = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
-            order, chunk = np.argsort(to, kind="stable"), table.column("chunk")[0].as_py()
-            return _rows([{"chunk": chunk, "bucket": b, "words": _listed([words[i] for i in order[a:z].tolist()])} for b, a, z in _runs(to[order])], WORDS)
+            words, to = _dealt([w for _, _, w in _split(table, path)], buckets)
+            chunk = table.column("chunk")[0].as_py()
+            return _rows([{"chunk": chunk, "bucket": b, "words": _listed(words[a:z].to_pylist())} for b, a, z in _runs(to)], WORDS)
 
         def encode(table: pa.Table) -> pa.Table:
-            rows = table.to_pylist()
-            lists = [bytes(unpack(r["words"], np.uint8, True)).decode().split("\n") for r in rows]
-            index: dict[str, int] = {}
-            at = [np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words)) for words in lists]
-            tok, words, codes = tokenizer(path), list(index), []
+            rows = table.select(["chunk", "bucket"]).to_pylist()
+            lists = [pa.array(_lines(raw.as_py())) for raw in table.column("words")]
+            own = pa.chunked_array(lists, pa.string()).unique()  # each distinct word once
+            tok, piece, words, ids = tokenizer(path), pieces(path), own.to_pylist(), []
             for i in range(0, len(words), 4096):
-                codes += [np.array(x.ids, np.int32) for x in tok.encode_batch(words[i : i + 4096], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, codes), np.int32, len(codes))
+                ids += [x.ids for x in tok.encode_batch(words[i : i + 4096], add_special_tokens=False)]
+            coded = pa.array([" ".join(map(str, x)) for x in ids])
+            shown = pa.array([" ".join([piece[i] for i in x]) for x in ids])
             out = []
-            for r, own in zip(rows, at, strict=True):
-                ids = np.concatenate([codes[i] for i in own.tolist()])
-                out.append({"chunk": r["chunk"], "bucket": r["bucket"], "words": r["words"], "sizes": pack(sizes[own], True), "ids": pack(ids, True)})
+            for r, words in zip(rows, lists, strict=True):
+                at = pc.index_in(words, own)
+                out.append(r | {"ids": _listed(coded.take(at).to_pylist()), "pieces": _listed(shown.take(at).to_pylist())})
             return _rows(out, CODES)
 
         return self.chunks.groupBy("chunk").applyInArrow(announce, WORDS).groupBy("bucket").applyInArrow(encode, CODES)
 
     def _apply(self, build, schema: str) -> DataFrame:
-        path = self.path
+        path, buckets = self.path, self.buckets
 
         def place(table: pa.Table, told: pa.Table) -> pa.Table:
             if not table.num_rows:
                 return build.schema.empty_table()
-            coded = {}
-            for r in told.to_pylist():
-                words = bytes(unpack(r["words"], np.uint8, True)).decode().split("\n")
-                ids, sizes = unpack(r["ids"], np.int32, True).tolist(), unpack(r["sizes"], np.int32, True)
-                ends = np.cumsum(sizes)
-                coded.update(zip(words, (ids[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)), strict=True))
-            made, split = build(coded, pieces(path)), splitter(path)
-            return pa.Table.from_pylist([{"doc_id": doc_id} | made(split(text)) for doc_id, text in _texts(table)], schema=build.schema)
+            parts = list(_split(table, path))
+            words, to = _dealt([w for _, _, w in parts], buckets)
+            codes = {r["bucket"]: r for r in told.to_pylist()}
+            found = [codes[b] for b, _, _ in _runs(to)]
+            # a blank after each word's ids and pieces: a document's are then one range of bytes, less its last
+            ids, shown = (pa.array([x + " " for r in found for x in _lines(r[c])], pa.large_string()) for c in ("ids", "pieces"))
+            sizes = np.array([x.count(" ") + 1 for r in found for x in _lines(r["ids"])], np.int64)
+            made = []
+            for doc_ids, first, own in parts:
+                at = pc.index_in(own, words)
+                ends = np.append(0, np.cumsum(sizes[at.to_numpy()]))[first] if len(own) else np.zeros(len(first), np.int64)
+                views = []
+                for column in (ids, shown):
+                    data, offsets = text_buffer(column.take(at))
+                    views.append((memoryview(data), offsets[first]))
+                for i, doc_id in enumerate(doc_ids):
+                    made.append({"doc_id": doc_id, "n_tokens": int(ends[i + 1] - ends[i])} | build(*(v[a : max(a, z - 1)] for v, a, z in ((v, int(o[i]), int(o[i + 1])) for v, o in views))))
+            return pa.Table.from_pylist(made, schema=build.schema)
 
         return self.chunks.groupBy("chunk").cogroup(self.codes().groupBy("chunk")).applyInArrow(place, schema)
 
     def digests(self) -> DataFrame:
         """doc_id, n_tokens and SHA-256 of the ids and of the decoded text."""
 
-        def build(coded: dict, piece: dict):
-            sizes = {w: len(ids) for w, ids in coded.items()}
-            ids_of = {w: " ".join(map(str, ids)) for w, ids in coded.items()}
-            text_of = {w: " ".join([piece[i] for i in ids]) for w, ids in coded.items()}
-            sha = hashlib.sha256
-            return lambda words: {"n_tokens": sum(map(sizes.__getitem__, words)), "ids_sha256": sha(" ".join(map(ids_of.__getitem__, words)).encode()).hexdigest(), "decoded_sha256": sha(" ".join(map(text_of.__getitem__, words)).encode()).hexdigest()}
+        def build(ids: memoryview, text: memoryview) -> dict:
+            return {"ids_sha256": hashlib.sha256(ids).hexdigest(), "decoded_sha256": hashlib.sha256(text).hexdigest()}
 
         build.schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
         return self._apply(build, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -156,14 +179,8 @@ class WordTableBpe:
     def encoded(self) -> DataFrame:
         """doc_id, n_tokens, ids and the decoded text."""
 
-        def build(coded: dict, piece: dict):
-            text_of = {w: " ".join([piece[i] for i in ids]) for w, ids in coded.items()}
-
-            def made(words):
-                ids = [i for w in words for i in coded[w]]
-                return {"n_tokens": len(ids), "ids": ids, "decoded": " ".join([text_of[w] for w in words])}
-
-            return made
+        def build(ids: memoryview, text: memoryview) -> dict:
+            return {"ids": np.fromstring(bytes(ids), np.int32, sep=" "), "decoded": bytes(text).decode()}
 
         build.schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
         return self._apply(build, "doc_id long, n_tokens long, ids array<int>, decoded string")

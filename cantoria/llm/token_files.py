@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import PLAIN, tokenizer
+from .bpe import NOT_PLAIN, tokenizer
 from .chunks import NO_ID
 
 INDEX = np.dtype([("offset", "<u8"), ("doc_id", "<i8"), ("tokens", "<u4")])
@@ -82,7 +82,7 @@ def encoder(path: str, ranks_path: str | None):
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
     fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     special = [x.content for x in slow.get_added_tokens_decoder().values()]
-    return lambda text: whole(text) if not PLAIN.fullmatch(text) or any(s in text for s in special) else fast(text)
+    return lambda text: whole(text) if NOT_PLAIN.search(text) or any(s in text for s in special) else fast(text)
 
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int = 0, ranks_path: str | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
