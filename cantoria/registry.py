@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-FLAGSHIP = ""
+from .plans import corpus, registered, segments, similarity, talk
+
+FLAGSHIP = "corpus_profile"
+MODULES = (corpus, segments, talk, similarity)
 
 
 def queries() -> dict:
-    return {}
+    return dict(registered.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registered.SQL)
