@@ -93,7 +93,7 @@ def matched_ends(predicted: DataFrame, reference: DataFrame, keys: list[str], co
 
     def match(key, p: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         ps = sorted(p["end"].tolist()) if len(p) else []
-        rs = sorted(zip(r["start"].tolist(), r["end"].tolist(), strict=True)) if len(r) else []
+        rs = sorted(zip(r["ref_start"].tolist(), r["ref_end"].tolist(), strict=True)) if len(r) else []
         i = tp = fp = early = missing = 0
         for start, end in rs:
             while i < len(ps) and ps[i] < start:
@@ -111,4 +111,6 @@ def matched_ends(predicted: DataFrame, reference: DataFrame, keys: list[str], co
         return pd.DataFrame([(*key, tp, fp, early + missing, early, missing)], columns=[*keys, "tp", "fp", "fn", "early", "missing"])
 
     kinds = ", ".join(f"{k} {predicted.schema[k].dataType.simpleString()}" for k in keys)
-    return predicted.groupBy(*keys).cogroup(reference.groupBy(*keys)).applyInPandas(match, f"{kinds}, tp long, fp long, fn long, early long, missing long")
+    # names of their own: with both sides from one table, columns of one name would be lost on the right
+    named = reference.select(*(F.col(k).alias(f"ref_{k}") for k in (*keys, "start", "end")))
+    return predicted.groupBy(*keys).cogroup(named.groupBy(*(f"ref_{k}" for k in keys))).applyInPandas(match, f"{kinds}, tp long, fp long, fn long, early long, missing long")
