@@ -79,7 +79,8 @@ class QualityRules:
             return pa.table({"slice": table.column("slice")[:1], "raw": pa.array([total[0].tobytes()], pa.binary()), "good": pa.array([total[1].tobytes()], pa.binary())})
 
         schema = "slice int, raw binary, good binary"
-        marked = self.plain.join(self.trusted, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+        # always the same join: it would be a broadcast on small tables only, and grow by leaps
+        marked = self.plain.join(self.trusted.hint("merge"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
         summed = marked.mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).collect()  # SLICES rows of fixed size
         if not summed:
             return None
