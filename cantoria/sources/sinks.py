@@ -92,7 +92,7 @@ def tar_shards(df: DataFrame, shard: str = "shard_id", member: str = "member", d
                 tar.addfile(info, io.BytesIO(content))
         return pd.DataFrame([(key[0], out.getvalue(), len(pdf))], columns=[shard, "archive", "n"])
 
-    return df.select(shard, member, data, order).groupBy(shard).applyInPandas(lambda k, p: build(k, p.sort_values(order)), f"{shard} {kind}, archive binary, n long")
+    return df.select(*dict.fromkeys((shard, member, data, order))).groupBy(shard).applyInPandas(lambda k, p: build(k, p.sort_values(order)), f"{shard} {kind}, archive binary, n long")
 
 
 def save_archives(archives: DataFrame, folder: str, shard: str = "shard_id") -> DataFrame:
