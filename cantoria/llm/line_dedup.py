@@ -22,14 +22,11 @@ BLANK = " \t\r\x0b\x0c"
 
 def _doubled(names: Column, step: Column | int) -> Column:
     """Names of the runs made of the run at each place and the one `step` further on; where there is none, the run is dropped."""
-    return F.transform(
-        F.slice(names, 1, F.greatest(F.size(names) - step, F.lit(0))),
-        lambda x, i: F.struct(
-            F.xxhash64(x["a"], names[i + step]["a"]).alias("a"),
-            F.xxhash64(x["b"], names[i + step]["b"], F.lit(1)).alias("b"),
-            x["begin"].alias("begin"),
-            names[i + step]["end"].alias("end"),
-        ),
+    n = F.greatest(F.size(names) - step, F.lit(0))
+    return F.zip_with(
+        F.slice(names, 1, n),
+        F.slice(names, 1 + step, n),
+        lambda x, y: F.struct(F.xxhash64(x["a"], y["a"]).alias("a"), F.xxhash64(x["b"], y["b"], F.lit(1)).alias("b"), x["begin"].alias("begin"), y["end"].alias("end")),
     )
 
 
@@ -65,7 +62,8 @@ class LineDedup:
             width *= 2
         if width < self.least:
             runs = runs.withColumn("names", _doubled(F.col("names"), self.least - width))
-        starts = runs.select("doc_id", "tie", F.posexplode("names").alias("at", "name")).select("doc_id", "tie", "at", "name.*")
+        # the outer form: the plain one makes the planner filter on size(names) first, which computes all names again, several times over
+        starts = runs.select("doc_id", "tie", F.posexplode_outer("names").alias("at", "name")).filter("name is not null").select("doc_id", "tie", "at", "name.*")
         place = F.struct("doc_id", "tie", "at")
         shared = starts.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
         return starts.join(shared, ["a", "b"]).filter(place > F.col("first")).select("doc_id", "tie", "at", "begin", "end")
