@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .plans import corpus, registered, segments, similarity, talk
+from .plans import corpus, flows, registered, segments, similarity, talk
 
 FLAGSHIP = "corpus_profile"
-MODULES = (corpus, segments, talk, similarity)
+MODULES = (corpus, segments, talk, similarity, flows)
 
 
 def queries() -> dict:
