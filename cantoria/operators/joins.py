@@ -74,6 +74,18 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, value:
     return flipped.select(*left.columns, F.when(first & F.col("at_before").isNotNull(), F.col("v_before")).otherwise(F.col(value)).alias(value))
 
 
+def words_to_turns(words: DataFrame, turns: DataFrame, keys: list[str], anchor: str = "start", offset: float = 0.0) -> DataFrame:
+    """Each word with the speaker of the turn that holds its anchor (start, mid or end, plus an offset), else of the last turn begun before it, else of the first.
+
+    Words find their turns by time, however long a gap is.
+    """
+    at = {"start": F.col("start"), "end": F.col("end"), "mid": (F.col("start") + F.col("end")) / 2}[anchor] + offset
+    begun = turns.groupBy(*keys, F.col("start").alias("_at")).agg(F.max_by("speaker", F.struct("end", "speaker")).alias("speaker"))
+    found = as_of(words.withColumn("_at", at), begun, keys, "_at", ["speaker"])
+    first = turns.groupBy(*keys).agg(F.min_by("speaker", F.struct("start", "end", "speaker")).alias("_first"))
+    return found.join(first, keys, "left").withColumn("speaker", F.coalesce("speaker", "_first")).drop("_at", "_first")
+
+
 def pairs_of(df: DataFrame, keys: list[str], member: str) -> DataFrame:
     """All 2-combinations of a key's distinct members, as member_a < member_b; members are as few as speakers of a session."""
     sets = df.groupBy(*keys).agg(F.array_sort(F.collect_set(member)).alias("m"))

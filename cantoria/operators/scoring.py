@@ -508,3 +508,10 @@ def grid(parameters: dict[str, list]) -> list[dict]:
         out = [o | {name: v} for o in out for v in values]
     return out
 
+
+
+def searched_weight(candidates: DataFrame, key: str, weights: list[float], errors: str = "errors", first: str = "score", second: str = "other_score") -> DataFrame:
+    """(weight, errors): the errors of each row's best candidate by first + weight * second, summed, for each weight of a short list."""
+    aggs = [F.max_by(errors, F.struct((F.col(first) + w * F.col(second)).alias("s"), (-F.col(errors)).alias("e"))).alias(f"e{i}") for i, w in enumerate(weights)]
+    sums = candidates.groupBy(key).agg(*aggs).agg(*(F.sum(f"e{i}").alias(f"e{i}") for i in range(len(weights))))
+    return sums.select(F.explode(F.array(*(F.struct(F.lit(float(w)).alias("weight"), F.col(f"e{i}").alias("errors")) for i, w in enumerate(weights)))).alias("x")).select("x.*")

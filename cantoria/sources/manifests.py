@@ -301,3 +301,16 @@ def created_manifest(wav: DataFrame, **others: DataFrame) -> DataFrame:
     for name, df in others.items():
         out = out.join(df.select(file_stem(F.col("path")).alias("uniq_id"), F.col("path").alias(f"{name}_filepath")), "uniq_id", "left")
     return out
+
+
+def arpa(spark: SparkSession, path: str) -> DataFrame:
+    """(order, log10p, ngram, backoff) of an ARPA file; the order is the number of words."""
+    parts = F.split("value", "\t")
+    rows = spark.read.text(path).filter(F.col("value").rlike(r"^-?\d[^\t]*\t")).select(parts.alias("p"))
+    return rows.select(F.size(F.split(F.col("p")[1], " ")).alias("order"), F.col("p")[0].cast("double").alias("log10p"), F.col("p")[1].alias("ngram"), F.get("p", F.lit(2)).cast("double").alias("backoff"))
+
+
+def arpa_lexicon(spark: SparkSession, path: str, lower: bool = False) -> DataFrame:
+    """(word, spelling): the words of a language model with their letters, marks of sentence ends and unknown words left out."""
+    words = arpa(spark, path).filter((F.col("order") == 1) & ~F.col("ngram").rlike("^<.*>$")).select(F.lower("ngram").alias("word") if lower else F.col("ngram").alias("word")).distinct()
+    return words.select("word", F.array_join(F.filter(F.split("word", ""), lambda c: c != ""), " ").alias("spelling"))

@@ -70,3 +70,23 @@ def test_flows(spark, tmp_path):
     records = spark.createDataFrame([(i, f"take the {i % 50} road", f"e{i % 50}", "t1") for i in range(100)], "id long, text string, entity string, template string")
     kept, verdict = flows.records_flow(records, "id", "text", "entity", "template")
     assert kept.count() == 50 and not verdict["passed"] and verdict["exact_dup_rate"] == 0
+
+
+def test_words_of_turns(spark):
+    from cantoria.operators import joins as J
+
+    turns = spark.createDataFrame([("s", 1.0, 3.0, "A"), ("s", 10.0, 12.0, "B"), ("s", 20.0, 21.0, "A")], "k string, start double, end double, speaker string")
+    words = spark.createDataFrame([("s", 0.5, 0.9, "um"), ("s", 1.5, 2.0, "hi"), ("s", 20.5, 20.9, "far"), ("t", 0.0, 1.0, "x")], "k string, start double, end double, word string")
+    out = {r.word: r.speaker for r in J.words_to_turns(words, turns, ["k"], "mid").collect()}
+    assert out == {"um": "A", "hi": "A", "far": "A", "x": None}
+
+
+def test_language_model_files(spark, tmp_path):
+    from cantoria.operators import scoring as S
+    from cantoria.sources import manifests as M
+
+    (tmp_path / "a.arpa").write_text("\\data\\\nngram 1=3\n\n\\1-grams:\n-1.0\t<s>\t-0.3\n-0.7\tHi\t-0.2\n-0.9\tyou\n\n\\2-grams:\n-0.4\tHi you\n\n\\end\\\n")
+    assert {(r.order, r.ngram) for r in M.arpa(spark, f"{tmp_path}/a.arpa").collect()} == {(1, "<s>"), (1, "Hi"), (1, "you"), (2, "Hi you")}
+    assert {(r.word, r.spelling) for r in M.arpa_lexicon(spark, f"{tmp_path}/a.arpa", lower=True).collect()} == {("hi", "h i"), ("you", "y o u")}
+    df = spark.createDataFrame([(1, 0, -1.0, -5.0), (1, 3, -2.0, -1.0), (2, 1, -1.0, -1.0)], "id int, errors int, score double, other_score double")
+    assert {r.weight: r.errors for r in S.searched_weight(df, "id", [0.0, 1.0]).collect()} == {0.0: 1, 1.0: 4}
