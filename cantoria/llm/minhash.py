@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 from .chunks import text_of
 from .components import connected_components
-from .textbytes import RangeHasher, mix64, slices, text_buffer
+from .textbytes import RangeHasher, mix64, released, slices, text_buffer
 
 #: A-z for A-Z, and the bytes that end a word.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -205,6 +205,8 @@ class NearDuplicates:
             rows = sorted(rows.values(), key=lambda r: r["node"])
             signature = np.array([np.frombuffer(r["signature"], np.uint32) for r in rows])
             found = joining_links([r["node"] for r in rows], [np.frombuffer(r["shingles"], np.uint64) for r in rows], signature, [r["component"] for r in rows], np.array([r["query"] for r in rows]), percent, slack)
+            del rows, signature
+            released()
             return pa.table({"u": pa.array([u for u, _ in found], pa.binary()), "v": pa.array([v for _, v in found], pa.binary())})
 
         return members.join(sets, "node").groupBy("cluster", "block").applyInArrow(compare, "u binary, v binary")
@@ -252,4 +254,4 @@ class NearDuplicates:
     def one_of_each(self, docs: DataFrame) -> DataFrame:
         """Of the documents it was built on, with all their columns, those of the smallest doc_id of their component."""
         kept = self.components().filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-        return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+        return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")

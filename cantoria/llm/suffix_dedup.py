@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import chunked, ids_of, pack, text_of, unpack
-from .textbytes import RangeHasher, slices, text_buffer
+from .textbytes import RangeHasher, released, slices, text_buffer
 
 CHUNK_BYTES = 4 << 20
 #: Fragments of one anchor beyond which its strings are dealt one by one.
@@ -249,6 +249,7 @@ def spans_of_groups(table: pa.Table, length: int) -> pa.Table:
         for r, a, b in _runs(source[order]):
             pick = order[a:b]
             out.append({"chunk": rows[r]["chunk"], "bucket": rows[r]["bucket"], "kind": 1, "docs": pack(doc[s[pick]], True), "starts": pack(begin[pick], True), "ends": pack((begin + n)[pick], True)})
+    released()
     return _rows(out, SPAN)
 
 

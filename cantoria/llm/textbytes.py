@@ -6,6 +6,7 @@ that the per-byte work of the operators stays in numpy.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,7 +73,16 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch | pa.Table, column: str, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch | pa.Table]:
+def released() -> None:
+    """Gives freed memory back to the system: a worker that many stages use would else keep the most that any of them took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def slices(batch: pa.RecordBatch | pa.Table, column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch | pa.Table]:
     """Cuts a batch so that each slice holds at most this many text bytes, or one row."""
     n = batch.num_rows
     if not n:
@@ -85,3 +95,4 @@ def slices(batch: pa.RecordBatch | pa.Table, column: str, most_bytes: int = 1 <<
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most_bytes, "right")) - 1)
         yield batch.slice(at, end - at)
         at = end
+    released()
