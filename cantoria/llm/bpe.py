@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from .chunks import chunked, pack, unpack
 from .suffix_dedup import _rows, _runs
-from .textbytes import RangeHasher, slices, text_buffer
+from .textbytes import RangeHasher, released, slices, text_buffer
 
 CHUNK_BYTES = 16 << 20
 WORDS = "chunk int, bucket int, words binary"
-CODES = "chunk int, bucket int, ids binary, pieces binary"
+CODES = "chunk int, bucket int, sizes binary, ids binary"
 #: The split pattern of the word-level vocabulary, over all characters (for regex) and over those of PLAIN (for re).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LETTERS, NUMBERS = "a-zA-ZªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
@@ -52,6 +52,14 @@ def pieces(path: str) -> dict[int, str]:
     return {i: piece for piece, i in tokenizer(path).get_vocab(with_added_tokens=True).items()}
 
 
+@lru_cache(maxsize=4)
+def spelled(path: str) -> tuple[pa.Array, pa.Array]:
+    """By id, with a blank behind: its figures, and its piece (the id-to-piece table)."""
+    table = pieces(path)
+    ids = range(max(table) + 1)
+    return pa.array([f"{i} " for i in ids], pa.large_string()), pa.array([f"{table.get(i, '')} " for i in ids], pa.large_string())
+
+
 @lru_cache(maxsize=4)
 def splitter(path: str):
     """text -> the tokenizer's words; strings of special tokens are words of their own."""
@@ -94,6 +102,12 @@ def _dealt(words: list[pa.Array], buckets: int) -> tuple[pa.Array, np.ndarray]:
     return own.take(order), to[order.to_numpy()]
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places starts[i] .. starts[i] + sizes[i] for each i of `at`, one after another."""
+    n = sizes[at].astype(np.int64)
+    return np.repeat(starts[at].astype(np.int64), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
 def _listed(words) -> bytes:
     return pack(np.frombuffer("\n".join(words).encode(), np.uint8), True)
 
@@ -127,15 +141,17 @@ class WordTableBpe:
             rows = table.select(["chunk", "bucket"]).to_pylist()
             lists = [pa.array(_lines(raw.as_py())) for raw in table.column("words")]
             own = pa.chunked_array(lists, pa.string()).unique()  # each distinct word once
-            tok, piece, words, ids = tokenizer(path), pieces(path), own.to_pylist(), []
+            tok, words, ids = tokenizer(path), own.to_pylist(), []
             for i in range(0, len(words), 4096):
                 ids += [x.ids for x in tok.encode_batch(words[i : i + 4096], add_special_tokens=False)]
-            coded = pa.array([" ".join(map(str, x)) for x in ids])
-            shown = pa.array([" ".join([piece[i] for i in x]) for x in ids])
+            sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
+            flat = np.fromiter((x for own in ids for x in own), np.uint32, int(sizes.sum()))
             out = []
             for r, words in zip(rows, lists, strict=True):
-                at = pc.index_in(words, own)
-                out.append(r | {"ids": _listed(coded.take(at).to_pylist()), "pieces": _listed(shown.take(at).to_pylist())})
+                at = pc.index_in(words, own).to_numpy()
+                out.append(r | {"sizes": pack(sizes[at], True), "ids": pack(flat[_ranges(np.cumsum(sizes) - sizes, sizes, at)].view(np.uint8).reshape(-1, 4).T, True)})
+            del lists, own, words, ids
+            released()
             return _rows(out, CODES)
 
         return self.chunks.groupBy("chunk").applyInArrow(announce, WORDS).groupBy("bucket").applyInArrow(encode, CODES)
@@ -150,28 +166,29 @@ class WordTableBpe:
             words, to = _dealt([w for _, _, w in parts], buckets)
             codes = {r["bucket"]: r for r in told.to_pylist()}
             found = [codes[b] for b, _, _ in _runs(to)]
-            # a blank after each word's ids and pieces: a document's are then one range of bytes, less its last
-            ids, shown = (pa.array([x + " " for r in found for x in _lines(r[c])], pa.large_string()) for c in ("ids", "pieces"))
-            sizes = np.array([x.count(" ") + 1 for r in found for x in _lines(r["ids"])], np.int64)
-            made = []
+            sizes = np.concatenate([unpack(r["sizes"], np.uint32, True) for r in found]) if found else np.zeros(0, np.uint32)
+            flat = np.concatenate([unpack(r["ids"], np.uint8, True).reshape(4, -1).T.copy().view(np.uint32).ravel() for r in found]) if found else sizes
+            starts, made = np.cumsum(sizes) - sizes, []
             for doc_ids, first, own in parts:
-                at = pc.index_in(own, words)
-                ends = np.append(0, np.cumsum(sizes[at.to_numpy()]))[first] if len(own) else np.zeros(len(first), np.int64)
-                views = []
-                for column in (ids, shown):
-                    data, offsets = text_buffer(column.take(at))
-                    views.append((memoryview(data), offsets[first]))
-                for i, doc_id in enumerate(doc_ids):
-                    made.append({"doc_id": doc_id, "n_tokens": int(ends[i + 1] - ends[i])} | build(*(v[a : max(a, z - 1)] for v, a, z in ((v, int(o[i]), int(o[i + 1])) for v, o in views))))
-            return pa.Table.from_pylist(made, schema=build.schema)
+                at = pc.index_in(own, words).to_numpy().astype(np.int64)
+                ids = flat[_ranges(starts, sizes, at)].astype(np.int32)
+                ends = np.append(0, np.cumsum(sizes[at], dtype=np.int64))[first]
+                made += build(doc_ids, ids, ends, path)
+            out = pa.Table.from_pylist(made, schema=build.schema)
+            del parts, words, codes, found, made
+            released()
+            return out
 
         return self.chunks.groupBy("chunk").cogroup(self.codes().groupBy("chunk")).applyInArrow(place, schema)
 
     def digests(self) -> DataFrame:
         """doc_id, n_tokens and SHA-256 of the ids and of the decoded text."""
 
-        def build(ids: memoryview, text: memoryview) -> dict:
-            return {"ids_sha256": hashlib.sha256(ids).hexdigest(), "decoded_sha256": hashlib.sha256(text).hexdigest()}
+        def build(doc_ids: list, ids: np.ndarray, ends: np.ndarray, path: str) -> list[dict]:
+            # each id's figures and its piece, with a blank behind: a document's are then one range of bytes, less the last
+            views = [(memoryview(data), at[ends]) for data, at in (text_buffer(column.take(pa.array(ids))) for column in spelled(path))]
+            digest = lambda v, a, z: hashlib.sha256(v[a : max(a, z - 1)]).hexdigest()
+            return [{"doc_id": d, "n_tokens": int(ends[i + 1] - ends[i]), "ids_sha256": digest(views[0][0], views[0][1][i], views[0][1][i + 1]), "decoded_sha256": digest(views[1][0], views[1][1][i], views[1][1][i + 1])} for i, d in enumerate(doc_ids)]
 
         build.schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
         return self._apply(build, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -179,8 +196,10 @@ class WordTableBpe:
     def encoded(self) -> DataFrame:
         """doc_id, n_tokens, ids and the decoded text."""
 
-        def build(ids: memoryview, text: memoryview) -> dict:
-            return {"ids": np.fromstring(bytes(ids), np.int32, sep=" "), "decoded": bytes(text).decode()}
+        def build(doc_ids: list, ids: np.ndarray, ends: np.ndarray, path: str) -> list[dict]:
+            data, at = text_buffer(spelled(path)[1].take(pa.array(ids)))
+            at = at[ends]
+            return [{"doc_id": d, "n_tokens": int(ends[i + 1] - ends[i]), "ids": ids[ends[i] : ends[i + 1]], "decoded": data[at[i] : max(at[i], at[i + 1] - 1)].tobytes().decode()} for i, d in enumerate(doc_ids)]
 
         build.schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
         return self._apply(build, "doc_id long, n_tokens long, ids array<int>, decoded string")
@@ -190,6 +209,9 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) -> (doc_id, decoded): each id joined with its piece, put together by position; unknown ids give nothing."""
     spark = tokens.sparkSession
     table = spark.createDataFrame(sorted(pieces(path).items()), "id int, piece string")  # as many rows as the vocabulary
-    flat = tokens.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.posexplode_outer("ids").alias("at", "id"))
-    placed = flat.join(F.broadcast(table), "id", "left").groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p"))
-    return placed.select("doc_id", F.array_join(F.transform("p", lambda x: x["piece"]), " ").alias("decoded"))
+    # a row is known by its id and ids; equal rows are decoded once and come back as often as they were
+    keyed = tokens.groupBy("doc_id", F.xxhash64("ids").alias("tie")).agg(F.first("ids").alias("ids"), F.count("*").cast("int").alias("rows"))
+    flat = keyed.select("doc_id", "tie", "rows", F.posexplode_outer("ids").alias("at", "id"))
+    placed = flat.join(F.broadcast(table), "id", "left").groupBy("doc_id", "tie", "rows").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("p"))
+    text = F.array_join(F.transform("p", lambda x: x["piece"]), " ")
+    return placed.select("doc_id", text.alias("decoded"), F.explode(F.sequence(F.lit(1), "rows"))).drop("col")
