@@ -149,3 +149,41 @@ def stream_transcripts(spark, sf_dir):
     last = s.groupBy("user_id").agg(F.max(F.struct("start", "event_id")).alias("m"))
     words = s.join(last, "user_id").select(F.col("user_id").cast("string").alias("stream_id"), (F.col("start") / 1e6).alias("start"), (F.col("start") / 1e6 + 1).alias("end"), F.col("event_type").alias("word"), (F.struct("start", "event_id") == F.col("m")).alias("is_last"))
     return streams.transcribed(words, 3600.0)
+
+
+def words_of_users(spark, sf_dir):
+    """Events as words that their type speaks in a user's session."""
+    return segments(spark, sf_dir).select(F.col("user_id").alias("session_id"), F.col("event_type").alias("speaker"), "start", "end", F.concat(F.lit("w"), F.col("event_id").cast("string")).alias("word"))
+
+
+WORDS = f"(SELECT user_id AS session_id, event_type AS speaker, start, end_, 'w' || event_id AS word FROM {SEGMENTS})"
+
+
+@query(f"""WITH m AS (SELECT *, lag(speaker) OVER (PARTITION BY session_id ORDER BY start, end_) AS before FROM {WORDS}),
+t AS (SELECT *, sum(CASE WHEN before IS NOT DISTINCT FROM speaker THEN 0 ELSE 1 END) OVER (PARTITION BY session_id ORDER BY start, end_) AS turn FROM m)
+SELECT session_id, CAST(turn AS BIGINT) AS turn, speaker, min(start) AS start, max(end_) AS "end", string_agg(word, ' ' ORDER BY start, end_, word) AS text FROM t GROUP BY session_id, turn, speaker""")
+def speaker_sentences(spark, sf_dir):
+    return I.speaker_sentences(words_of_users(spark, sf_dir))
+
+
+@query(f"""WITH m AS (SELECT *, lag(end_) OVER (PARTITION BY session_id ORDER BY start, end_) AS before FROM {WORDS}),
+t AS (SELECT *, sum(CASE WHEN before IS NULL OR start - before >= 7200000000 THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY start, end_) AS segment FROM m)
+SELECT session_id, CAST(segment AS BIGINT) AS segment, min(start) AS start, max(end_) AS "end", string_agg(word, ' ' ORDER BY start, end_, word) AS text FROM t GROUP BY session_id, segment""")
+def utterances_by_gap(spark, sf_dir):
+    return I.utterances_by_gap(words_of_users(spark, sf_dir).drop("speaker"), ["session_id"], 7200000000, ())
+
+
+@query(f"""SELECT event_id, c AS chunk, greatest(start, c * 10000000000) AS start, least(end_, (c + 1) * 10000000000) AS "end", CASE WHEN c = start // 10000000000 THEN event_type ELSE '' END AS words
+FROM {SEGMENTS}, unnest(generate_series(start // 10000000000, end_ // 10000000000)) AS g(c)""")
+def chunked_segments(spark, sf_dir):
+    """Segments over chunks of ten thousand seconds; the words go with the first piece."""
+    s = segments(spark, sf_dir).select("event_id", "start", "end", F.col("event_type").alias("words"))
+    return I.chunked_segments(s, 10000000000).select("event_id", "chunk", "start", "end", "words")
+
+
+@query(f"""WITH m AS (SELECT *, lag(end_) OVER (PARTITION BY user_id ORDER BY start, end_) AS before FROM {SEGMENTS}),
+i AS (SELECT *, sum(CASE WHEN before IS NULL OR before < start THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY start, end_) AS island FROM m)
+SELECT user_id, min(start) AS start, arg_max(end_, start) AS "end" FROM i GROUP BY user_id, island""")
+def merged_neighbours(spark, sf_dir):
+    """Segments merged with the one before only, which a longer one further back doesn't change."""
+    return I.merged_neighbours(segments(spark, sf_dir), ["user_id"])

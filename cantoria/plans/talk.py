@@ -173,3 +173,34 @@ def cross_entropy(spark, sf_dir):
 @query()
 def youden_curve(spark, sf_dir):
     return S.youden_curve(scored(spark, sf_dir), 50)
+
+
+KEYS = ("red", "small ring", "widget")
+
+
+@query("SELECT keyword, CAST(sum(least(r, h)) AS BIGINT) AS tp, CAST(sum(r) AS BIGINT) AS gt, CAST(sum(h) AS BIGINT) AS found FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS keyword, CAST(contains(' ' || text || ' ', ' {k} ') AS INTEGER) AS r, CAST(contains(' ' || pred_text || ' ', ' {k} ') AS INTEGER) AS h FROM {PAIRS}" for k in KEYS) + ") GROUP BY keyword")
+def keyword_scores(spark, sf_dir):
+    return S.keyword_scores(predictions(spark, sf_dir), list(KEYS)).select("keyword", "tp", "gt", "found")
+
+
+@query(f"SELECT p_partkey, round(len(list_intersect(string_split(text, ' '), string_split(pred_text, ' '))) * 1.0 / len(string_split(text, ' ')), 6) AS recall FROM {PAIRS}")
+def rouge_recall(spark, sf_dir):
+    return S.rouge_n(predictions(spark, sf_dir), "text", "pred_text", 1).select("p_partkey", F.round("recall", 6).alias("recall"))
+
+
+@query("""WITH w AS (SELECT doc_id, regexp_extract_all(text, '[^ \\t\\n\\r]+') AS t FROM documents)
+SELECT doc_id, CAST(i AS INTEGER) AS place, CAST(least(100, len(t) - i * 100) AS BIGINT) AS n, t[i * 100 + 1] AS first FROM w, unnest(generate_series(0, CAST(ceil(len(t) / 100.0) AS BIGINT) - 1)) AS g(i)""")
+def word_windows(spark, sf_dir):
+    """Documents in windows of a hundred words."""
+    from ..operators import intervals as I
+
+    windows = I.fixed_windows(E.words(F.col("text")), 100)
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(windows).alias("place", "w")).select("doc_id", "place", F.size("w").cast("long").alias("n"), F.col("w")[0].alias("first"))
+
+
+@query("SELECT conv_id, 1 + CASE WHEN max(CASE WHEN lower(role) = 'system' THEN 1 ELSE 0 END) = 1 THEN 1 ELSE 0 END AS leading, count(*) + 1 AS n_turns FROM conversations GROUP BY conv_id")
+def with_context_turn(spark, sf_dir):
+    """A context turn stands behind the system's turns and before all others."""
+    df = C.with_context(C.gathered(table(spark, sf_dir, "conversations")).withColumn("context", F.lit("The context.")), "context")
+    at = F.array_position(F.transform("turns", lambda t: t["value"]), "The context.")
+    return df.select("conv_id", at.cast("int").alias("leading"), F.size("turns").cast("long").alias("n_turns"))
