@@ -214,10 +214,10 @@ class NearDuplicates:
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept, one row for each document."""
         described = checkpointed(self._described())
-        nodes = described.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+        nodes = checkpointed(described.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
         placed = nodes.select("node", F.explode("bands").alias("band"))
         shared = placed.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        near = placed.join(shared, "band").filter("node != lead").select(F.col("node").alias("u"), F.col("lead").alias("v")).distinct()
+        near = placed.join(shared, "band").filter("node != lead").select(F.col("node").alias("u"), F.col("lead").alias("v"))
         clusters = connected_components(near).withColumnRenamed("component", "cluster")
         sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         members = checkpointed(clusters.join(sizes, "cluster").join(nodes.select("node", "doc_id"), "node"))

@@ -200,7 +200,10 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert C.by_row(found) == C.by_row(C.components(rows, 3, 85))
 
 
-def test_components(spark):
+@pytest.mark.parametrize(("hot", "few"), [(1_000_000, 200_000), (1_000_000, 0), (2, 0)])
+def test_components(spark, monkeypatch, hot, few):
+    monkeypatch.setattr("cantoria.llm.components.HOT", hot)
+    monkeypatch.setattr("cantoria.llm.components.FEW", few)
     rng = random.Random(2)
     edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)] + [(7, None), (5, 5)]
     up = {}
