@@ -3,7 +3,8 @@
 Every string of `length` bytes is owned by the least hashed k-gram inside it
 (its anchor), so equal strings meet in the anchor's bucket. A maximal run of
 strings with one anchor is a fragment, at most 2 * length - k bytes long.
-Fragments with equal bytes are one entry with its smallest document. Where an
+Fragments with equal bytes are one entry with its smallest document, whose
+places are all kept. Where an
 anchor stands in different fragments of different documents, their suffixes
 are sorted, the LCP array is scanned with a stack into the common-prefix
 interval tree, and nodes whose occurrences have different left neighbours are
@@ -33,7 +34,7 @@ WIDE_ANCHOR = 4096
 UNIQUE, COVERED, FIRST, MIXED, WIDE = range(5)
 ENTRY = "chunk int, bucket int, keys binary, contents binary, docs binary, doc_at binary"
 VERDICT = "chunk int, bucket int, verdicts binary"
-FRAGMENT = "chunk int, bucket int, kind int, keys binary, docs binary, doc_at binary, starts binary, lengths binary, bytes binary"
+FRAGMENT = "chunk int, bucket int, kind int, keys binary, docs binary, doc_at binary, starts binary, times binary, lengths binary, bytes binary"
 SPAN = "chunk int, bucket int, kind int, docs binary, starts binary, ends binary"
 GROUP = "group_id string, length int, doc_id long, start int"
 
@@ -80,7 +81,8 @@ class Fragments:
 def entries(table: pa.Table, length: int, k: int, buckets: int):
     """The chunk's fragments as one entry for each (anchor, content), in a fixed order, each with its smallest document.
 
-    Returns slices, entry of each fragment, and the entries' key, content, document, bucket and first fragment.
+    Returns slices, document and entry of each fragment, the entries' key, content, document, bucket and first fragment,
+    how often each stands in that document, and the fragments of these places, entry after entry.
     """
     parts, docs = [], []
     for piece in slices(table, "text"):
@@ -99,7 +101,13 @@ def entries(table: pa.Table, length: int, k: int, buckets: int):
     entry = np.empty(len(order), np.int64)
     entry[order] = np.cumsum(first) - 1
     lead = order[first]
-    return parts, doc, entry, key[lead], content[lead], doc[lead], bucket[lead], lead
+    own = order[doc[order] == doc[lead][entry[order]]]
+    return parts, doc, entry, key[lead], content[lead], doc[lead], bucket[lead], lead, np.bincount(entry[own], minlength=len(lead)), own
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... of sizes[0] values, then those of starts[1] and so on."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
 def _runs(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -224,7 +232,19 @@ def _fragments_of(table: pa.Table):
     data = np.concatenate([unpack(r["bytes"], np.uint8, True) for r in rows])
     doc = np.concatenate([_unpack_docs(r["docs"], r["doc_at"]) for r in rows])
     start = np.concatenate([unpack(r["starts"], np.uint32) for r in rows]).astype(np.int64)
-    return rows, keys, np.concatenate(keys), lengths, data, doc, start
+    times = np.concatenate([unpack(r["times"], np.uint32, True) for r in rows]).astype(np.int64)
+    return rows, keys, np.concatenate(keys), lengths, data, doc, start, times
+
+
+def joined(string: np.ndarray, begin: np.ndarray, end: np.ndarray):
+    """The spans of each string without overlaps: those that meet are one."""
+    far = int(end.max(initial=0)) + 2
+    order = np.argsort(string * far + begin, kind="stable")
+    a, z = (string * far + begin)[order], np.maximum.accumulate((string * far + end)[order])
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] > z[:-1]
+    last = np.append(new[1:], True) if len(a) else new
+    return string[order][new], a[new] % far, z[last] % far
 
 
 def spans_of_groups(table: pa.Table, length: int) -> pa.Table:
@@ -233,7 +253,7 @@ def spans_of_groups(table: pa.Table, length: int) -> pa.Table:
     passed, own = table.filter(pa.array(kind == 0)), table.filter(pa.array(kind == 1))
     out = [{"chunk": r["chunk"], "bucket": r["bucket"], "kind": 0, "docs": r["docs"], "starts": r["starts"], "ends": r["lengths"]} for r in passed.to_pylist()]
     if own.num_rows:
-        rows, keys, key, sizes, data, doc, start = _fragments_of(own)
+        rows, keys, key, sizes, data, doc, start, times = _fragments_of(own)
         string, shift, nodes = repeat_groups(data, np.append(0, np.cumsum(sizes)), key, doc, length)
         hit_at, hit_len = [], []
         owner = doc[string]
@@ -243,12 +263,15 @@ def spans_of_groups(table: pa.Table, length: int) -> pa.Table:
             hit_len.append(np.full(len(later), n))
         at = np.concatenate(hit_at) if hit_at else np.zeros(0, np.int64)
         n = np.concatenate(hit_len) if hit_len else np.zeros(0, np.int64)
-        s, begin = string[at], start[string[at]] + shift[at]
+        s, begin, end = joined(string[at], shift[at], shift[at] + n)
+        place = start[_ranges((np.cumsum(times) - times)[s], times[s])]
+        s, begin, end = (np.repeat(v, times[s]) for v in (s, begin, end))
+        begin, end = place + begin, place + end
         source = np.repeat(np.arange(len(rows)), [len(k) for k in keys])[s]
         order = np.argsort(source, kind="stable")
         for r, a, b in _runs(source[order]):
             pick = order[a:b]
-            out.append({"chunk": rows[r]["chunk"], "bucket": rows[r]["bucket"], "kind": 1, "docs": pack(doc[s[pick]], True), "starts": pack(begin[pick], True), "ends": pack((begin + n)[pick], True)})
+            out.append({"chunk": rows[r]["chunk"], "bucket": rows[r]["bucket"], "kind": 1, "docs": pack(doc[s[pick]], True), "starts": pack(begin[pick], True), "ends": pack(end[pick], True)})
     released()
     return _rows(out, SPAN)
 
@@ -271,7 +294,7 @@ class SuffixDedup:
 
         def announce(table: pa.Table) -> pa.Table:
             chunk = table.column("chunk")[0].as_py()
-            *_, key, content, doc, bucket, _ = entries(table, length, k, buckets)
+            _, _, _, key, content, doc, bucket, *_ = entries(table, length, k, buckets)
             out = []
             for b, i, j in _runs(bucket):
                 docs, at = _pack_docs(doc[i:j])
@@ -282,7 +305,7 @@ class SuffixDedup:
             if not table.num_rows:
                 return _rows([], FRAGMENT)
             chunk = table.column("chunk")[0].as_py()
-            parts, doc, entry, key, _, least, bucket, lead = entries(table, length, k, buckets)
+            parts, doc, entry, key, _, least, bucket, lead, often, own_places = entries(table, length, k, buckets)
             said = np.full(len(key), UNIQUE, np.uint8)
             by_bucket = {r["bucket"]: unpack(r["verdicts"], np.uint8, True) for r in told.to_pylist()}
             for b, i, j in _runs(bucket):
@@ -292,7 +315,8 @@ class SuffixDedup:
             end = np.concatenate([p.end - p.offsets[p.row] for p in parts]) if parts else np.zeros(0, np.int64)
             hit = (said[entry] == COVERED) | (doc > least[entry])
             out.append({"chunk": chunk, "bucket": chunk % buckets, "kind": 0, "docs": pack(doc[hit], True), "starts": pack(start[hit], True), "lengths": pack(end[hit], True)})
-            keys, docs, starts, sizes, texts = [], [], [], [], []
+            keys, docs, starts, times, sizes, texts = [], [], [], [], [], []
+            heads = np.cumsum(often) - often
             for p in parts:
                 n = len(p.start)
                 mine = lead[(lead >= base) & (lead < base + n)] - base
@@ -302,28 +326,33 @@ class SuffixDedup:
                     if not len(f):
                         continue
                     a, z, x = p.start[f], p.end[f], p.anchor[f]
+                    e, within = entry[f + base], np.zeros(len(f), np.int64)
                     if value == WIDE:  # every string of its own, owned by its own hash
                         many = z - a - length + 1
-                        a = np.repeat(a, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                        z, f = a + length, np.repeat(f, many)
+                        within = _ranges(np.zeros(len(f), np.int64), many)
+                        a, e, f = np.repeat(a, many) + within, np.repeat(e, many), np.repeat(f, many)
+                        z = a + length
                         x = RangeHasher(p.data).ranges(a, z)
                     size = z - a
-                    take = np.repeat(a, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                    take = _ranges(a, size)
                     keys.append(x)
                     docs.append(doc[base + f])
-                    starts.append(a - p.offsets[p.row[f]])
+                    # one copy of the bytes, but every place where the document holds them
+                    starts.append(start[own_places[_ranges(heads[e], often[e])]] + np.repeat(within, often[e]))
+                    times.append(often[e])
                     sizes.append(size)
                     texts.append(np.split(p.data[take], np.cumsum(size)[:-1]))
                 base += n
             if keys:
-                x, d, s, z = (np.concatenate(v) for v in (keys, docs, starts, sizes))
+                x, d, s, n, z = (np.concatenate(v) for v in (keys, docs, starts, times, sizes))
+                first = np.cumsum(n) - n
                 texts = [t for v in texts for t in v]
                 to = (x % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 for b, i, j in _runs(to[order]):
                     pick = order[i:j]
                     own, at = _pack_docs(d[pick])
-                    out.append({"chunk": chunk, "bucket": b, "kind": 1, "keys": pack(x[pick]), "docs": own, "doc_at": at, "starts": pack(s[pick].astype(np.uint32)), "lengths": pack(z[pick].astype(np.uint16)), "bytes": pack(np.concatenate([texts[q] for q in pick.tolist()]), True)})
+                    out.append({"chunk": chunk, "bucket": b, "kind": 1, "keys": pack(x[pick]), "docs": own, "doc_at": at, "starts": pack(s[_ranges(first[pick], n[pick])].astype(np.uint32)), "times": pack(n[pick].astype(np.uint32), True), "lengths": pack(z[pick].astype(np.uint16)), "bytes": pack(np.concatenate([texts[q] for q in pick.tolist()]), True)})
             return _rows(out, FRAGMENT)
 
         told = self.chunks.groupBy("chunk").applyInArrow(announce, ENTRY).groupBy("bucket").applyInArrow(verdicts, VERDICT)
@@ -337,11 +366,12 @@ class SuffixDedup:
             own = table.filter(pa.array(table.column("kind").to_numpy() == 1))
             if not own.num_rows:
                 return _rows([], GROUP)
-            _, _, key, sizes, data, doc, start = _fragments_of(own)
+            _, _, key, sizes, data, doc, start, times = _fragments_of(own)
+            head = np.cumsum(times) - times
             string, shift, nodes = repeat_groups(data, np.append(0, np.cumsum(sizes)), key, doc, length)
             bucket, out = own.column("bucket")[0].as_py(), []
             for g, (n, i, j) in enumerate(nodes):
-                out += [{"group_id": f"{bucket}-{g}", "length": n, "doc_id": int(doc[s]), "start": int(start[s] + h)} for s, h in zip(string[i : j + 1], shift[i : j + 1], strict=True)]
+                out += [{"group_id": f"{bucket}-{g}", "length": n, "doc_id": int(doc[s]), "start": int(at + h)} for s, h in zip(string[i : j + 1], shift[i : j + 1], strict=True) for at in start[head[s] : head[s] + times[s]]]
             return _rows(out, GROUP)
 
         return self._fragments().groupBy("bucket").applyInArrow(listed, GROUP)

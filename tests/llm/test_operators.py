@@ -114,6 +114,19 @@ def test_suffix_dedup_of_a_wide_anchor(spark, monkeypatch):
     assert {r.doc_id: r.n_removed for r in SuffixDedup(C.frame(spark, rows), 50, chunk_bytes=600).digests().collect()} == expected
 
 
+@pytest.mark.parametrize("wide", [4096, 1])
+def test_suffix_dedup_of_a_fragment_twice_in_its_document(spark, monkeypatch, wide):
+    """A smaller document shares a part of a passage that a later one repeats whole: both of its places go."""
+    monkeypatch.setattr("cantoria.llm.suffix_dedup.WIDE_ANCHOR", wide)
+    rng = random.Random(8)
+    rows = []
+    for i in range(0, 60, 3):
+        p, q, x, y, z = (C.text(rng, n).replace("\n", " ") for n in (14, 14, 9, 9, 9))
+        rows += [(i, f"{y}{p}{z}"), (i + 1, f"{p}{q}{x}{p}{q}"), (i + 2, f"{p}{q}{p}{q}{z}{p}{q}")]
+    expected = {i: (sum(f), hashlib.sha256(bytes(c for c, v in zip(raw, f, strict=True) if not v)).hexdigest()) for i, raw, f in C.repeated_bytes(rows, 50)}
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in SuffixDedup(C.frame(spark, rows), 50).digests().collect()} == expected
+
+
 def test_repeat_groups_are_maximal_with_all_occurrences():
     strings = [b"xxabcdefgyy", b"zzabcdefgyq", b"abcdefgww"]
     data = np.frombuffer(b"".join(strings), np.uint8)
