@@ -2,13 +2,14 @@
 
 Entities are found by one pattern. What identifies an entity, its atom (letters
 and digits without case and punctuation; an address as a whole; each name of a
-person), maps to a surrogate atom through a keyed hash, so an entity has one
+person; a secret without its label), maps to a surrogate atom through a keyed hash, so an entity has one
 surrogate wherever and however it is written. Over the distinct atoms of the
 whole corpus, surrogates that meet each other or an atom that is really there
 are drawn again until none do: different entities stay different. The
 surrogate takes the entity's format: digit for digit, letter for letter, case
 and punctuation as they were, issuer digits, country codes and check digits of
-cards in order, names of the same gender and script.
+cards in order, names of the same gender and script. Signs are drawn only for
+secrets that have next to nothing else; masks (`******`) pass unchanged.
 
 DataFrame functions only.
 """
@@ -61,6 +62,10 @@ PATTERNS = {
     "HEX_KEY": r"[0-9a-f]{32,128}(?![0-9A-Za-z])",
     "PERSON": rf"{_TITLE} {_NAME}(?: {_NAME})?",
 }
+#: Of a secret of signs alone, or nearly so, the signs are drawn too; one sign over and over, with what ends a sentence, is a mask and hides nothing.
+SIGNS = "!#$%&*+-/:;=?@^_|~"
+FEW_SIGNED = 4
+MASK = r"^([^\p{L}\p{N}])\1{3,}[.,;:!?)]*$"
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(PATTERNS.values()) + ")"
 MOST_DRAWS = 40
 
@@ -72,6 +77,17 @@ def _type(entity: Column) -> Column:
     return out
 
 
+def _masked() -> Column:
+    return (F.col("kind") == "SECRET") & F.col("atom").rlike(MASK)
+
+
+def _secret(entity: Column) -> tuple[Column, Column, Column]:
+    """Label and value of a secret, and whether the value has so few letters and digits that its signs count."""
+    label = F.regexp_extract(entity, f"^({_ASSIGN})", 1)
+    value = F.substring(entity, F.length(label) + 1, F.length(entity))
+    return label, value, F.length(_bare(value)) < FEW_SIGNED
+
+
 def _pick(options: dict, at: Column) -> Column:
     out = F
     for key, names in options.items():
@@ -103,12 +119,14 @@ def _drawn(key: str) -> Column:
     hexadecimal = kind.isin("SECRET", "HEX_KEY") & F.substring(atom, F.col("keep") + 1, F.length(atom)).rlike("^[0-9a-f]+$") | (kind == "IPV6")
     swapped = F.transform(
         F.split(atom, ""),
-        lambda c, i: F.when((i < F.col("keep")) | (i >= last), c)
+        lambda c, i: F.when((i < F.col("keep")) | (i >= last) | _masked(), c)
         .when(c.rlike(r"^\d$"), F.when((i == F.col("keep")) & kind.isin("PHONE", "CARD"), F.pmod(_digit(h, i), F.lit(8)) + 2).otherwise(F.pmod(_digit(h, i), F.lit(10))).cast("string"))
         .when(c.rlike("^[a-z]$"), F.char(F.lit(97) + F.pmod(_digit(h, i), F.when(hexadecimal, 6).otherwise(26))))
         .when(c.rlike(r"^\p{IsCyrillic}$"), F.substring(F.lit("абвгдежзиклмнопрстуфхцчшэюя"), F.pmod(_digit(h, i), F.lit(27)) + 1, F.lit(1)))
         .when(c.rlike(r"^\p{IsGreek}$"), F.substring(F.lit("αβγδεζηθικλμνξοπρστυφχψω"), F.pmod(_digit(h, i), F.lit(24)) + 1, F.lit(1)))
         .when(c.rlike(r"^\p{L}$"), F.char(F.lit(97) + F.pmod(_digit(h, i), F.lit(26))))
+        .when(c.rlike(r"^\p{N}$"), F.pmod(_digit(h, i), F.lit(10)).cast("string"))
+        .when(kind == "SECRET", F.substring(F.lit(SIGNS), F.pmod(_digit(h, i), F.lit(len(SIGNS))) + 1, F.lit(1)))
         .otherwise(c),
     )
     plain = F.array_join(swapped, "")
@@ -137,26 +155,29 @@ def _atoms(entity: Column, kind: Column) -> Column:
     family = F.when(surname.rlike("[ая]$"), "CyrillicF").otherwise(script(surname))
     person = F.when(F.size(names) > 1, F.array(atom(F.concat_ws("/", F.lit("GIVEN"), gender, script(names[0])), F.lower(names[0])), atom(F.concat_ws("/", F.lit("SURNAME"), family), F.lower(surname)))).otherwise(F.array(atom(F.concat_ws("/", F.lit("SURNAME"), family), F.lower(surname))))
     kept = (
-        F.when(kind == "SECRET", F.length(_bare(F.regexp_extract(entity, f"^({_ASSIGN})", 1))))
-        .when(kind == "PHONE", F.length(F.regexp_extract(entity, r"^\+(\d*)", 1)) * F.when(entity.rlike(r"^\+\d+[ .(-]"), 1).otherwise(0))
+        F.when(kind == "PHONE", F.length(F.regexp_extract(entity, r"^\+(\d*)", 1)) * F.when(entity.rlike(r"^\+\d+[ .(-]"), 1).otherwise(0))
         .when(kind == "CARD", 1).when(kind == "AWS_KEY", 4).when(kind == "IBAN", 2).otherwise(0)
     )
     tail = F.when(kind == "EMAIL", F.length(_bare(F.regexp_extract(entity, r"\.([A-Za-z0-9-]+)$", 1)))).otherwise(0)
-    return F.when(kind == "PERSON", person).when(kind.isin("IPV4"), F.array(atom(kind, entity))).otherwise(F.array(atom(kind, _bare(entity), kept, tail)))
+    _, value, signed = _secret(entity)
+    secret = F.when(signed, F.lower(F.translate(value, "İ", "i"))).otherwise(_bare(value))
+    return F.when(kind == "PERSON", person).when(kind.isin("IPV4"), F.array(atom(kind, entity))).when(kind == "SECRET", F.array(atom(kind, secret))).otherwise(F.array(atom(kind, _bare(entity), kept, tail)))
 
 
 def _written(entity: Column, kind: Column, atoms: Column) -> Column:
     """The surrogate atoms in the entity's format."""
+    label, value, signed = _secret(entity)
+    secret = kind == "SECRET"
     laid = F.aggregate(
-        F.split(entity, ""),
+        F.split(F.when(secret, value).otherwise(entity), ""),
         F.struct(F.lit("").alias("out"), F.lit(1).alias("n")),
         lambda s, c: F.when(
-            c.rlike(r"^[\p{L}\p{N}]$"),
+            c.rlike(r"^[\p{L}\p{N}]$") | (secret & signed),
             F.struct(F.concat(s["out"], F.when(c.rlike(r"^\p{Lu}$"), F.upper(F.substring(atoms[0], s["n"], F.lit(1)))).otherwise(F.substring(atoms[0], s["n"], F.lit(1)))).alias("out"), (s["n"] + 1).alias("n")),
         ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["n"].alias("n"))),
         lambda s: s["out"],
     )
-    return F.when(kind == "PERSON", F.concat(F.regexp_extract(entity, rf"^({_TITLE} )", 1), F.array_join(atoms, " "))).when(kind == "IPV4", atoms[0]).otherwise(laid)
+    return F.when(kind == "PERSON", F.concat(F.regexp_extract(entity, rf"^({_TITLE} )", 1), F.array_join(atoms, " "))).when(kind == "IPV4", atoms[0]).when(secret, F.concat(label, laid)).otherwise(laid)
 
 
 class Surrogates:
@@ -188,7 +209,7 @@ class Surrogates:
             # of all that want a value, an atom that is really there comes first, then the least atom
             first = taken.unionByName(real).groupBy("s", "x").agg(F.min(F.struct("rank", "kind", "owner")).alias("first"))
             judged = drawn.withColumn("s", space).withColumn("x", F.lower("surrogate")).join(first, ["s", "x"])
-            good = (F.col("first.rank") == 1) & F.col("first.owner").eqNullSafe(F.col("atom")) & (F.col("first.kind") == F.col("kind"))
+            good = (F.col("first.rank") == 1) & F.col("first.owner").eqNullSafe(F.col("atom")) & (F.col("first.kind") == F.col("kind")) | _masked()
             done = checkpointed(judged.select("kind", "atom", "keep", "tail", "draw", "surrogate", good.alias("good")))
             if not done.filter(~F.col("good")).limit(1).count():
                 return done.select("kind", "atom", "surrogate")

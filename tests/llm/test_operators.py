@@ -320,6 +320,21 @@ def test_surrogates(spark):
     assert Surrogates(empty(spark), "k").texts().count() == 0
 
 
+def test_surrogates_of_secrets_without_letters(spark):
+    """Masks pass, signs and digits of any script are drawn, and a secret has one surrogate under any label."""
+    rows = [
+        (1, "password: ****** and pwd=...... and token = -------, end"), (2, "secret: !@#$%^&* then"), (3, "password: !@#$%^&* too"),
+        (4, "pwd: ٣٤٥٦٧٨٩٠"), (5, "token: A*****7 x"), (6, "password=b7db7aa4a5fcc78305"), (7, "token: b7db7aa4a5fcc78305"), (8, "plain"),
+    ]
+    out = {r.doc_id: r for r in Surrogates(C.frame(spark, rows), "k1").texts().collect()}
+    assert len(out) == len(rows) and out[1].text == rows[0][1] and out[1].n_entities == 3 and out[8].text == "plain"
+    signs = [re.fullmatch(r"\w+: (\S{8}) \w+", out[i].text)[1] for i in (2, 3)]
+    assert signs[0] == signs[1] != "!@#$%^&*" and not re.search(r"\w", signs[0].replace("_", ""))
+    assert re.fullmatch(r"pwd: \d{8}", out[4].text) and out[4].text != rows[3][1]
+    assert re.fullmatch(r"token: [A-Z]\S{5}\d x", out[5].text) and out[5].text != rows[4][1]
+    assert out[6].text.split("=")[1] == out[7].text.split(": ")[1] != "b7db7aa4a5fcc78305"
+
+
 def test_surrogates_stay_distinct(spark):
     """More people than names, and more addresses of one form than letters would keep apart by chance."""
     rows = [(i, f"Mr. {chr(65 + i % 26)}{'aeiou'[i // 26 % 5]}xov wrote from {chr(97 + i % 26)}@{chr(97 + i // 26)}.org") for i in range(130)]
