@@ -192,7 +192,12 @@ def first_fit(lengths: list[int], capacity: int, descending: bool = False) -> li
 
 
 def packed(df: DataFrame, key: str, length: str, capacity: int, slots: int = 64, descending: bool = True) -> DataFrame:
-    """(key, slot, pack, start): first-fit packing of each slot of the hash-dealt rows."""
+    """(key, slot, pack, start): first-fit packing of each slot of the hash-dealt rows.
+
+    Every row comes back: one longer than capacity has a pack of its own, and
+    one without a length counts as empty and goes to the first pack with room
+    for nothing, which may be full.
+    """
     kind = df.schema[key].dataType.simpleString()
 
     def fit(k, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -202,7 +207,7 @@ def packed(df: DataFrame, key: str, length: str, capacity: int, slots: int = 64,
         size = 1 << max(1, (len(pdf) - 1).bit_length())
         free = [capacity] * (2 * size)
         for ident, x in zip(pdf[key], pdf[length], strict=True):
-            at = 1
+            at = size + len(used) if x > capacity else 1
             while at < size:
                 at = 2 * at if free[2 * at] >= x else 2 * at + 1
             pack = at - size
@@ -216,7 +221,7 @@ def packed(df: DataFrame, key: str, length: str, capacity: int, slots: int = 64,
                 free[at] = max(free[2 * at], free[2 * at + 1])
         return pd.DataFrame(rows, columns=[key, "slot", "pack", "start"])
 
-    dealt = df.filter((F.col(length) > 0) & (F.col(length) <= capacity)).select(key, length, F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("slot"))
+    dealt = df.select(key, F.greatest(F.col(length), F.lit(0)).alias(length), F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("slot"))
     return dealt.groupBy("slot").applyInPandas(fit, f"{key} {kind}, slot int, pack int, start long")
 
 

@@ -212,7 +212,7 @@ def accepted_records(spark, sf_dir):
 
 @query()
 def packed_documents(spark, sf_dir):
-    """First-fit packing of documents by words into packs of 2048; longer ones don't fit a pack."""
+    """First-fit packing of documents by words into packs of 2048; longer ones have a pack each."""
     df = table(spark, sf_dir, "documents").select("doc_id", T.word_count(F.col("text")).alias("n_tokens"))
     return B.packed(df, "doc_id", "n_tokens", 2048)
 

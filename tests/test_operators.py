@@ -173,6 +173,31 @@ def test_packed_and_batches(spark):
     assert [r["count"] for r in shards] == [71] * 7
 
 
+def test_packed_returns_every_row(spark):
+    rows = [(i, n) for i, n in enumerate([*range(1, 131), 129, 500, 1000, 0, 0, None])]
+    df = spark.createDataFrame(rows, "id long, n int")
+    for slots in (1, 3):
+        for descending in (True, False):
+            out = B.packed(df, "id", "n", 128, slots=slots, descending=descending).collect()
+            assert sorted(r.id for r in out) == [i for i, _ in rows]
+            packs = {}
+            for r in out:
+                packs.setdefault((r.slot, r.pack), []).append((r.start, rows[r.id][1] or 0))
+            for lengths in packs.values():
+                lengths.sort()
+                assert [s for s, _ in lengths] == [sum(n for _, n in lengths[:i]) for i in range(len(lengths))]
+                assert sum(n for _, n in lengths) <= 128 or len(lengths) == 1
+            for slot in {s for s, _ in packs}:
+                own = sorted((r for r in out if r.slot == slot), key=lambda r: (-(rows[r.id][1] or 0), r.id) if descending else r.id)
+                bins = []
+                for n in (rows[r.id][1] or 0 for r in own):
+                    fits = [b for b in bins if sum(b) + n <= 128]
+                    fits[0].append(n) if fits else bins.append([n])
+                assert len(bins) == len({p for s, p in packs if s == slot})
+    only = spark.createDataFrame([(1, 0), (2, 300), (3, None)], "id long, n int")
+    assert {(r.id, r.pack, r.start) for r in B.packed(only, "id", "n", 128, slots=1).collect()} == {(2, 0, 0), (1, 1, 0), (3, 1, 0)}
+
+
 def test_permutation(spark):
     for n in (1, 10, 1000):
         out = [r[0] for r in spark.range(n).select(B.permuted(F.col("id"), n, 3)).collect()]
