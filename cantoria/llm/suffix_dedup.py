@@ -359,7 +359,12 @@ class SuffixDedup:
         return self.chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, FRAGMENT)
 
     def groups(self) -> DataFrame:
-        """(group_id, length, doc_id, start in bytes): maximal repeats among differing fragments, with all their occurrences."""
+        """(group_id, length, doc_id, start in bytes): repeats among differing fragments of one anchor, maximal within a fragment.
+
+        Not all maximal repeats: equal fragments give no group of their own,
+        copies in further documents of a chunk are missing, and nothing is
+        longer than a fragment.
+        """
         length = self.length
 
         def listed(table: pa.Table) -> pa.Table:
