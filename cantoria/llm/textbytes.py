@@ -7,27 +7,17 @@ that the per-byte work of the operators stays in numpy.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-_MASK = (1 << 64) - 1
-_MULT = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_MULT, -1, 1 << 64)
-_RNG = np.random.RandomState(20240229)
-_TABLE = _RNG.randint(0, 2**63 - 1, size=256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-
-
-def _powers(kind: str, base: int, n: int) -> np.ndarray:
-    have = _POWERS[kind]
-    if len(have) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        out = np.full(size, base & _MASK, np.uint64)
-        out[0] = 1
-        _POWERS[kind] = have = np.multiply.accumulate(out)
-    return have[:n]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: The low 0 to 8 bytes of a block.
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Ranges of more bytes are hashed one by one.
+_LONG = 1 << 12
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -40,26 +30,47 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _stirred(h: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """The state after one more block; for a given block another state gives another one."""
+    h ^= block
+    h *= _STEP
+    h ^= h >> np.uint64(29)
+    return h
+
+
 class RangeHasher:
-    """Hashes of any byte range of one buffer, from polynomial prefix sums modulo 2**64 over random byte codes."""
+    """64-bit hashes of byte ranges of one buffer, stirred block by block: eight bytes at a time, the length first.
+
+    Each block passes a multiplication and a shift before the next is added,
+    so there is no sum or polynomial whose terms could cancel (those of
+    Thue-Morse words do, modulo a power of two).
+    """
 
     def __init__(self, data: np.ndarray):
-        self.prefix = np.zeros(len(data) + 1, np.uint64)
-        codes = _TABLE[data]
-        codes *= _powers("up", _MULT, len(data))
-        np.cumsum(codes, out=self.prefix[1:])
+        self.data = np.append(data, np.zeros(8, np.uint8))
+        #: the eight bytes at each place; strides of one byte, nothing is copied
+        self.blocks = np.ndarray(len(data) + 1, "<u8", buffer=self.data, strides=(1,))
 
     def fixed(self, length: int) -> np.ndarray:
         """Hash of the range of this length at every position where it fits."""
-        out = self.prefix[length:] - self.prefix[: len(self.prefix) - length]
-        out *= _powers("down", _INV, len(out))
-        return mix64(out)
+        n = max(0, len(self.blocks) - length)
+        h = np.full(n, length, np.uint64)
+        for at in range(0, length, 8):
+            h = _stirred(h, self.blocks[at : at + n] & _LOW[min(8, length - at)])
+        return mix64(h)
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        out = self.prefix[end] - self.prefix[start]
-        out *= _powers("down", _INV, len(self.prefix))[start]
-        out += (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-        return mix64(out)
+        size = end - start
+        h = size.astype(np.uint64)
+        at = np.flatnonzero((size > 0) & (size <= _LONG))
+        done = 0
+        while len(at):
+            left = size[at] - done
+            h[at] = _stirred(h[at], self.blocks[start[at] + done] & _LOW[np.minimum(left, 8)])
+            at, done = at[left > 8], done + 8
+        for i in np.flatnonzero(size > _LONG).tolist():
+            h[i] = np.frombuffer(hashlib.blake2b(self.data[start[i] : end[i]], digest_size=8).digest(), np.uint64)[0]
+        return mix64(h)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
