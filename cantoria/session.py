@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
+_OWN: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -44,10 +45,22 @@ def shipped(spark: SparkSession) -> None:
     _SHIPPED.add(context)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for files that all executors read: spark.checkpoint.dir. Only a local session that names none gets one of its own."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    if context not in _OWN:
+        _OWN[context] = tempfile.mkdtemp(prefix="cantoria-")
+    return _OWN[context]
+
+
 def checkpointed(df, eager: bool = True):
-    """Cuts the lineage in the folder that the cluster names in spark.checkpoint.dir; tests without one get a folder of their own."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cantoria-checkpoint-"))
+    """Cuts the lineage in the shared folder."""
+    spark = df.sparkSession
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager)
