@@ -20,7 +20,7 @@ from .suffix_dedup import SuffixDedup
 
 
 def op1_line_dedup(spark, sf_dir):
-    return LineDedup(table(spark, sf_dir, "documents"), least_lines=2).texts()
+    return LineDedup(table(spark, sf_dir, "documents"), least_lines=2, least_chars=50).texts()
 
 
 def op2_bpe(spark, sf_dir):
@@ -71,4 +71,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE_SQL.format(docs="documents"), "op10_chat": chat.ORACLE_SQL}
+    return {"op1_line_dedup": line_dedup.ORACLE_SQL.format(docs="documents", chars=50), "op10_chat": chat.ORACLE_SQL}

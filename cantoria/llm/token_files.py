@@ -14,7 +14,6 @@ import base64
 import os
 import re
 import struct
-import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import session
 from .bpe import NOT_PLAIN, tokenizer
 from .chunks import NO_ID
 
@@ -63,9 +63,8 @@ def place(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def shared_folder(spark) -> str:
-    """A new folder in the one that the cluster names for shared files; a temporary one where it names none, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cantoria-shared-")
-    return f"{named.rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    """A new folder in the one that the cluster names for shared files."""
+    return f"{session.shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
 
 
 @lru_cache(maxsize=2)

@@ -35,40 +35,93 @@ def empty(spark):
 # 1
 
 
-def lines_brute(rows, least):
-    def written(x):
-        return x.strip(" \t\r\x0b\x0c") != ""
-
-    seqs = [(i, t or "", [(n, x) for n, x in enumerate((t or "").split("\n")) if written(x)]) for i, t in rows]
-    return seqs, least
-
-
-@pytest.mark.parametrize("least", [1, 2, 3, 5])
-def test_line_dedup(spark, least):
+def lines_brute(rows, least, chars=None):
+    """doc_id -> (text left, lines, deleted lines, maximal runs (start, length) of deleted lines)."""
+    bare = lambda x: x.strip(" \t\r\x0b\x0c")
+    first, out = {}, {}
+    for doc_id, t in sorted((i, t or "") for i, t in rows):
+        seq = [(n, x) for n, x in enumerate(t.split("\n")) if bare(x)]
+        lines, gone = [x for _, x in seq], set()
+        for i in range(len(lines)):
+            for width in {least, 1} if chars is not None else {least}:
+                w = tuple(lines[i : i + width])
+                if len(w) < width or width < least and len(bare(w[0])) < chars:
+                    continue
+                if w in first:
+                    gone |= set(range(i, i + width))
+                first.setdefault(w, doc_id)
+        heads = sorted(j for j in gone if j - 1 not in gone)
+        runs = [(j, next(n for n in range(1, len(lines) + 2) if j + n not in gone)) for j in heads]
+        away = {seq[j][0] for j in gone}
+        out[doc_id] = ("\n".join(x for n, x in enumerate(t.split("\n")) if n not in away), len(lines), len(gone), runs)
+    return out
+
+
+def line_rows():
+    """The corpus, and runs of many lines that stand in other documents, in each other and between other neighbours."""
+    rng = random.Random(12)
+    pool = [C.text(rng, rng.choice((2, 9, 14))).replace("\n", " ") for _ in range(14)]
     rows = [r for r in C.corpus() if r[0] is not None and r[0] != 88]
-    seqs, _ = lines_brute(rows, least)
-    first, expected = {}, {}
-    for doc_id, t, seq in sorted(seqs):
-        lines = [x for _, x in seq]
-        gone = set()
-        for i in range(len(lines) - least + 1):
-            w = tuple(lines[i : i + least])
-            if w in first:
-                gone |= {seq[j][0] for j in range(i, i + least)}
-            first.setdefault(w, doc_id)
-        expected[doc_id] = ("\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone), len(lines), len(gone))
-    found = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in LineDedup(C.frame(spark, rows), least).texts().collect()}
-    assert found == expected
-    assert any(n for _, _, n in found.values())
+    for i in range(200, 240):
+        lines = [rng.choice(pool) if rng.random() < 0.8 else C.word(rng) for _ in range(rng.randint(1, 12))]
+        lines += rng.choice(([], ["", " \t", *pool[2:9], ""], pool[3:]))
+        rows.append((i, "\n".join(lines)))
+    rows += [(300, "\n".join(["same line"] * 37)), (301, "\n".join(["same line"] * 21 + ["", "other"]))]
+    return rows
+
+
+@pytest.mark.parametrize(("least", "chars"), [(1, None), (2, None), (2, 50), (3, None), (5, 30)])
+def test_line_dedup(spark, least, chars):
+    rows = line_rows()
+    expected = lines_brute(rows, least, chars)
+    dedup = LineDedup(C.frame(spark, rows), least, chars)
+    found = {r.doc_id: (r.text, r.n_lines, r.n_removed, r.n_runs) for r in dedup.texts().collect()}
+    assert found == {i: (t, n, gone, len(runs)) for i, (t, n, gone, runs) in expected.items()}
+    assert {tuple(r) for r in dedup.runs().collect()} == {(i, *run) for i, (_, _, _, runs) in expected.items() for run in runs}
+    assert any(n for _, _, n, _ in found.values())
+
+
+@pytest.mark.parametrize("wide", [1_000_000, 3])
+def test_line_intervals_are_the_suffix_array(spark, monkeypatch, wide):
+    """At each width: the suffixes that share so many lines with another one, equal ranks for equal lines, ranks in one order at all widths."""
+    monkeypatch.setattr("cantoria.llm.line_dedup.WIDE", wide)
+    monkeypatch.setattr("cantoria.llm.line_dedup.MOST_WIDE", 10**9 if wide == 3 else 10_000)
+    rows = line_rows()
+    lines = {i: [x for x in (t or "").split("\n") if x.strip(" \t\r\x0b\x0c")] for i, t in rows}
+    widths, before = [], None
+    for width, suffixes in LineDedup(C.frame(spark, rows), 3).intervals():
+        widths.append(width)
+        by = {}
+        for i, own in lines.items():
+            for at in range(len(own) - width + 1):
+                by.setdefault(tuple(own[at : at + width]), []).append((i, at))
+        by = {w: places for w, places in by.items() if len(places) > 1}
+        found = suffixes.collect()
+        ranks = {}
+        for r in found:
+            ranks.setdefault(r.rank, []).append((r.doc_id, r.at))
+            assert (r.first.doc_id, r.first.at) == min(by[tuple(lines[r.doc_id][r.at : r.at + width])])
+        assert sorted(map(sorted, ranks.values())) == sorted(map(sorted, by.values()))
+        now = {(r.doc_id, r.at): r.rank for r in found}
+        if before:
+            order = sorted(now, key=now.get)
+            assert [before[p] for p in order] == sorted(before[p] for p in order)
+        before = now
+    assert widths == [1, 2, 3, 6, 12, 24]
 
 
 def test_line_dedup_awkward_rows(spark):
-    out = LineDedup(C.frame(spark)).texts()
+    out = LineDedup(C.frame(spark), least_chars=50).texts()
     assert out.count() == len(C.corpus())
     assert LineDedup(empty(spark)).texts().count() == 0
+    assert LineDedup(empty(spark)).runs().count() == 0
     applied = LineDedup(C.frame(spark)).apply()
     assert applied.columns == C.frame(spark).columns
     assert LineDedup(C.frame(spark)).runs().filter("n_lines < 2").count() == 0
+    passage = C.text(random.Random(1), 60).replace("\n", " ")
+    rows = [(1, f"a\n{passage}\nb"), (2, f"c\n{passage}\nd"), (3, passage), (None, f"e\n {passage}")]
+    kept = {r.doc_id: r.text for r in LineDedup(C.frame(spark, rows), 2, 50).apply().collect()}
+    assert kept == {1: f"a\n{passage}\nb", 2: "c\nd", None: f"e\n {passage}"}
 
 
 # 2

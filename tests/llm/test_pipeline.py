@@ -45,7 +45,7 @@ def test_stages(spark, tmp_path):
             judged = QualityRules(docs_before, labels.selectExpr("doc_id", "quality = 1 as trusted")).judged()
             assert kept[name] == {r.doc_id for r in judged.filter("kept").collect()}
         if name == "line_dedup":
-            texts = {r.doc_id: r.text for r in LineDedup(docs_before).texts().collect()}
+            texts = {r.doc_id: r.text for r in LineDedup(docs_before, 2, 50).texts().collect()}
             assert all(r.text == texts[r.doc_id] and r.n_chars == len(r.text) for r in docs.collect())
         if name == "minhash_near_dedup":
             assert kept[name] == {r.doc_id for r in NearDuplicates(docs_before).components().filter("kept").collect()}
