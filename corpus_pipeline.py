@@ -6,7 +6,6 @@ kept. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
@@ -19,7 +18,7 @@ from cantoria.llm.decontaminate import Decontaminate
 from cantoria.llm.line_dedup import LineDedup
 from cantoria.llm.minhash import NearDuplicates
 from cantoria.llm.quality_rules import QualityRules
-from cantoria.session import shipped
+from cantoria.session import shared_folder, shipped
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shipped(spark)
-    return LineDedup(docs, least_lines=2).apply()
+    return LineDedup(docs, least_lines=2, least_chars=50).apply()
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +54,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; what each stage before it returns is written to the folder that all executors share."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cantoria-pipeline-")
+    folder = shared_folder(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        to = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}-{name}"
+        to = f"{folder}/pipeline-{uuid.uuid4().hex}-{name}"
         stage(spark, docs, sf_dir).write.parquet(to)
         docs = spark.read.parquet(to)
     return STAGES[-1][1](spark, docs, sf_dir)
