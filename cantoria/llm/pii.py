@@ -1,22 +1,29 @@
 """Personal data and secrets replaced by keyed, type-consistent surrogates.
 
-Entities are found by one pattern. What identifies an entity, its atom (letters
-and digits without case and punctuation; an address as a whole; each name of a
-person; a secret without its label), maps to a surrogate atom through a keyed hash, so an entity has one
-surrogate wherever and however it is written. Over the distinct atoms of the
-whole corpus, surrogates that meet each other or an atom that is really there
-are drawn again until none do: different entities stay different. The
-surrogate takes the entity's format: digit for digit, letter for letter, case
-and punctuation as they were, issuer digits, country codes and check digits of
-cards in order, names of the same gender and script. Signs are drawn only for
-secrets that have next to nothing else; masks (`******`) pass unchanged.
+Entities are found by one pattern; full names that stand behind a title
+anywhere in the corpus are then found without one, too. What identifies an
+entity, its atom (letters and digits without case and punctuation; an address
+as a whole; the national part of a phone number; each name of a person; a
+secret without its label), maps to a surrogate atom through a keyed hash, so an
+entity has one surrogate wherever and however it is written. Over the distinct
+atoms of the whole corpus, surrogates that meet each other or an atom that is
+really there are drawn again, alone, from a space that widens with every few
+draws, until none do: different entities stay different. The surrogate takes
+the entity's format: digit for digit, letter for letter, case and punctuation
+as they were, issuer digits, country codes and check digits of cards and IBANs
+in order, names of the same gender and script. Signs are drawn only for secrets
+that have next to nothing else; masks (`******`) pass unchanged.
+
+An IPv6 address written short and in full has two surrogates.
 
 DataFrame functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
@@ -54,7 +61,7 @@ PATTERNS = {
     "AWS_KEY": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
     "SECRET": _ASSIGN + r"[^\s\"']{6,}+",
     "IPV4": rf"(?<!\d\.)(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
-    "IPV6": r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
+    "IPV6": r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])|(?=[0-9A-Fa-f:]{0,39}\d)(?:[0-9A-Fa-f]{1,4}:){1,6}:(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?(?![0-9A-Za-z:])",
     "IBAN": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "SSN": r"\d{3}-\d{2}-\d{4}(?![0-9-])",
     "PHONE": r"(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?![0-9])|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![0-9])|\d{3}[.-]\d{3}[.-]\d{4}(?![0-9])",
@@ -67,7 +74,16 @@ SIGNS = "!#$%&*+-/:;=?@^_|~"
 FEW_SIGNED = 4
 MASK = r"^([^\p{L}\p{N}])\1{3,}[.,;:!?)]*$"
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(PATTERNS.values()) + ")"
-MOST_DRAWS = 40
+#: Two or more names in a row, none of them the start of something else, looked at where the corpus has full names behind titles.
+NAMES = rf"{_NAME}(?: (?!{'|'.join(PATTERNS.values())}){_NAME})+"
+#: Fixed value: country calling codes; what isn't listed has three digits.
+CALLING = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
+#: Country code and trunk zeros stay as they are; so does what ends a sentence behind a secret.
+PHONE_HEAD = rf"^(?:\+(?:{CALLING})[ .-]?)?\(?(?:0{{1,2}}(?=.*[1-9]))?"
+ENDING = r"[.,;:!?)\]]*$"
+RUNS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
+#: Draws after which a surrogate has one character, one name or one octet more.
+WIDER, MORE_NAMES, MORE_OCTETS = 8, 4, 64
 
 
 def _type(entity: Column) -> Column:
@@ -81,11 +97,13 @@ def _masked() -> Column:
     return (F.col("kind") == "SECRET") & F.col("atom").rlike(MASK)
 
 
-def _secret(entity: Column) -> tuple[Column, Column, Column]:
-    """Label and value of a secret, and whether the value has so few letters and digits that its signs count."""
+def _secret(entity: Column) -> tuple[Column, Column, Column, Column]:
+    """Label, value and ending of a secret, and whether the value has so few letters and digits that its signs count."""
     label = F.regexp_extract(entity, f"^({_ASSIGN})", 1)
-    value = F.substring(entity, F.length(label) + 1, F.length(entity))
-    return label, value, F.length(_bare(value)) < FEW_SIGNED
+    whole = F.substring(entity, F.length(label) + 1, F.length(entity))
+    bare = F.regexp_replace(whole, ENDING, "")
+    value = F.when(F.length(bare) > 0, bare).otherwise(whole)
+    return label, value, F.substring(whole, F.length(value) + 1, F.length(whole)), F.length(_bare(value)) < FEW_SIGNED
 
 
 def _pick(options: dict, at: Column) -> Column:
@@ -100,9 +118,12 @@ def _digit(hexes: Column, i: Column) -> Column:
     return F.conv(F.substring(F.element_at(hexes, (F.floor(i / 32) + 1).cast("int")), (2 * F.pmod(i, F.lit(32)) + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
 
 
-def _hexes(key: str, kind: Column, atom: Column, draw: Column) -> Column:
-    word = lambda b: F.concat_ws("\x01", F.lit(key), kind, atom, draw.cast("string"), b.cast("string"))
-    return F.transform(F.sequence(F.lit(0), F.floor(F.length(atom) / 32).cast("int") + 1), lambda b: F.sha2(F.concat(F.lit(key), F.sha2(word(b), 256)), 256))
+def _with_hexes(atoms: DataFrame, key: str) -> DataFrame:
+    """A column `hexes`: as many hashes as the atom needs, two at least, from one keyed digest of (kind, atom, draw)."""
+    word = F.concat_ws("\x01", F.lit(key), "kind", "atom", F.col("draw").cast("string"))
+    digested = atoms.withColumn("digest", F.sha2(F.concat(F.lit(key), F.sha2(word, 256)), 256))
+    further = F.transform(F.sequence(F.lit(1), F.floor(F.length("atom") / 32).cast("int") + 1), lambda b: F.sha2(F.concat(F.lit(key), F.col("digest"), b.cast("string")), 256))
+    return digested.withColumn("hexes", F.concat(F.array("digest"), further)).drop("digest")
 
 
 def _luhn(digits: Column, ending: bool) -> Column:
@@ -112,30 +133,46 @@ def _luhn(digits: Column, ending: bool) -> Column:
     return F.aggregate(weighed, F.lit(0), lambda a, b: a + b)
 
 
-def _drawn(key: str) -> Column:
-    """The surrogate of (kind, atom, keep, tail) at its draw: `keep` first and `tail` last characters stay."""
-    kind, atom, h = F.col("kind"), F.col("atom"), F.col("hexes")
-    last = F.length(atom) - F.col("tail")
-    hexadecimal = kind.isin("SECRET", "HEX_KEY") & F.substring(atom, F.col("keep") + 1, F.length(atom)).rlike("^[0-9a-f]+$") | (kind == "IPV6")
+def _rest_97(digits: Column) -> Column:
+    """The remainder by 97 of a number in digits and letters, which count from a = 10 on."""
+    return F.aggregate(F.split(digits, ""), F.lit(0), lambda s, c: F.when(c.rlike("^[a-z]$"), F.pmod(s * 100 + F.ascii(c) - 87, F.lit(97))).when(c.rlike("^[0-9]$"), F.pmod(s * 10 + c.cast("int"), F.lit(97))).otherwise(s))
+
+
+def _iban(atom: Column, drawn: Column) -> Column:
+    """The drawn account with check digits of its own, if those of the atom are right."""
+    turned = lambda x, check: F.concat(F.substring(x, F.lit(5), F.length(x)), F.substring(x, F.lit(1), F.lit(2)), check)
+    right = _rest_97(turned(atom, F.substring(atom, 3, 2))) == 1
+    check = F.lpad((98 - _rest_97(turned(drawn, F.lit("00")))).cast("string"), 2, "0")
+    return F.when(right, F.concat(F.substring(drawn, F.lit(1), F.lit(2)), check, F.substring(drawn, F.lit(5), F.length(drawn)))).otherwise(drawn)
+
+
+def _drawn() -> Column:
+    """The surrogate of an atom at its draw: the `keep` first characters stay, those from `last` on, and all of a mask."""
+    kind, atom, h, hexadecimal = F.col("kind"), F.col("atom"), F.col("hexes"), F.col("hexadecimal")
+    two = lambda i: _digit(h, F.pmod(2 * i, F.lit(64))) * 256 + _digit(h, F.pmod(2 * i + 1, F.lit(64)))
     swapped = F.transform(
         F.split(atom, ""),
-        lambda c, i: F.when((i < F.col("keep")) | (i >= last) | _masked(), c)
+        lambda c, i: F.when((i < F.col("keep")) | (i >= F.col("last")) | F.col("masked"), c)
         .when(c.rlike(r"^\d$"), F.when((i == F.col("keep")) & kind.isin("PHONE", "CARD"), F.pmod(_digit(h, i), F.lit(8)) + 2).otherwise(F.pmod(_digit(h, i), F.lit(10))).cast("string"))
         .when(c.rlike("^[a-z]$"), F.char(F.lit(97) + F.pmod(_digit(h, i), F.when(hexadecimal, 6).otherwise(26))))
         .when(c.rlike(r"^\p{IsCyrillic}$"), F.substring(F.lit("абвгдежзиклмнопрстуфхцчшэюя"), F.pmod(_digit(h, i), F.lit(27)) + 1, F.lit(1)))
         .when(c.rlike(r"^\p{IsGreek}$"), F.substring(F.lit("αβγδεζηθικλμνξοπρστυφχψω"), F.pmod(_digit(h, i), F.lit(24)) + 1, F.lit(1)))
         .when(c.rlike(r"^\p{L}$"), F.char(F.lit(97) + F.pmod(_digit(h, i), F.lit(26))))
         .when(c.rlike(r"^\p{N}$"), F.pmod(_digit(h, i), F.lit(10)).cast("string"))
-        .when(kind == "SECRET", F.substring(F.lit(SIGNS), F.pmod(_digit(h, i), F.lit(len(SIGNS))) + 1, F.lit(1)))
+        .when(F.col("signed"), F.substring(F.lit(SIGNS), F.pmod(_digit(h, i), F.lit(len(SIGNS))) + 1, F.lit(1)))
         .otherwise(c),
     )
-    plain = F.array_join(swapped, "")
+    same = F.array_join(swapped, "")
+    more = F.transform(F.sequence(F.lit(0), F.floor(F.col("draw") / WIDER).cast("int")), lambda i: F.when(i > 0, F.pmod(_digit(h, F.pmod(i, F.lit(32))), F.lit(9)) + 1).cast("string"))
+    more = F.array_join(more, "")
+    more = F.when(F.col("masked"), "").when(kind == "EMAIL", F.translate(more, "123456789", "abcdefghi")).otherwise(more)
+    plain = F.concat(F.substring(same, F.lit(1), F.col("keep")), more, F.substring(same, F.col("keep") + 1, F.length(same)))
     head = F.substring(plain, F.lit(1), F.length(plain) - 1)
     card = F.when(_luhn(atom, True) % 10 == 0, F.concat(head, F.pmod(10 - F.pmod(_luhn(head, False), F.lit(10)), F.lit(10)).cast("string"))).otherwise(plain)
-    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.pmod(_digit(h, 2 * i) * 256 + _digit(h, 2 * i + 1), F.lit(254)) + 1).cast("string")), ".")
+    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3) + F.floor(F.col("draw") / MORE_OCTETS).cast("int")), lambda i: (F.pmod(two(i), F.lit(254)) + 1).cast("string")), ".")
     names = F.coalesce(_pick({f"GIVEN/{g}/{s}": n for (g, s), n in GIVEN.items()} | {f"SURNAME/{s}": n for s, n in SURNAMES.items()}, kind), F.array(F.lit("")))
-    named = F.array_join(F.transform(F.sequence(F.lit(0), F.floor(F.col("draw") / 4).cast("int")), lambda i: F.element_at(names, F.pmod(_digit(h, 2 * i) * 256 + _digit(h, 2 * i + 1), F.size(names)) + 1)), "-")
-    return F.when(kind == "IPV4", octets).when(kind == "CARD", card).when(kind.startswith("GIVEN") | kind.startswith("SURNAME"), named).otherwise(plain)
+    named = F.array_join(F.transform(F.sequence(F.lit(0), F.floor(F.col("draw") / MORE_NAMES).cast("int")), lambda i: F.element_at(names, F.pmod(two(i), F.size(names)) + 1)), "-")
+    return F.when(kind == "IPV4", octets).when(kind == "CARD", card).when(kind == "IBAN", _iban(atom, plain)).when(kind.startswith("GIVEN") | kind.startswith("SURNAME"), named).otherwise(plain)
 
 
 def _bare(entity: Column) -> Column:
@@ -154,30 +191,39 @@ def _atoms(entity: Column, kind: Column) -> Column:
     surname = F.element_at(names, -1)
     family = F.when(surname.rlike("[ая]$"), "CyrillicF").otherwise(script(surname))
     person = F.when(F.size(names) > 1, F.array(atom(F.concat_ws("/", F.lit("GIVEN"), gender, script(names[0])), F.lower(names[0])), atom(F.concat_ws("/", F.lit("SURNAME"), family), F.lower(surname)))).otherwise(F.array(atom(F.concat_ws("/", F.lit("SURNAME"), family), F.lower(surname))))
-    kept = (
-        F.when(kind == "PHONE", F.length(F.regexp_extract(entity, r"^\+(\d*)", 1)) * F.when(entity.rlike(r"^\+\d+[ .(-]"), 1).otherwise(0))
-        .when(kind == "CARD", 1).when(kind == "AWS_KEY", 4).when(kind == "IBAN", 2).otherwise(0)
-    )
+    kept = F.when(kind == "CARD", 1).when(kind == "AWS_KEY", 4).when(kind == "IBAN", 2).otherwise(0)
     tail = F.when(kind == "EMAIL", F.length(_bare(F.regexp_extract(entity, r"\.([A-Za-z0-9-]+)$", 1)))).otherwise(0)
-    _, value, signed = _secret(entity)
-    secret = F.when(signed, F.lower(F.translate(value, "İ", "i"))).otherwise(_bare(value))
-    return F.when(kind == "PERSON", person).when(kind.isin("IPV4"), F.array(atom(kind, entity))).when(kind == "SECRET", F.array(atom(kind, secret))).otherwise(F.array(atom(kind, _bare(entity), kept, tail)))
+    secret = F.array(atom(kind, F.lower(F.translate(_secret(entity)[1], "İ", "i"))))
+    national = F.array(atom(kind, _bare(F.regexp_replace(entity, PHONE_HEAD, ""))))
+    return F.when(kind == "PERSON", person).when(kind == "IPV4", F.array(atom(kind, entity))).when(kind == "SECRET", secret).when(kind == "PHONE", national).otherwise(F.array(atom(kind, _bare(entity), kept, tail)))
+
+
+def _cased(like: Column, text: Column, further: Column | int = 0) -> Column:
+    """Text with capitals where `like`, from `further` characters on, has them."""
+    shown = F.concat(F.array_repeat(F.lit(""), further) if not isinstance(further, int) else F.array().cast("array<string>"), F.split(like, ""))
+    return F.array_join(F.zip_with(shown, F.split(text, ""), lambda c, y: F.when(c.rlike(r"^\p{Lu}$"), F.upper(y)).otherwise(y)), "")
 
 
 def _written(entity: Column, kind: Column, atoms: Column) -> Column:
-    """The surrogate atoms in the entity's format."""
-    label, value, signed = _secret(entity)
-    secret = kind == "SECRET"
+    """The surrogate atoms in the entity's format; characters that a wider surrogate has more stand in its first run."""
+    label, value, ending, _ = _secret(entity)
+    head = F.when(kind == "PHONE", F.regexp_extract(entity, PHONE_HEAD, 0)).otherwise("")
+    body, new = F.substring(entity, F.length(head) + 1, F.length(entity)), atoms[0]
+    more = F.length(new) - F.length(_bare(body))
     laid = F.aggregate(
-        F.split(F.when(secret, value).otherwise(entity), ""),
-        F.struct(F.lit("").alias("out"), F.lit(1).alias("n")),
-        lambda s, c: F.when(
-            c.rlike(r"^[\p{L}\p{N}]$") | (secret & signed),
-            F.struct(F.concat(s["out"], F.when(c.rlike(r"^\p{Lu}$"), F.upper(F.substring(atoms[0], s["n"], F.lit(1)))).otherwise(F.substring(atoms[0], s["n"], F.lit(1)))).alias("out"), (s["n"] + 1).alias("n")),
-        ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["n"].alias("n"))),
+        F.regexp_extract_all(body, F.lit(RUNS), F.lit(0)),
+        F.struct(F.lit("").alias("out"), F.lit(0).alias("n"), more.alias("more")),
+        lambda s, t: F.when(
+            t.rlike(r"^[\p{L}\p{N}]"),
+            F.struct(F.concat(s["out"], _cased(t, F.substring(new, s["n"] + 1, F.length(t) + s["more"]))).alias("out"), (s["n"] + F.length(t) + s["more"]).alias("n"), F.lit(0).alias("more")),
+        ).otherwise(F.struct(F.concat(s["out"], t).alias("out"), s["n"].alias("n"), s["more"].alias("more"))),
         lambda s: s["out"],
     )
-    return F.when(kind == "PERSON", F.concat(F.regexp_extract(entity, rf"^({_TITLE} )", 1), F.array_join(atoms, " "))).when(kind == "IPV4", atoms[0]).when(secret, F.concat(label, laid)).otherwise(laid)
+    names = F.split(F.regexp_replace(entity, rf"^{_TITLE} ", ""), " ")
+    loud = lambda old, name: F.when((F.length(old) > 1) & (F.upper(old) == old), F.upper(name)).otherwise(name)
+    person = F.concat(F.regexp_extract(entity, rf"^({_TITLE} )", 1), F.array_join(F.zip_with(names, atoms, lambda old, name: loud(old, F.coalesce(name, old))), " "))
+    secret = F.concat(label, _cased(value, new, F.length(new) - F.length(value)), ending)
+    return F.when(kind.isin("PERSON", "NAMES"), person).when(kind == "IPV4", new).when(kind == "SECRET", secret).otherwise(F.concat(head, laid))
 
 
 class Surrogates:
@@ -189,40 +235,86 @@ class Surrogates:
     """
 
     def __init__(self, docs: DataFrame, key: str):
-        self.key = key
+        self.key, self.pattern = key, ANY
         text = F.coalesce(F.col("text"), F.lit(""))
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
-        found = self.docs.select("doc_id", "tie", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found")).filter(F.size("found") > 0).dropDuplicates(["doc_id", "tie"])
-        each = found.select("doc_id", "tie", F.posexplode("found").alias("at", "entity")).withColumn("type", _type(F.col("entity")))
-        each = each.select("*", F.posexplode(_atoms(F.col("entity"), F.col("type"))).alias("part", "of"))
-        self.found = checkpointed(each.select("doc_id", "tie", "at", "entity", "type", "part", "of.*"))
+        self.found = checkpointed(self._entities(ANY))
+        pair = F.max(F.when(F.col("part") == 0, F.struct("atom", "kind"))).alias("given"), F.max(F.when(F.col("part") == 1, F.struct("atom", "kind"))).alias("family")
+        people = self.found.filter("type = 'PERSON'").groupBy("doc_id", "tie", "at").agg(*pair).filter("family is not null")
+        people = checkpointed(people.groupBy("given.atom", "family.atom").agg(F.min("given.kind").alias("given_kind"), F.min("family.kind").alias("family_kind")).toDF("given", "family", "given_kind", "family_kind"))
+        if people.limit(1).count():
+            self.pattern = rf"(?:{ANY})|(?<![\p{{L}}\p{{N}}]){NAMES}"
+            self.found = checkpointed(self._with_people(self._entities(self.pattern), people))
+
+    def _entities(self, pattern: str) -> DataFrame:
+        """(doc_id, tie, at, entity, type, part, kind, atom, keep, tail): the atoms of what the pattern finds; names without a title have one for each name."""
+        found = self.docs.select("doc_id", "tie", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("found")).filter(F.size("found") > 0).dropDuplicates(["doc_id", "tie"])
+        each = found.select("doc_id", "tie", F.posexplode("found").alias("at", "entity")).withColumn("type", F.coalesce(_type(F.col("entity")), F.lit("NAMES")))
+        name = F.transform(F.split("entity", " "), lambda n: F.struct(F.lit("NAME").alias("kind"), F.lower(n).alias("atom"), F.lit(0).alias("keep"), F.lit(0).alias("tail")))
+        return each.select("*", F.posexplode(F.when(F.col("type") == "NAMES", name).otherwise(_atoms(F.col("entity"), F.col("type")))).alias("part", "of")).select("doc_id", "tie", "at", "entity", "type", "part", "of.*")
+
+    def _with_people(self, found: DataFrame, people: DataFrame) -> DataFrame:
+        """Names without a title stay where two in a row are a known full name."""
+        w = Window.partitionBy("doc_id", "tie", "at").orderBy("part")
+        names = found.filter("type = 'NAMES'").withColumn("next", F.lead("atom").over(w)).filter("next is not null")
+        pairs = names.join(people, (names["atom"] == people["given"]) & (names["next"] == people["family"])).drop("kind", "atom", "given", "next")
+        as_part = lambda step, atom, kind: pairs.withColumn("part", F.col("part") + step).withColumn("atom", atom).withColumn("kind", F.col(kind))
+        given = as_part(0, F.lower(F.element_at(F.split("entity", " "), F.col("part") + 1)), "given_kind")
+        family = as_part(1, F.col("family"), "family_kind")
+        keep = ["doc_id", "tie", "at", "entity", "type", "part", "kind", "atom", "keep", "tail"]
+        # a name that is one person's last and the next one's first is taken once
+        known = given.select(keep).unionByName(family.select(keep)).groupBy("doc_id", "tie", "at", "part").agg(F.min(F.struct("kind", "atom", "entity", "type", "keep", "tail")).alias("one")).select("doc_id", "tie", "at", "part", "one.*")
+        return found.filter("type != 'NAMES'").select(keep).unionByName(known.select(keep))
 
     def table(self) -> DataFrame:
         """(kind, atom, surrogate) of every distinct atom."""
-        atoms = self.found.groupBy("kind", "atom").agg(F.min("keep").alias("keep"), F.min("tail").alias("tail")).withColumn("draw", F.lit(0))
-        done = None
-        for _ in range(MOST_DRAWS):
-            drawn = atoms.withColumn("hexes", _hexes(self.key, F.col("kind"), F.col("atom"), F.col("draw"))).withColumn("surrogate", _drawn(self.key)).drop("hexes")
-            space = F.regexp_replace("kind", "^(GIVEN|SURNAME).*", "NAME")
-            taken = drawn.select(space.alias("s"), F.lower("surrogate").alias("x"), F.col("atom").alias("owner"), F.lit(1).alias("rank"), "kind")
-            real = drawn.select(space.alias("s"), F.col("atom").alias("x"), F.lit(None).cast("string").alias("owner"), F.lit(0).alias("rank"), "kind")
-            # of all that want a value, an atom that is really there comes first, then the least atom
-            first = taken.unionByName(real).groupBy("s", "x").agg(F.min(F.struct("rank", "kind", "owner")).alias("first"))
-            judged = drawn.withColumn("s", space).withColumn("x", F.lower("surrogate")).join(first, ["s", "x"])
-            good = (F.col("first.rank") == 1) & F.col("first.owner").eqNullSafe(F.col("atom")) & (F.col("first.kind") == F.col("kind")) | _masked()
-            done = checkpointed(judged.select("kind", "atom", "keep", "tail", "draw", "surrogate", good.alias("good")))
-            if not done.filter(~F.col("good")).limit(1).count():
-                return done.select("kind", "atom", "surrogate")
-            atoms = done.select("kind", "atom", "keep", "tail", F.when(F.col("good"), F.col("draw")).otherwise(F.col("draw") + 1).alias("draw"))
-        raise RuntimeError(f"surrogates still meet after {MOST_DRAWS} draws")
+        kind, atom = F.col("kind"), F.col("atom")
+        atoms = self.found.groupBy("kind", "atom").agg(F.min("keep").alias("keep"), F.min("tail").alias("tail"))
+        # names start with as many parts as their number asks for
+        sizes = {r.kind: r.n for r in atoms.filter("kind rlike '^(GIVEN|SURNAME)'").groupBy("kind").agg(F.count("*").alias("n")).collect()}  # a row for each list of names
+        lists = {f"GIVEN/{g}/{s}": len(n) for (g, s), n in GIVEN.items()} | {f"SURNAME/{s}": len(n) for s, n in SURNAMES.items()}
+        start = F
+        for k, n in sorted(sizes.items()):
+            start = start.when(kind == k, MORE_NAMES * max(0, math.ceil(math.log(n, lists[k]) - 1e-9) - 1))
+        start = start.otherwise(0) if sizes else F.lit(0)
+        hexadecimal = kind.isin("SECRET", "HEX_KEY") & F.substring(atom, F.col("keep") + 1, F.length(atom)).rlike("^[0-9a-f]+$") | (kind == "IPV6")
+        waiting = checkpointed(atoms.select(
+            "kind", "atom", "keep", F.regexp_replace(kind, "^(GIVEN|SURNAME).*", "NAME").alias("space"), (F.length(atom) - F.col("tail")).alias("last"),
+            hexadecimal.alias("hexadecimal"), _masked().alias("masked"), ((kind == "SECRET") & (F.length(_bare(atom)) < FEW_SIGNED)).alias("signed"), start.alias("draw"),
+        ))
+        claimed = waiting.select("space", F.col("atom").alias("x")).distinct()
+        settled = None
+        while True:
+            # written out first: the filters that joins bring with them would compute all this again, within each lambda
+            drawn = checkpointed(_with_hexes(waiting, self.key).withColumn("surrogate", _drawn()).drop("hexes").withColumn("x", F.lower("surrogate")))
+            # what is really there or given already is nobody's; of all that want a value, the least atom has it
+            owner = drawn.join(claimed, ["space", "x"], "left_anti").groupBy("space", "x").agg(F.min(F.struct("kind", "atom")).alias("owner"))
+            good = F.coalesce(F.col("owner") == F.struct("kind", "atom"), F.lit(False)) | F.col("masked")
+            judged = checkpointed(drawn.join(owner, ["space", "x"], "left").withColumn("good", good).drop("owner"))
+            now = judged.filter("good")
+            settled = now if settled is None else settled.unionByName(now)
+            waiting = judged.filter("not good").drop("x", "surrogate", "good").withColumn("draw", F.col("draw") + 1)
+            if not waiting.limit(1).count():
+                return settled.select("kind", "atom", "surrogate")
+            claimed = claimed.unionByName(now.select("space", "x"))
 
     def texts(self) -> DataFrame:
         """doc_id, text with surrogates, n_entities, types: a row for each document."""
         named = self.found.join(self.table(), ["kind", "atom"])
-        entities = named.groupBy("doc_id", "tie", "at").agg(F.first("entity").alias("entity"), F.first("type").alias("type"), F.transform(F.array_sort(F.collect_list(F.struct("part", "surrogate"))), lambda x: x["surrogate"]).alias("atoms"))
-        entities = entities.withColumn("written", _written(F.col("entity"), F.col("type"), F.col("atoms")))
+        parts = F.array_sort(F.collect_list(F.struct("part", "surrogate")))
+        entities = named.groupBy("doc_id", "tie", "at").agg(F.first("entity").alias("entity"), F.first("type").alias("type"), parts.alias("of"))
+        # a surrogate for each name, null for those that stay
+        spread = F.transform(F.split("entity", " "), lambda _, i: F.get(F.transform(F.filter("of", lambda x: x["part"] == i), lambda x: x["surrogate"]), F.lit(0)))
+        entities = entities.withColumn("atoms", F.when(F.col("type") == "NAMES", spread).otherwise(F.transform("of", lambda x: x["surrogate"])))
+        entities = entities.withColumn("written", _written(F.col("entity"), F.col("type"), F.col("atoms"))).withColumn("type", F.when(F.col("type") == "NAMES", "PERSON").otherwise(F.col("type")))
         by_doc = entities.groupBy(F.col("doc_id").alias("found_id"), F.col("tie").alias("found_tie")).agg(F.array_sort(F.collect_list(F.struct("at", "written", "type"))).alias("new"))
         joined = self.docs.join(by_doc, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("tie") == F.col("found_tie")), "left")
-        parts = F.split("text", ANY, -1)
-        text = F.array_join(F.transform(parts, lambda p, i: F.concat(p, F.when(i < F.size("new"), F.col("new")[i]["written"]).otherwise(F.lit("")))), "")
-        return joined.select("doc_id", F.when(F.col("new").isNull(), F.col("text")).otherwise(text).alias("text"), F.when(F.col("new").isNull(), 0).otherwise(F.size("new")).cast("long").alias("n_entities"), F.coalesce(F.array_sort(F.array_distinct(F.transform("new", lambda x: x["type"]))), F.array().cast("array<string>")).alias("types"))
+        there = F.col("new").isNotNull()
+        # between texts and what was found behind each; a column each, since a lambda would compute them for every element
+        cut = joined.withColumn("between", F.when(there, F.split("text", self.pattern, -1))).withColumn("said", F.when(there, F.regexp_extract_all("text", F.lit(self.pattern), F.lit(0))))
+        cut = cut.withColumn("whole", F.zip_with("between", "said", lambda p, e: F.concat(p, F.coalesce(e, F.lit("")))))
+        before = lambda i: F.when(i > 0, F.col("new")[F.greatest(i - 1, F.lit(0))]["at"] + 1).otherwise(0)
+        pieces = F.transform("new", lambda x, i: F.concat(F.array_join(F.slice("whole", before(i) + 1, x["at"] - before(i)), ""), F.col("between")[x["at"]], x["written"]))
+        after = F.element_at("new", -1)["at"] + 1
+        text = F.concat(F.array_join(pieces, ""), F.array_join(F.slice("whole", after + 1, F.greatest(F.size("whole") - after, F.lit(0))), ""))
+        return cut.select("doc_id", F.when(there, text).otherwise(F.col("text")).alias("text"), F.when(there, F.size("new")).otherwise(0).cast("long").alias("n_entities"), F.coalesce(F.array_sort(F.array_distinct(F.transform("new", lambda x: x["type"]))), F.array().cast("array<string>")).alias("types"))

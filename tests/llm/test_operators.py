@@ -388,6 +388,74 @@ def test_surrogates_of_secrets_without_letters(spark):
     assert out[6].text.split("=")[1] == out[7].text.split(": ")[1] != "b7db7aa4a5fcc78305"
 
 
+def test_surrogates_are_one_for_each_writing(spark):
+    """A phone with and without its country code, a person with and without a title, capitals, short IPv6, valid IBANs."""
+    rows = [
+        (1, "call +1 (988) 555-2485 or (988) 555-2485 or 988-555-2485 or +1 988 555 2485"),
+        (2, "Mr. John Smith was here. Then John Smith left, and JOHN SMITH came back; John Brown did not. Mr. SMITH too."),
+        (3, "Later John Smith Junior wrote. The End."),
+        (4, "hosts 2001:db8::1, fe80::1ff:fe23:4567:890a and 2001:db8:0:0:0:0:0:2; std::vector and 12::30"),
+        (5, "IBAN DE89 3704 0044 0532 0130 00 or DE89370400440532013000, bad DE00 3704 0044 0532 0130 00."),
+        (6, "password: s3cr3t-Word! then pwd=S3CR3T-word."),
+        (7, "+49 30 123456 and (030) 123456"),
+        (8, "The Password: geheim123 and Contact Ann.b7@mail.com, Then Mrs. Ann Green and Miss Ann Green"),
+    ]
+    out = {r.doc_id: r for r in Surrogates(C.frame(spark, rows), "k").texts().collect()}
+    digits = [re.sub(r"\D", "", x) for x in re.fullmatch(r"call \+1 (.*) or (.*) or (.*) or \+1 (.*)", out[1].text).groups()]
+    assert len(set(digits)) == 1 and len(digits[0]) == 10 and digits[0] != "9885552485"
+    assert re.fullmatch(r"call \+1 \(\d{3}\) \d{3}-\d{4} or \(\d{3}\) \d{3}-\d{4} or \d{3}-\d{3}-\d{4} or \+1 \d{3} \d{3} \d{4}", out[1].text)
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) was here\. Then (\w+) (\w+) left, and (\w+) (\w+) came back; John Brown did not\. Mr\. (\w+) too\.", out[2].text)
+    assert (m[1], m[2]) == (m[3], m[4]) == (m[5].title(), m[6].title()) and m[5].isupper() and m[7] == m[2].upper() and m[1] != "John" and m[2] != "Smith"
+    assert out[3].text == f"Later {m[1]} {m[2]} Junior wrote. The End." and out[3].n_entities == 1 and out[3].types == ["PERSON"]
+    v6 = re.fullmatch(r"hosts ([0-9a-f:]+), ([0-9a-f:]+) and ([0-9a-f:]+); std::vector and (\S+)", out[4].text)
+    assert [re.sub("[0-9a-f]", "x", x) for x in v6.groups()[:3]] == ["xxxx:xxx::x", "xxxx::xxx:xxxx:xxxx:xxxx", "xxxx:xxx:x:x:x:x:x:x"] and "db8" not in out[4].text
+    ibans = re.fullmatch(r"IBAN (DE.*) or (DE\d{20}), bad (DE.*)\.", out[5].text).groups()
+    number = lambda x: int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97
+    assert ibans[0].replace(" ", "") == ibans[1] != "DE89370400440532013000" and number(ibans[1]) == 1 and "3704" not in ibans[2]
+    a, b = re.fullmatch(r"password: (\S+)! then pwd=(\S+)\.", out[6].text).groups()
+    assert a.lower() == b.lower() != "s3cr3t-word" and re.fullmatch(r"[a-z]\d[a-z]{2}\d[a-z]-[A-Z][a-z]{3}", a) and re.fullmatch(r"[A-Z]\d[A-Z]{2}\d[A-Z]-[a-z]{4}", b)
+    a, b = re.fullmatch(r"\+49 (\d\d \d{6}) and \(0(\d\d\) \d{6})", out[7].text).groups()
+    assert a == b.replace(")", "") != "30 123456"
+    assert out[8].types == ["EMAIL", "PERSON", "SECRET"] and out[8].n_entities == 4 and not re.search(r"geheim|b7|\bAnn\b|Green", out[8].text)
+
+
+def test_surrogates_where_their_space_is_full(spark):
+    """All addresses of one letter at one domain: the surrogates get longer instead of meeting."""
+    rows = [(i, f"from {chr(97 + i % 26)}{'0123456789'[i // 26]}@q.org") for i in range(260)]
+    out = {r.doc_id: r.text for r in Surrogates(C.frame(spark, rows), "k").texts().collect()}
+    assert len(set(out.values())) == 260 and not set(out.values()) & {t for _, t in rows}
+    assert all(re.fullmatch(r"from [a-z]+\d@[a-z]\.org", t) for t in out.values())
+
+
+def test_surrogates_of_the_corpus_and_long_texts(spark):
+    """Outside of what the patterns find, read here with another engine, nothing changes; a long secret and many entities are replaced whole."""
+    import regex
+
+    from cantoria.llm import pii
+
+    rows = [r for r in C.corpus() if r[0] is None or r[0] < 80] + [(500, "token=" + "aB3" * 30_000 + " end"), (501, " ".join(f"u{i}@h{i % 7}.net" for i in range(3000))), (502, None)]
+    rows += [(503 + i, f"{C.text(random.Random(i), 30)} ann{i % 5}@mail.com +1 (20{i % 3}) 555-000{i % 4} {C.text(random.Random(i + 50), 20)} 10.0.{i}.1") for i in range(12)]
+    out = C.by_row((r.doc_id, r.text, r.n_entities) for r in Surrogates(C.frame(spark, rows), "k").texts().collect())
+    pattern = regex.compile(pii.ANY.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}"))
+    assert len(out) == len(rows)
+    texts = {i: t for i, t, _ in out if i is not None}
+    seen = {}
+    for i, t in rows:
+        if i is None:
+            continue
+        old, new = t or "", texts[i]
+        entities = pattern.findall(old)
+        assert dict((i, n) for i, _, n in out)[i] == len(entities)
+        between = pattern.split(old)
+        found = regex.fullmatch("(.+?)".join(map(regex.escape, between)), new, flags=regex.DOTALL) if len(entities) < 50 else None
+        if found:
+            for e, x in zip(entities, found.groups(), strict=True):
+                assert x != e and seen.setdefault(e, x) == x
+        assert not any(e in new for e in entities if len(e) > 6)
+    assert len(set(seen.values())) == len(seen)
+    assert re.fullmatch(r"token=(?:[a-z][A-Z]\d){30000} end", texts[500])
+
+
 def test_surrogates_stay_distinct(spark):
     """More people than names, and more addresses of one form than letters would keep apart by chance."""
     rows = [(i, f"Mr. {chr(65 + i % 26)}{'aeiou'[i // 26 % 5]}xov wrote from {chr(97 + i % 26)}@{chr(97 + i // 26)}.org") for i in range(130)]
