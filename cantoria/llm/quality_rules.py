@@ -22,7 +22,6 @@ from .textbytes import slices, text_buffer
 
 BITS = 16
 GRAM = 3
-SLICES = 64
 #: log(1 / 2): on average, the n-grams of a rejected text are less than half as likely in trusted text.
 THRESHOLD = -0.693147
 
@@ -72,19 +71,15 @@ class QualityRules:
                     raw += np.bincount(b[ok], minlength=1 << BITS)
                     mine = np.repeat(piece.column("trusted").to_numpy(zero_copy_only=False), np.diff(offsets))[: len(b)]
                     good += np.bincount(b[ok & mine], minlength=1 << BITS)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES), pa.int32()), *(pa.array([x.tobytes() for x in np.split(c, SLICES)], pa.binary()) for c in (raw, good))], ["slice", "raw", "good"])
+            there = np.flatnonzero(raw)
+            yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(raw[there]), pa.array(good[there])], ["bin", "raw", "good"])
 
-        def add(table: pa.Table) -> pa.Table:
-            total = [sum(np.frombuffer(x.as_py(), np.int64) for x in table.column(c)) for c in ("raw", "good")]
-            return pa.table({"slice": table.column("slice")[:1], "raw": pa.array([total[0].tobytes()], pa.binary()), "good": pa.array([total[1].tobytes()], pa.binary())})
-
-        schema = "slice int, raw binary, good binary"
         # always the same join: it would be a broadcast on small tables only, and grow by leaps
         marked = self.plain.join(self.trusted.hint("merge"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-        summed = marked.mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).collect()  # SLICES rows of fixed size
-        if not summed:
-            return None
-        raw, good = (np.concatenate([np.frombuffer(r[c], np.int64) for r in sorted(summed, key=lambda r: r["slice"])]) for c in ("raw", "good"))
+        summed = marked.mapInArrow(count, "bin int, raw long, good long").groupBy("bin").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()  # a row for each bin
+        raw, good = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+        at = summed.column("bin").to_numpy()
+        raw[at], good[at] = summed.column("raw").to_numpy(), summed.column("good").to_numpy()
         if not good.sum():
             return None
         return np.log((good + 1) / (good.sum() + len(good))) - np.log((raw + 1) / (raw.sum() + len(raw)))
