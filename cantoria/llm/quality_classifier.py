@@ -2,9 +2,10 @@
 
 Statistics of a whole document, standardised over the training rows, pass
 through random Fourier features of a Gaussian kernel. Each partition sums its
-part of the normal equations; the ridge scores of the training rows, summed in
-a fixed number of bins, are made monotone by pooling adjacent violators, and
-interpolation gives the score.
+part of the normal equations, by fold; a fold's rows are scored by the ridge of
+the other folds, and these scores, summed in a fixed number of bins, are made
+monotone by pooling adjacent violators. Interpolation of what the ridge of all
+folds says gives the score.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from .textbytes import slices
 
 FEATURES = 256
 CALIBRATION_BINS = 1024
+#: Training rows fall into folds by their statistics, so that copies of a text share one.
+FOLDS = 4
+#: Sums travel as whole multiples of 2**-20: their total doesn't depend on the order in which they meet.
+GRAIN = float(1 << 20)
 STATISTICS = ("log_words", "word_length", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "bang_share", "digit_share", "log_line", "distinct_share", "long_word_share", "stop_share", "high_byte_share", "space_share")
 
 
@@ -88,7 +93,7 @@ class QualityClassifier:
         held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
         self.scored = self.described.withColumn("held_out", F.coalesce(held, F.lit(False)))
         known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")).filter("y is not null")
-        self.training = checkpointed(self.scored.filter(~F.col("held_out")).join(known, "doc_id").select("x", "y"))
+        self.training = checkpointed(self.scored.filter(~F.col("held_out")).join(known, "doc_id").select("x", "y", F.pmod(F.xxhash64("x"), F.lit(FOLDS)).cast("int").alias("fold")))
 
     def fit(self):
         """(mean, spread, coefficients, knots, levels); None with fewer than two labels."""
@@ -99,29 +104,34 @@ class QualityClassifier:
         spread = np.where(spread > 1e-9, spread, 1.0)
         wave, width = (self.weights, self.phases), FEATURES + 2
 
+        upper = np.triu_indices(width)
+
         def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((width, width))
+            total = np.zeros((FOLDS, width, width))
             for batch in batches:
                 x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, len(mean)))
                 a = np.column_stack((lifted(x, mean, spread, *wave), batch.column(1).to_numpy()))
-                total += a.T @ a
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width), pa.int32()), pa.array([r.tobytes() for r in total], pa.binary())], ["i", "row"])
-
-        def add(table: pa.Table) -> pa.Table:
-            rows = np.array([np.frombuffer(x.as_py()) for x in table.column("row")])
-            return pa.table({"i": table.column("i")[:1], "row": pa.array([rows[np.lexsort(rows.T)].sum(0).tobytes()], pa.binary())})
-
-        summed = self.training.mapInArrow(gram, "i int, row binary").groupBy("i").applyInArrow(add, "i int, row binary").collect()  # FEATURES + 2 rows
-        total = np.array([np.frombuffer(r["row"]) for r in sorted(summed, key=lambda r: r["i"])])
-        a, b = total[:-1, :-1], total[:-1, -1]
-        penalty = self.ridge * np.eye(len(a))
-        penalty[0, 0] = 0
-        beta = np.linalg.solve(a + penalty, b)
+                fold = batch.column(2).to_numpy()
+                for f in range(FOLDS):
+                    total[f] += a[fold == f].T @ a[fold == f]
+            part = np.rint(total[:, *upper] * GRAIN).astype(np.int64)
+            fold, at = np.nonzero(part)
+            yield pa.RecordBatch.from_arrays([pa.array(fold, pa.int32()), pa.array(at, pa.int32()), pa.array(part[fold, at])], ["fold", "at", "part"])
+
+        summed = self.training.mapInArrow(gram, "fold int, at int, part long").groupBy("fold", "at").agg(F.sum("part").alias("part")).toArrow()  # FOLDS * FEATURES ** 2 / 2 rows or so
+        total = np.zeros((FOLDS, width, width))
+        at = summed.column("at").to_numpy()
+        total[summed.column("fold").to_numpy(), upper[0][at], upper[1][at]] = summed.column("part").to_numpy() / GRAIN
+        total += np.triu(total, 1).transpose(0, 2, 1)
+        penalty = self.ridge * np.eye(width - 1)
+        penalty[0, 0] = 1e-9  # the constant is free; the grain keeps a fold of no rows solvable
+        solved = lambda t: np.linalg.solve(t[:-1, :-1] + penalty, t[:-1, -1])
+        beta, without = solved(total.sum(0)), np.array([solved(total.sum(0) - total[f]) for f in range(FOLDS)])
 
         def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    s = lifted(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1), mean, spread, *wave) @ beta
+                    s = (lifted(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1), mean, spread, *wave) * without[batch.column(2).to_numpy()]).sum(1)
                     at = np.clip((s + 0.5) / 2 * CALIBRATION_BINS, 0, CALIBRATION_BINS - 1).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([pa.array(at), batch.column(1)], ["bin", "y"])
 
