@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import session
@@ -120,11 +120,13 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 0, ranks_path:
 
 def read(manifest: DataFrame, folder: str) -> DataFrame:
     """The documents in the shards of a manifest: doc_id, start, n_tokens, ids_crc32."""
-    spark = manifest.sparkSession
-    rows, start = [], 0
-    for r in sorted(manifest.collect()):  # one row for each shard
-        rows.append((r.path, r.width, start))
-        start += r.tokens
+    # ids before each shard: running sums within groups of shards, and of the groups' totals, of which there are few
+    grouped = manifest.withColumn("group", F.floor(F.col("shard") / 1024))
+    earlier = lambda order: Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = grouped.groupBy("group").agg(F.sum("tokens").alias("tokens"))
+    base = totals.select("group", F.coalesce(F.sum("tokens").over(earlier("group")), F.lit(0)).alias("base"))
+    within = F.coalesce(F.sum("tokens").over(Window.partitionBy("group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    listed = grouped.withColumn("within", within).join(base, "group").select("path", "width", (F.col("base") + F.col("within")).alias("start"))
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,8 +143,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                 cols = list(zip(*out, strict=True)) or [()] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    listed = spark.createDataFrame(rows, "path string, width int, start long")
-    return listed.repartition(max(1, len(rows)), "path").mapInArrow(load, schema)
+    return listed.repartition(max(1, manifest.count()), "path").mapInArrow(load, schema)
 
 
 def read_record(folder: str, path: str, at: int, width: int) -> tuple[int | None, np.ndarray]:
