@@ -2,13 +2,15 @@
 
 Texts are split into the tokenizer's own words; the words of all chunks meet in
 buckets, where each distinct word is encoded once; its ids go back to the
-chunks that hold it and are put in place by word position. Decoding looks each
-id up in the id-to-piece table.
+chunks that hold it and are put in place by word position. Decoding joins each
+id with its piece, within the task that has the ids (an exchange of single ids
+would move many times the text), and puts the pieces in order of position.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -30,6 +32,7 @@ WORDS = "chunk int, bucket int, words binary"
 CODES = "chunk int, bucket int, sizes binary, ids binary"
 #: The split pattern of the word-level vocabulary, over all characters (for regex) and over those of PLAIN (for re).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZED = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 LETTERS, NUMBERS = "a-zA-ZªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 PLAIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+")
 #: Anything but characters below U+0250 that aren't control characters: those str.lower and this pattern treat as the tokenizer does, and they are composed already.
@@ -53,11 +56,25 @@ def pieces(path: str) -> dict[int, str]:
 
 
 @lru_cache(maxsize=4)
-def spelled(path: str) -> tuple[pa.Array, pa.Array]:
-    """By id, with a blank behind: its figures, and its piece (the id-to-piece table)."""
-    table = pieces(path)
-    ids = range(max(table) + 1)
-    return pa.array([f"{i} " for i in ids], pa.large_string()), pa.array([f"{table.get(i, '')} " for i in ids], pa.large_string())
+def figures(path: str) -> pa.Array:
+    """By id: its figures, with a blank behind."""
+    return pa.array([f"{i} " for i in range(max(pieces(path)) + 1)], pa.large_string())
+
+
+@lru_cache(maxsize=4)
+def piece_table(path: str) -> pa.Table:
+    """The id-to-piece table; a blank stands behind each piece."""
+    known = sorted(pieces(path).items())
+    return pa.table({"id": pa.array([i for i, _ in known], pa.int32()), "piece": pa.array([f"{p} " for _, p in known], pa.large_string())})
+
+
+def joined_pieces(ids: np.ndarray, path: str) -> pa.Array:
+    """The piece of each id, by a join with the id-to-piece table, in order of position; unknown ids have an empty one."""
+    placed = pa.table({"at": np.arange(len(ids), dtype=np.int32), "id": ids.astype(np.int32)})
+    found = placed.join(piece_table(path), "id", join_type="left outer", use_threads=False)
+    order = np.empty(len(ids), np.int64)
+    order[found.column("at").to_numpy()] = np.arange(len(ids))
+    return found.column("piece").combine_chunks().fill_null("").take(pa.array(order))
 
 
 @lru_cache(maxsize=4)
@@ -66,6 +83,10 @@ def splitter(path: str):
     tok = tokenizer(path)
     special = [x.content for x in tok.get_added_tokens_decoder().values()]
     cut = regex.compile("(" + "|".join(regex.escape(x) for x in special) + ")") if special else None
+    rules = json.loads(tok.to_str())
+    shape = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0].get("pattern")
+    if (normalized := rules["normalizer"]) != NORMALIZED or shape != {"Regex": WORD_PATTERN} or rules["decoder"]:
+        raise ValueError(f"{path} doesn't split or decode words by the rules of this module: {normalized}, {rules['pre_tokenizer']}")
     find = PLAIN_WORDS.findall
 
     def plain(text: str) -> list[str]:
@@ -75,7 +96,7 @@ def splitter(path: str):
         return [text[a:z] for _, (a, z) in tok.pre_tokenizer.pre_tokenize_str(text)]
 
     def split(text: str) -> list[str]:
-        if cut is None or "<|" not in text:
+        if not any(x in text for x in special):
             return plain(text)
         out = []
         for part in cut.split(text):
@@ -126,6 +147,7 @@ class WordTableBpe:
 
     def __init__(self, docs: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES):
         self.path = path
+        splitter(path)  # raises where the file has other rules
         self.chunks, self.buckets = chunked(docs, chunk_bytes)
 
     def codes(self) -> DataFrame:
@@ -186,7 +208,7 @@ class WordTableBpe:
 
         def build(doc_ids: list, ids: np.ndarray, ends: np.ndarray, path: str) -> list[dict]:
             # each id's figures and its piece, with a blank behind: a document's are then one range of bytes, less the last
-            views = [(memoryview(data), at[ends]) for data, at in (text_buffer(column.take(pa.array(ids))) for column in spelled(path))]
+            views = [(memoryview(data), at[ends]) for data, at in map(text_buffer, (figures(path).take(pa.array(ids)), joined_pieces(ids, path)))]
             digest = lambda v, a, z: hashlib.sha256(v[a : max(a, z - 1)]).hexdigest()
             return [{"doc_id": d, "n_tokens": int(ends[i + 1] - ends[i]), "ids_sha256": digest(views[0][0], views[0][1][i], views[0][1][i + 1]), "decoded_sha256": digest(views[1][0], views[1][1][i], views[1][1][i + 1])} for i, d in enumerate(doc_ids)]
 
@@ -197,7 +219,7 @@ class WordTableBpe:
         """doc_id, n_tokens, ids and the decoded text."""
 
         def build(doc_ids: list, ids: np.ndarray, ends: np.ndarray, path: str) -> list[dict]:
-            data, at = text_buffer(spelled(path)[1].take(pa.array(ids)))
+            data, at = text_buffer(joined_pieces(ids, path))
             at = at[ends]
             return [{"doc_id": d, "n_tokens": int(ends[i + 1] - ends[i]), "ids": ids[ends[i] : ends[i + 1]], "decoded": data[at[i] : max(at[i], at[i + 1] - 1)].tobytes().decode()} for i, d in enumerate(doc_ids)]
 
