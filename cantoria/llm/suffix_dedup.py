@@ -93,7 +93,7 @@ def entries(table: pa.Table, length: int, k: int, buckets: int):
     anchor, content = cat([p.anchor for p in parts], np.uint64), cat([p.content for p in parts], np.uint64)
     doc = cat(docs, np.int64)
     bucket = (anchor % np.uint64(buckets)).astype(np.int32)
-    key, content = (anchor >> np.uint64(32)).astype(np.uint32), content >> np.uint64(16)
+    key = (anchor >> np.uint64(32)).astype(np.uint32)
     order = np.lexsort((doc, content, key, bucket))
     b, x, c = bucket[order], key[order], content[order]
     first = np.ones(len(order), bool)
@@ -117,16 +117,6 @@ def _runs(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(sorted_values[a]), int(a), int(b)
 
 
-def _six(x: np.ndarray) -> bytes:
-    return pack(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-
-
-def _from_six(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
 def _pack_docs(docs: np.ndarray) -> tuple[bytes, bytes]:
     own, at = np.unique(docs, return_inverse=True)
     return pack(np.diff(own, prepend=np.int64(0)), True), pack(at.astype(np.uint32), True)
@@ -142,11 +132,11 @@ def _rows(rows: list[dict], schema: str) -> pa.Table:
     return pa.table({n: pa.array([r.get(n) for r in rows], t) for n, t in fields})
 
 
-def verdicts(table: pa.Table) -> pa.Table:
+def verdicts(table: pa.Table, wide: int = WIDE_ANCHOR) -> pa.Table:
     """For each entry of the bucket: is its anchor shared, and does a smaller document hold the same fragment?"""
     rows = table.to_pylist()
     keys = [unpack(r["keys"], np.uint32) for r in rows]
-    key, content = np.concatenate(keys), np.concatenate([_from_six(r["contents"]) for r in rows])
+    key, content = np.concatenate(keys), np.concatenate([unpack(r["contents"], np.uint64) for r in rows])
     doc = np.concatenate([_unpack_docs(r["docs"], r["doc_at"]) for r in rows])
     order = np.lexsort((doc, content, key))
     x, c, d = key[order], content[order], doc[order]
@@ -161,7 +151,7 @@ def verdicts(table: pa.Table) -> pa.Table:
     several = (np.minimum.reduceat(d, heads) != np.maximum.reduceat(d, heads))[of_key]
     said = np.full(len(x), FIRST, np.uint8)
     said[several & (contents > 1)] = MIXED
-    said[several & (contents > WIDE_ANCHOR)] = WIDE
+    said[several & (contents > wide)] = WIDE
     said[least < d] = COVERED
     out = np.empty_like(said)
     out[order] = said
@@ -285,8 +275,8 @@ class SuffixDedup:
     may have any name.
     """
 
-    def __init__(self, docs: DataFrame, length: int = 50, k: int = 20, chunk_bytes: int = CHUNK_BYTES):
-        self.length, self.k = length, k
+    def __init__(self, docs: DataFrame, length: int = 50, k: int = 20, chunk_bytes: int = CHUNK_BYTES, wide: int = WIDE_ANCHOR):
+        self.length, self.k, self.wide = length, k, wide
         self.chunks, self.buckets = chunked(docs, chunk_bytes)
 
     def _fragments(self) -> DataFrame:
@@ -298,7 +288,7 @@ class SuffixDedup:
             out = []
             for b, i, j in _runs(bucket):
                 docs, at = _pack_docs(doc[i:j])
-                out.append({"chunk": chunk, "bucket": b, "keys": pack(key[i:j]), "contents": _six(content[i:j]), "docs": docs, "doc_at": at})
+                out.append({"chunk": chunk, "bucket": b, "keys": pack(key[i:j]), "contents": pack(content[i:j]), "docs": docs, "doc_at": at})
             return _rows(out, ENTRY)
 
         def cut(table: pa.Table, told: pa.Table) -> pa.Table:
@@ -355,7 +345,8 @@ class SuffixDedup:
                     out.append({"chunk": chunk, "bucket": b, "kind": 1, "keys": pack(x[pick]), "docs": own, "doc_at": at, "starts": pack(s[_ranges(first[pick], n[pick])].astype(np.uint32)), "times": pack(n[pick].astype(np.uint32), True), "lengths": pack(z[pick].astype(np.uint16)), "bytes": pack(np.concatenate([texts[q] for q in pick.tolist()]), True)})
             return _rows(out, FRAGMENT)
 
-        told = self.chunks.groupBy("chunk").applyInArrow(announce, ENTRY).groupBy("bucket").applyInArrow(verdicts, VERDICT)
+        wide = self.wide
+        told = self.chunks.groupBy("chunk").applyInArrow(announce, ENTRY).groupBy("bucket").applyInArrow(lambda t: verdicts(t, wide), VERDICT)
         return self.chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, FRAGMENT)
 
     def groups(self) -> DataFrame:
