@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cantoria.llm import chat, token_files
+from cantoria.llm import bpe, chat, token_files
 from cantoria.llm.bpe import WordTableBpe, decode
 from cantoria.llm.components import connected_components
 from cantoria.llm.decontaminate import Decontaminate, tiles
@@ -137,6 +137,18 @@ def test_bpe_matches_the_library(spark):
     assert WordTableBpe(empty(spark), WORD_BPE).digests().count() == 0
 
 
+def test_bpe_of_other_rules_is_refused(spark):
+    with pytest.raises(ValueError, match="rules"):
+        WordTableBpe(C.frame(spark), BYTE_BPE)
+
+
+def test_pieces_come_in_order_and_unknown_ids_are_empty():
+    known = bpe.pieces(WORD_BPE)
+    ids = np.array([random.Random(i).randrange(len(known) + 9) for i in range(5000)])
+    assert bpe.joined_pieces(ids, WORD_BPE).to_pylist() == [f"{known[i]} " if i in known else "" for i in ids.tolist()]
+    assert len(bpe.joined_pieces(ids[:0], WORD_BPE)) == 0
+
+
 def test_bpe_decodes_by_join(spark):
     coded = WordTableBpe(C.frame(spark), WORD_BPE, chunk_bytes=1000).encoded()
     both = decode(coded, WORD_BPE).select("doc_id", "decoded")
@@ -147,37 +159,35 @@ def test_bpe_decodes_by_join(spark):
 
 
 def test_suffix_dedup(spark):
-    for n, wide in ((50, 4096), (30, 4096)):
+    for n, wide in ((50, 4096), (30, 4096), (50, 2)):
         expected = [(i, len(raw), sum(f), len([x for x in f.split(b"\0") if x]), hashlib.sha256(bytes(c for c, v in zip(raw, f, strict=True) if not v)).hexdigest()) for i, raw, f in C.repeated_bytes(C.corpus(), n)]
-        assert C.by_row(SuffixDedup(C.frame(spark), n, k=12, chunk_bytes=4000).digests().collect()) == C.by_row(expected)
+        assert C.by_row(SuffixDedup(C.frame(spark), n, k=12, chunk_bytes=4000, wide=wide).digests().collect()) == C.by_row(expected)
     assert SuffixDedup(empty(spark)).digests().count() == 0
 
 
-def test_suffix_dedup_of_a_wide_anchor(spark, monkeypatch):
+@pytest.mark.parametrize("wide", [4096, 1])
+def test_suffix_dedup_of_a_wide_anchor(spark, wide):
     """An anchor in more fragments than a bucket takes at once: its strings are dealt one by one, with the same result."""
-    monkeypatch.setattr("cantoria.llm.suffix_dedup.WIDE_ANCHOR", 1)
-    from cantoria.llm import suffix_dedup as S
-
     rng = random.Random(1)
     common = "the very common phrase that is everywhere "
     rows = [(i, f"{rng.randint(0, 9)}{common}{'abc'[i % 3] * 30}") for i in range(30)]
     expected = {i: sum(f) for i, _, f in C.repeated_bytes(rows, 50)}
-    f = S.entries
-    assert f is not None
-    assert {r.doc_id: r.n_removed for r in SuffixDedup(C.frame(spark, rows), 50, chunk_bytes=600).digests().collect()} == expected
+    dedup = SuffixDedup(C.frame(spark, rows), 50, chunk_bytes=600, wide=wide)
+    assert {r.doc_id: r.n_removed for r in dedup.digests().collect()} == expected
+    sizes = {n for r in dedup._fragments().filter("kind = 1").collect() for n in np.frombuffer(r.lengths, np.uint16).tolist()}
+    assert sizes == {50} if wide == 1 else max(sizes) > 50
 
 
 @pytest.mark.parametrize("wide", [4096, 1])
-def test_suffix_dedup_of_a_fragment_twice_in_its_document(spark, monkeypatch, wide):
+def test_suffix_dedup_of_a_fragment_twice_in_its_document(spark, wide):
     """A smaller document shares a part of a passage that a later one repeats whole: both of its places go."""
-    monkeypatch.setattr("cantoria.llm.suffix_dedup.WIDE_ANCHOR", wide)
     rng = random.Random(8)
     rows = []
     for i in range(0, 60, 3):
         p, q, x, y, z = (C.text(rng, n).replace("\n", " ") for n in (14, 14, 9, 9, 9))
         rows += [(i, f"{y}{p}{z}"), (i + 1, f"{p}{q}{x}{p}{q}"), (i + 2, f"{p}{q}{p}{q}{z}{p}{q}")]
     expected = {i: (sum(f), hashlib.sha256(bytes(c for c, v in zip(raw, f, strict=True) if not v)).hexdigest()) for i, raw, f in C.repeated_bytes(rows, 50)}
-    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in SuffixDedup(C.frame(spark, rows), 50).digests().collect()} == expected
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in SuffixDedup(C.frame(spark, rows), 50, wide=wide).digests().collect()} == expected
 
 
 def test_repeat_groups_are_maximal_with_all_occurrences():
@@ -219,9 +229,13 @@ def test_token_files(spark, tmp_path):
         expected.append((r.doc_id, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
     assert C.by_row(token_files.read(manifest, folder).collect()) == C.by_row(expected)
-    shard = manifest.filter("records > 1").first()
-    doc_id, ids = token_files.read_record(folder, shard.path, 1, shard.width)
-    assert len(ids) in [n for i, _, n, _ in expected if i == doc_id]
+    at = 0
+    for shard in sorted(manifest.collect()):  # every record alone, through the index, in the order of the documents
+        for i in range(shard.records):
+            doc_id, ids = token_files.read_record(folder, shard.path, i, shard.width)
+            assert (doc_id, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) == (expected[at][0], *expected[at][2:])
+            at += 1
+    assert at == len(expected)
     assert token_files.write(empty(spark), BYTE_BPE, folder).agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0] == 0
     assert token_files.read(spark.createDataFrame([], token_files.SHARD), folder).count() == 0
 
@@ -313,6 +327,38 @@ def test_quality_classifier_without_labels(spark):
     assert QualityClassifier(empty(spark), none).scores().count() == 0
 
 
+def test_quality_classifier_against_plain_numpy(spark):
+    """The same statistics through kernel features, ridge by folds and pooling, written out again for all rows at once; repeated rows and a long text count."""
+    from cantoria.llm import quality_classifier as Q
+
+    rng = random.Random(10)
+    rows = [(i, C.text(rng, rng.randint(5, 60)) if i % 3 else " ".join(C.word(rng) + rng.choice("!#$") for _ in range(40))) for i in range(150)]
+    rows += [rows[3], rows[4], (151, C.text(rng, 20_000)), (152, "")]
+    quality = {i: int(i % 3 > 0) if rng.random() < 0.9 else int(i % 3 == 0) for i, _ in rows}
+    labels = spark.createDataFrame([*quality.items(), (7, 1)], "doc_id long, quality int")
+    q = QualityClassifier(C.frame(spark, rows), labels)
+    found = q.scores().collect()
+    x = {(r.doc_id, tuple(r.x)) for r in q.described.collect()}
+    x = [(i, np.array(v), int(spark.range(1).select(F.pmod(F.xxhash64(F.array(*map(F.lit, v))), F.lit(Q.FOLDS))).first()[0])) for i, v in sorted(x) if zlib.crc32(str(i).encode()) % 3 != 1]
+    train = [(v, y, f) for i, v, f in x for y in [quality[i], *([1] if i == 7 else [])] for _ in range(sum(j == i for j, _ in rows))]
+    a, y, fold = np.array([v for v, _, _ in train]), np.array([w for _, w, _ in train], float), np.array([f for _, _, f in train])
+    spread = np.where(a.std(0) > 1e-9, a.std(0), 1)
+    features = lambda m: np.column_stack((np.ones(len(m)), np.sqrt(2 / Q.FEATURES) * np.cos(np.clip((m - a.mean(0)) / spread, -6, 6) @ q.weights + q.phases)))
+    penalty = np.diag([0.0] + [1.0] * Q.FEATURES)
+    ridge = lambda m, t: np.linalg.solve(features(m).T @ features(m) + penalty, features(m).T @ t)
+    told = np.concatenate([features(a[fold == f]) @ ridge(a[fold != f], y[fold != f]) for f in range(Q.FOLDS)])
+    truth = np.concatenate([y[fold == f] for f in range(Q.FOLDS)])
+    at = np.clip((told + 0.5) / 2 * Q.CALIBRATION_BINS, 0, Q.CALIBRATION_BINS - 1).astype(int)
+    n, s = np.bincount(at, minlength=Q.CALIBRATION_BINS), np.bincount(at, truth, Q.CALIBRATION_BINS)
+    there = np.flatnonzero(n)
+    level = [max(min(s[there[i : j + 1]].sum() / n[there[i : j + 1]].sum() for j in range(k, len(there))) for i in range(k + 1)) for k in range(len(there))]  # the min-max form of isotonic means
+    knots = (there + 0.5) / Q.CALIBRATION_BINS * 2 - 0.5
+    every = {r.doc_id: np.array(r.x) for r in q.described.collect()}
+    expected = {i: float(np.clip(np.interp(features(v[None]) @ ridge(a, y), knots, level)[0], 0, 1)) for i, v in every.items()}
+    close = [abs(r.score - expected[r.doc_id]) < 1e-3 for r in found]
+    assert len(found) == len(rows) and np.mean(close) > 0.97  # a score may fall into the next bin by its last digits
+
+
 def test_pooling_is_monotone():
     level = pooled(np.array([1.0, 1, 1, 1]), np.array([0.0, 1, 0, 1]))
     assert level.tolist() == [0.0, 0.5, 0.5, 1.0]
@@ -345,6 +391,64 @@ def test_decontamination(spark):
     assert Decontaminate(C.frame(spark, rows), nothing).documents().filter("contaminated").count() == 0
 
 
+def tiles_brute(text, item, least):
+    """Greedy string tiling by trying every pair of places for every tile; of the longest, the first in the text, then in the item."""
+    free, open_, out = [True] * len(text), [True] * len(item), []
+    while True:
+        best = (least - 1, 0, 0)
+        for i in range(len(text)):
+            for j in range(len(item)):
+                n = 0
+                while i + n < len(text) and j + n < len(item) and free[i + n] and open_[j + n] and text[i + n] == item[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < least:
+            return out
+        free[i : i + n], open_[j : j + n] = [False] * n, [False] * n
+        out.append((i, j, n))
+
+
+def test_tiles_against_brute_force():
+    rng = random.Random(21)
+    for _ in range(150):
+        item = [rng.randrange(rng.choice((2, 4, 30))) for _ in range(rng.randint(1, 22))]
+        text = []
+        while len(text) < rng.randint(3, 50):
+            a = rng.randrange(len(item))
+            text += item[a : a + rng.randint(1, 12)] if rng.random() < 0.7 else [rng.randrange(30)]
+        least = min(rng.choice((1, 3, 5)), len(item))
+        seeds = [(i, j) for i in range(len(text) - least + 1) for j in range(len(item) - least + 1) if text[i : i + least] == item[j : j + least]]
+        found = tiles(np.array(text, np.uint64), np.array(item, np.uint64), seeds, least)
+        assert sorted(found) == sorted(tiles_brute(text, item, least))
+
+
+def test_decontamination_against_brute_force(spark):
+    """Every document against every item by words, with repeated rows, ties and a long text."""
+    rng = random.Random(22)
+    words = lambda t: re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", (t or "").lower())
+    items = [(i, C.text(rng, rng.randint(3, 24))) for i in range(8)] + [(8, "a b c d e a b c d e a b c d e"), (9, None), (9, "a b c d e f g h")]
+    rows = [(i, C.text(rng, 30)) for i in range(10)]
+    for i in range(10, 50):
+        w = rng.choice(items[:9])[1].split(" ")
+        cut = rng.randrange(len(w))
+        rows.append((i, " ".join([C.text(rng, 8), *w[cut:], C.word(rng) if rng.random() < 0.5 else "", *w[: cut - rng.randint(0, 3)], C.text(rng, 5)])))
+    rows += [rows[20], rows[20], (60, C.text(rng, 2500) + " " + items[1][1] + " " + C.text(rng, 300)), (61, "a b c d e " * 30), (62, ""), (None, items[2][1])]
+    expected = []
+    for doc_id, t in rows:
+        best, hits = 0.0, []
+        for item_id, it in items:
+            w = words(it)
+            if w:
+                share = sum(n for _, _, n in (tiles_brute(words(t), w, min(5, len(w))))) / len(w)
+                best, hits = max(best, share), [*hits, item_id] if share >= 0.5 else hits
+        expected.append((doc_id, bool(hits), round(best, 9), sorted(hits)))
+    out = Decontaminate(C.frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).documents().collect()
+    assert C.by_row((r.doc_id, r.contaminated, round(r.coverage, 9), sorted(r["items"])) for r in out) == C.by_row(expected)
+    assert sum(x for _, x, _, _ in expected) > 10
+
+
 # 8
 
 
