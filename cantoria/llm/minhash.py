@@ -6,8 +6,12 @@ every two nodes of one bucket stand in one cluster. A cluster is compared in
 blocks of bounded size: pairs still apart are screened by their signatures and
 confirmed on full sets, and only links that join two components leave a block.
 A cluster of several blocks is first compared with its hubs, a fixed number of
-its nodes; then the nodes outside its largest component are compared with all
-of it, which leaves no pair of one bucket that is neither joined nor checked.
+its nodes for each block. Then, where few nodes are outside its largest
+component, these are compared with all of it; where many are (clusters chained
+together by chance), each bucket's nodes outside the bucket's largest component
+are compared with that bucket alone. Either way no pair of one bucket is left
+that is neither joined nor checked, and rows exchanged follow the size of a
+cluster or of the buckets, not the square of a cluster.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
@@ -31,6 +35,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BLOCK = 256
 HUBS = 64
+#: Blocks of nodes outside the largest component up to which they are compared with their whole cluster.
+FEW_ASKED = 8
 
 
 def words_of(batch, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -111,6 +117,25 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _numbers(count: str) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.col(count) - 1), lambda x: x.cast("string"))
+
+
+def _with_ask_blocks(apart: DataFrame) -> DataFrame:
+    """apart (cluster, node, component, query, blocks) with the number of blocks that its queries fill."""
+    asked = apart.groupBy("cluster").agg(F.greatest(F.ceil(F.count_if("query") / BLOCK), F.lit(1)).cast("int").alias("ask_blocks"))
+    return apart.join(asked, "cluster")
+
+
+def _questions(apart: DataFrame) -> DataFrame:
+    """(cluster, node, component, query, block): each block of queries with each block of members, once."""
+    dealt = lambda salt, blocks: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(blocks)).cast("string")
+    cols = ["cluster", "node", "component", "query"]
+    queries = apart.filter("query").withColumn("ask", dealt(2, "ask_blocks")).select(*cols, "ask", F.explode(_numbers("blocks")).alias("b"))
+    asked_of = apart.withColumn("query", F.lit(False)).withColumn("b", dealt(3, "blocks")).select(*cols, F.explode(_numbers("ask_blocks")).alias("ask"), "b")
+    return queries.unionByName(asked_of).select(*cols, F.concat_ws("/", "ask", "b").alias("block"))
+
+
 class _Forest:
     def __init__(self, n: int):
         self.up = list(range(n))
@@ -224,8 +249,7 @@ class NearDuplicates:
         sets = checkpointed(self._full_sets(members).dropDuplicates(["node"]))
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("string")
         hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks") * (BLOCK // HUBS)) < 1)
-        everywhere = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x.cast("string"))
-        first = members.select("cluster", "node", F.col("node").alias("component"), F.lit(True).alias("query"), F.explode(F.when(hub, everywhere).otherwise(F.array(own))).alias("block"))
+        first = members.select("cluster", "node", F.col("node").alias("component"), F.lit(True).alias("query"), F.explode(F.when(hub, _numbers("blocks")).otherwise(F.array(own))).alias("block"))
         links = checkpointed(self._links(first, sets))
         found = connected_components(links)
         wide = members.filter("blocks > 1")
@@ -234,14 +258,15 @@ class NearDuplicates:
             counted = state.groupBy("cluster", "component").agg(F.count("*").alias("n"))
             main = counted.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
             apart = state.join(main, "cluster").withColumn("query", F.col("component") != F.col("main"))
-            asked = apart.groupBy("cluster").agg(F.greatest(F.ceil(F.count_if("query") / BLOCK), F.lit(1)).cast("int").alias("ask_blocks"))
-            apart = apart.join(asked, "cluster")
-            ask = F.pmod(F.xxhash64("node", F.lit(2)), F.col("ask_blocks")).cast("string")
-            every_ask = F.transform(F.sequence(F.lit(0), F.col("ask_blocks") - 1), lambda x: x.cast("string"))
-            cols = ["cluster", "node", "component", "query"]
-            queries = apart.filter("query").withColumn("ask", ask).select(*cols, "ask", F.explode(everywhere).alias("b"))
-            asked_of = apart.withColumn("query", F.lit(False)).withColumn("b", own).select(*cols, F.explode(every_ask).alias("ask"), "b")
-            pairs = queries.unionByName(asked_of).select(*cols, F.concat_ws("/", "ask", "b").alias("block"))
+            asked = checkpointed(_with_ask_blocks(apart))
+            pairs = _questions(asked.filter(F.col("ask_blocks") <= FEW_ASKED))
+            chained = asked.filter(F.col("ask_blocks") > FEW_ASKED)
+            if chained.limit(1).count():
+                in_bucket = placed.join(chained.select("node", "component"), "node").withColumnRenamed("band", "cluster")
+                parts = in_bucket.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+                of_bucket = parts.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("parts")).filter("parts > 1")
+                apart = in_bucket.join(of_bucket, "cluster").withColumn("query", F.col("component") != F.col("main"))
+                pairs = pairs.withColumn("cluster", F.concat(F.lit("cluster "), F.hex("cluster"))).unionByName(_questions(_with_ask_blocks(apart)).withColumn("cluster", F.concat(F.lit("bucket "), F.col("cluster").cast("string"))))
             links = links.unionByName(checkpointed(self._links(pairs, sets)))
             found = connected_components(links)
         named = nodes.select("node", F.col("doc_id").alias("least")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

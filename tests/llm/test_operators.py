@@ -1,6 +1,7 @@
 """Each operator against brute force on a corpus of awkward rows, on an empty table and with clashing columns."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -264,8 +265,10 @@ def test_near_duplicates(spark, k, percent, bands, rows_):
     assert NearDuplicates(empty(spark), k, percent, bands, rows_).components().count() == 0
 
 
-def test_near_duplicates_in_blocks(spark, monkeypatch):
-    """Clusters of many blocks give what one block gives."""
+@pytest.mark.parametrize("few", [8, 0])
+def test_near_duplicates_in_blocks(spark, monkeypatch, few):
+    """Clusters of many blocks give what one block gives, compared whole or by bucket."""
+    monkeypatch.setattr("cantoria.llm.minhash.FEW_ASKED", few)
     monkeypatch.setattr("cantoria.llm.minhash.BLOCK", 4)
     monkeypatch.setattr("cantoria.llm.minhash.HUBS", 1)
     rng = random.Random(3)
@@ -280,6 +283,20 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert C.by_row(found) == C.by_row(C.components(rows, 3, 85))
 
 
+@pytest.mark.parametrize(("k", "percent", "bands", "rows_"), [(3, 85, 32, 6), (5, 80, 40, 5)])
+def test_near_duplicates_of_documents_have_full_recall(spark, k, percent, bands, rows_):
+    """Over the whole shared table: every document's component is that of all links."""
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no shared tables")
+    docs = spark.read.parquet(path)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    found = C.by_row(NearDuplicates(docs, k, percent, bands, rows_).components().collect())
+    expected = C.by_row(C.components(rows, k, percent))
+    assert sum(r[0] != r[2] for r in expected) > 20
+    assert found == expected
+
+
 @pytest.mark.parametrize(("hot", "few"), [(1_000_000, 200_000), (1_000_000, 0), (2, 0)])
 def test_components(spark, monkeypatch, hot, few):
     monkeypatch.setattr("cantoria.llm.components.HOT", hot)
