@@ -34,8 +34,8 @@ WIDE_ANCHOR = 4096
 UNIQUE, COVERED, FIRST, MIXED, WIDE = range(5)
 ENTRY = "chunk int, bucket int, keys binary, contents binary, docs binary, doc_at binary"
 VERDICT = "chunk int, bucket int, verdicts binary"
-FRAGMENT = "chunk int, bucket int, kind int, keys binary, docs binary, doc_at binary, starts binary, times binary, lengths binary, bytes binary"
-SPAN = "chunk int, bucket int, kind int, docs binary, starts binary, ends binary"
+FRAGMENT = "chunk int, bucket int, kind int, keys binary, docs binary, doc_at binary, starts binary, rows binary, times binary, lengths binary, bytes binary"
+SPAN = "chunk int, bucket int, kind int, rows binary, starts binary, ends binary"
 GROUP = "group_id string, length int, doc_id long, start int"
 
 
@@ -78,17 +78,33 @@ class Fragments:
         self.content = hashes.ranges(self.start, self.end)
 
 
+def row_numbers(table: pa.Table) -> np.ndarray:
+    """A number for each row of a chunk, in order of doc_id and the text's hash: the same whenever the chunk is read, and one for equal rows."""
+    views = (text_buffer(text_of(piece)) for piece in slices(table, "text"))
+    hashes = [RangeHasher(data).ranges(at[:-1], at[1:]) for data, at in views]
+    own, h = ids_of(table), np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    order = np.lexsort((h, own))
+    new = np.ones(len(order), bool)
+    new[1:] = (own[order][1:] != own[order][:-1]) | (h[order][1:] != h[order][:-1])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out
+
+
 def entries(table: pa.Table, length: int, k: int, buckets: int):
     """The chunk's fragments as one entry for each (anchor, content), in a fixed order, each with its smallest document.
 
-    Returns slices, document and entry of each fragment, the entries' key, content, document, bucket and first fragment,
+    Returns slices, row number, document and entry of each fragment, the entries' key, content, document, bucket and first fragment,
     how often each stands in that document, and the fragments of these places, entry after entry.
     """
-    parts, docs = [], []
+    parts, docs, rows, base = [], [], [], 0
+    numbers = row_numbers(table)
     for piece in slices(table, "text"):
         f = Fragments(piece, length, k)
         parts.append(f)
         docs.append(ids_of(piece)[f.row])
+        rows.append(numbers[base + f.row])
+        base += piece.num_rows
     cat = lambda xs, t: np.concatenate(xs) if xs else np.zeros(0, t)
     anchor, content = cat([p.anchor for p in parts], np.uint64), cat([p.content for p in parts], np.uint64)
     doc = cat(docs, np.int64)
@@ -102,7 +118,7 @@ def entries(table: pa.Table, length: int, k: int, buckets: int):
     entry[order] = np.cumsum(first) - 1
     lead = order[first]
     own = order[doc[order] == doc[lead][entry[order]]]
-    return parts, doc, entry, key[lead], content[lead], doc[lead], bucket[lead], lead, np.bincount(entry[own], minlength=len(lead)), own
+    return parts, cat(rows, np.int64), doc, entry, key[lead], content[lead], doc[lead], bucket[lead], lead, np.bincount(entry[own], minlength=len(lead)), own
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -223,7 +239,8 @@ def _fragments_of(table: pa.Table):
     doc = np.concatenate([_unpack_docs(r["docs"], r["doc_at"]) for r in rows])
     start = np.concatenate([unpack(r["starts"], np.uint32) for r in rows]).astype(np.int64)
     times = np.concatenate([unpack(r["times"], np.uint32, True) for r in rows]).astype(np.int64)
-    return rows, keys, np.concatenate(keys), lengths, data, doc, start, times
+    row = np.concatenate([unpack(r["rows"], np.uint32, True) for r in rows]).astype(np.int64)
+    return rows, keys, np.concatenate(keys), lengths, data, doc, start, row, times
 
 
 def joined(string: np.ndarray, begin: np.ndarray, end: np.ndarray):
@@ -241,9 +258,9 @@ def spans_of_groups(table: pa.Table, length: int) -> pa.Table:
     """Bucket of fragments -> the spans of their documents that repeat a smaller document; rows of kind 0 pass."""
     kind = table.column("kind").to_numpy()
     passed, own = table.filter(pa.array(kind == 0)), table.filter(pa.array(kind == 1))
-    out = [{"chunk": r["chunk"], "bucket": r["bucket"], "kind": 0, "docs": r["docs"], "starts": r["starts"], "ends": r["lengths"]} for r in passed.to_pylist()]
+    out = [{"chunk": r["chunk"], "bucket": r["bucket"], "kind": 0, "rows": r["rows"], "starts": r["starts"], "ends": r["lengths"]} for r in passed.to_pylist()]
     if own.num_rows:
-        rows, keys, key, sizes, data, doc, start, times = _fragments_of(own)
+        rows, keys, key, sizes, data, doc, start, row, times = _fragments_of(own)
         string, shift, nodes = repeat_groups(data, np.append(0, np.cumsum(sizes)), key, doc, length)
         hit_at, hit_len = [], []
         owner = doc[string]
@@ -254,14 +271,15 @@ def spans_of_groups(table: pa.Table, length: int) -> pa.Table:
         at = np.concatenate(hit_at) if hit_at else np.zeros(0, np.int64)
         n = np.concatenate(hit_len) if hit_len else np.zeros(0, np.int64)
         s, begin, end = joined(string[at], shift[at], shift[at] + n)
-        place = start[_ranges((np.cumsum(times) - times)[s], times[s])]
+        places = _ranges((np.cumsum(times) - times)[s], times[s])
+        place, row = start[places], row[places]
         s, begin, end = (np.repeat(v, times[s]) for v in (s, begin, end))
         begin, end = place + begin, place + end
         source = np.repeat(np.arange(len(rows)), [len(k) for k in keys])[s]
         order = np.argsort(source, kind="stable")
         for r, a, b in _runs(source[order]):
             pick = order[a:b]
-            out.append({"chunk": rows[r]["chunk"], "bucket": rows[r]["bucket"], "kind": 1, "docs": pack(doc[s[pick]], True), "starts": pack(begin[pick], True), "ends": pack(end[pick], True)})
+            out.append({"chunk": rows[r]["chunk"], "bucket": rows[r]["bucket"], "kind": 1, "rows": pack(row[pick], True), "starts": pack(begin[pick], True), "ends": pack(end[pick], True)})
     released()
     return _rows(out, SPAN)
 
@@ -284,7 +302,7 @@ class SuffixDedup:
 
         def announce(table: pa.Table) -> pa.Table:
             chunk = table.column("chunk")[0].as_py()
-            _, _, _, key, content, doc, bucket, *_ = entries(table, length, k, buckets)
+            _, _, _, _, key, content, doc, bucket, *_ = entries(table, length, k, buckets)
             out = []
             for b, i, j in _runs(bucket):
                 docs, at = _pack_docs(doc[i:j])
@@ -295,7 +313,7 @@ class SuffixDedup:
             if not table.num_rows:
                 return _rows([], FRAGMENT)
             chunk = table.column("chunk")[0].as_py()
-            parts, doc, entry, key, _, least, bucket, lead, often, own_places = entries(table, length, k, buckets)
+            parts, row, doc, entry, key, _, least, bucket, lead, often, own_places = entries(table, length, k, buckets)
             said = np.full(len(key), UNIQUE, np.uint8)
             by_bucket = {r["bucket"]: unpack(r["verdicts"], np.uint8, True) for r in told.to_pylist()}
             for b, i, j in _runs(bucket):
@@ -304,8 +322,8 @@ class SuffixDedup:
             start = np.concatenate([p.start - p.offsets[p.row] for p in parts]) if parts else np.zeros(0, np.int64)
             end = np.concatenate([p.end - p.offsets[p.row] for p in parts]) if parts else np.zeros(0, np.int64)
             hit = (said[entry] == COVERED) | (doc > least[entry])
-            out.append({"chunk": chunk, "bucket": chunk % buckets, "kind": 0, "docs": pack(doc[hit], True), "starts": pack(start[hit], True), "lengths": pack(end[hit], True)})
-            keys, docs, starts, times, sizes, texts = [], [], [], [], [], []
+            out.append({"chunk": chunk, "bucket": chunk % buckets, "kind": 0, "rows": pack(row[hit], True), "starts": pack(start[hit], True), "lengths": pack(end[hit], True)})
+            keys, docs, starts, rows, times, sizes, texts = [], [], [], [], [], [], []
             heads = np.cumsum(often) - often
             for p in parts:
                 n = len(p.start)
@@ -328,13 +346,15 @@ class SuffixDedup:
                     keys.append(x)
                     docs.append(doc[base + f])
                     # one copy of the bytes, but every place where the document holds them
-                    starts.append(start[own_places[_ranges(heads[e], often[e])]] + np.repeat(within, often[e]))
+                    places = own_places[_ranges(heads[e], often[e])]
+                    starts.append(start[places] + np.repeat(within, often[e]))
+                    rows.append(row[places])
                     times.append(often[e])
                     sizes.append(size)
                     texts.append(np.split(p.data[take], np.cumsum(size)[:-1]))
                 base += n
             if keys:
-                x, d, s, n, z = (np.concatenate(v) for v in (keys, docs, starts, times, sizes))
+                x, d, s, r, n, z = (np.concatenate(v) for v in (keys, docs, starts, rows, times, sizes))
                 first = np.cumsum(n) - n
                 texts = [t for v in texts for t in v]
                 to = (x % np.uint64(buckets)).astype(np.int64)
@@ -342,7 +362,8 @@ class SuffixDedup:
                 for b, i, j in _runs(to[order]):
                     pick = order[i:j]
                     own, at = _pack_docs(d[pick])
-                    out.append({"chunk": chunk, "bucket": b, "kind": 1, "keys": pack(x[pick]), "docs": own, "doc_at": at, "starts": pack(s[_ranges(first[pick], n[pick])].astype(np.uint32)), "times": pack(n[pick].astype(np.uint32), True), "lengths": pack(z[pick].astype(np.uint16)), "bytes": pack(np.concatenate([texts[q] for q in pick.tolist()]), True)})
+                    places = _ranges(first[pick], n[pick])
+                    out.append({"chunk": chunk, "bucket": b, "kind": 1, "keys": pack(x[pick]), "docs": own, "doc_at": at, "starts": pack(s[places].astype(np.uint32)), "rows": pack(r[places].astype(np.uint32), True), "times": pack(n[pick].astype(np.uint32), True), "lengths": pack(z[pick].astype(np.uint16)), "bytes": pack(np.concatenate([texts[q] for q in pick.tolist()]), True)})
             return _rows(out, FRAGMENT)
 
         wide = self.wide
@@ -362,7 +383,7 @@ class SuffixDedup:
             own = table.filter(pa.array(table.column("kind").to_numpy() == 1))
             if not own.num_rows:
                 return _rows([], GROUP)
-            _, _, key, sizes, data, doc, start, times = _fragments_of(own)
+            _, _, key, sizes, data, doc, start, _, times = _fragments_of(own)
             head = np.cumsum(times) - times
             string, shift, nodes = repeat_groups(data, np.append(0, np.cumsum(sizes)), key, doc, length)
             bucket, out = own.column("bucket")[0].as_py(), []
@@ -377,16 +398,16 @@ class SuffixDedup:
         spans = self._fragments().groupBy("bucket").applyInArrow(lambda t: spans_of_groups(t, length), SPAN)
 
         def kept(table: pa.Table, found: pa.Table) -> pa.Table:
-            docs, starts, ends = ([unpack(r[c], np.int64, True) for r in found.to_pylist()] for c in ("docs", "starts", "ends"))
-            doc, start, end = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (docs, starts, ends))
-            order = np.lexsort((start, doc))
-            doc, start, end = doc[order], start[order], end[order]
-            out = []
+            rows, starts, ends = ([unpack(r[c], np.int64, True) for r in found.to_pylist()] for c in ("rows", "starts", "ends"))
+            spans_of, start, end = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, starts, ends))
+            order = np.lexsort((start, spans_of))
+            spans_of, start, end = spans_of[order], start[order], end[order]
+            out, numbers, base = [], row_numbers(table), 0
             for piece in slices(table, "text"):
                 data, offsets = text_buffer(text_of(piece))
                 raw = data.tobytes()
-                for row, (own, a, z) in enumerate(zip(ids_of(piece).tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-                    i, j = np.searchsorted(doc, own, "left"), np.searchsorted(doc, own, "right")
+                for row, (own, a, z) in enumerate(zip(numbers[base : base + piece.num_rows].tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+                    i, j = np.searchsorted(spans_of, own, "left"), np.searchsorted(spans_of, own, "right")
                     runs: list[list[int]] = []
                     for s, e in zip(start[i:j].tolist(), end[i:j].tolist(), strict=True):
                         if runs and s <= runs[-1][1]:
@@ -394,6 +415,7 @@ class SuffixDedup:
                         elif s < z - a:
                             runs.append([s, e])
                     out.append(build(piece.column("doc_id")[row].as_py(), raw[a:z], runs))
+                base += piece.num_rows
             return pa.Table.from_pylist(out, schema=build.schema) if out else build.schema.empty_table()
 
         return self.chunks.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(kept, schema)

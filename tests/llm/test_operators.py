@@ -191,6 +191,18 @@ def test_suffix_dedup_of_a_fragment_twice_in_its_document(spark, wide):
     assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in SuffixDedup(C.frame(spark, rows), 50, wide=wide).digests().collect()} == expected
 
 
+def test_suffix_dedup_of_rows_that_share_an_id(spark):
+    """Spans are a row's own: other texts of its doc_id in its chunk keep their bytes."""
+    rng = random.Random(17)
+    passage = C.text(rng, 30)
+    rows = [(1, passage), (2, f"{C.text(rng, 5)} {passage} {C.text(rng, 5)}"), (None, passage[:60])]
+    rows += [(2, C.text(rng, 40)) for _ in range(60)] + [(2, rows[1][1])]
+    expected = [(i, sum(f), hashlib.sha256(bytes(c for c, v in zip(raw, f, strict=True) if not v)).hexdigest()) for i, raw, f in C.repeated_bytes(rows, 50)]
+    out = SuffixDedup(C.frame(spark, rows), 50).digests().collect()
+    assert C.by_row((r.doc_id, r.n_removed, r.kept_sha256) for r in out) == C.by_row(expected)
+    assert sum(r.n_removed > 0 for r in out) == 3
+
+
 def test_repeat_groups_are_maximal_with_all_occurrences():
     strings = [b"xxabcdefgyy", b"zzabcdefgyq", b"abcdefgww"]
     data = np.frombuffer(b"".join(strings), np.uint8)
