@@ -246,12 +246,6 @@ def mixed_languages(spark, sf_dir):
     return B.interleaved([df.filter(F.col("lang") == g) for g in ("en", "de")], [0.3, 0.7], "doc_id", 1000).select("doc_id", "lang", "copy")
 
 
-@query()
-def number_words(spark, sf_dir):
-    """Sizes of parts in words and as ordinals."""
-    return table(spark, sf_dir, "part").select("p_partkey", T.cardinal_words(F.col("p_partkey")).alias("cardinal"), T.ordinal_words(F.col("p_size")).alias("ordinal"))
-
-
 @query()
 def sentence_chunks(spark, sf_dir):
     chunks = T.chunks_for_inference(F.col("text"), F.col("lang"), {"en": 45, "de": 40})
