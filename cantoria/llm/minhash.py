@@ -35,6 +35,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BLOCK = 256
 HUBS = 64
+#: Bytes of sets and signatures in a block of what is left after that: the larger the blocks, the fewer times a node is sent.
+BLOCK_BYTES = 8 << 20
 #: Blocks of nodes outside the largest component up to which they are compared with their whole cluster.
 FEW_ASKED = 8
 
@@ -122,9 +124,10 @@ def _numbers(count: str) -> Column:
 
 
 def _with_ask_blocks(apart: DataFrame) -> DataFrame:
-    """apart (cluster, node, component, query, blocks) with the number of blocks that its queries fill."""
-    asked = apart.groupBy("cluster").agg(F.greatest(F.ceil(F.count_if("query") / BLOCK), F.lit(1)).cast("int").alias("ask_blocks"))
-    return apart.join(asked, "cluster")
+    """apart (cluster, node, component, query, bytes) with the numbers of blocks that all of a cluster and its queries fill."""
+    filled = lambda total: F.greatest(F.ceil(F.coalesce(total, F.lit(0)) / BLOCK_BYTES), F.lit(1)).cast("int")
+    sizes = apart.groupBy("cluster").agg(filled(F.sum("bytes")).alias("blocks"), filled(F.sum(F.when(F.col("query"), F.col("bytes")))).alias("ask_blocks"))
+    return apart.join(sizes, "cluster")
 
 
 def _questions(apart: DataFrame) -> DataFrame:
@@ -239,13 +242,14 @@ class NearDuplicates:
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept, one row for each document."""
         described = checkpointed(self._described())
-        nodes = checkpointed(described.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
+        nodes = checkpointed(described.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")))
         placed = nodes.select("node", F.explode("bands").alias("band"))
         shared = placed.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
         near = placed.join(shared, "band").filter("node != lead").select(F.col("node").alias("u"), F.col("lead").alias("v"))
         clusters = connected_components(near).withColumnRenamed("component", "cluster")
         sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        members = checkpointed(clusters.join(sizes, "cluster").join(nodes.select("node", "doc_id"), "node"))
+        weight = 8 * F.col("n_shingles") + 4 * self.hashes + 128  # of a node's row
+        members = checkpointed(clusters.join(sizes, "cluster").join(nodes.select("node", "doc_id", weight.alias("bytes")), "node"))
         sets = checkpointed(self._full_sets(members).dropDuplicates(["node"]))
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("string")
         hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks") * (BLOCK // HUBS)) < 1)
@@ -254,7 +258,7 @@ class NearDuplicates:
         found = connected_components(links)
         wide = members.filter("blocks > 1")
         if wide.limit(1).count():
-            state = checkpointed(wide.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
+            state = checkpointed(wide.drop("blocks").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
             counted = state.groupBy("cluster", "component").agg(F.count("*").alias("n"))
             main = counted.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
             apart = state.join(main, "cluster").withColumn("query", F.col("component") != F.col("main"))
@@ -262,9 +266,9 @@ class NearDuplicates:
             pairs = _questions(asked.filter(F.col("ask_blocks") <= FEW_ASKED))
             chained = asked.filter(F.col("ask_blocks") > FEW_ASKED)
             if chained.limit(1).count():
-                in_bucket = placed.join(chained.select("node", "component"), "node").withColumnRenamed("band", "cluster")
+                in_bucket = placed.join(chained.select("node", "component", "bytes"), "node").withColumnRenamed("band", "cluster")
                 parts = in_bucket.groupBy("cluster", "component").agg(F.count("*").alias("n"))
-                of_bucket = parts.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("parts")).filter("parts > 1")
+                of_bucket = parts.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
                 apart = in_bucket.join(of_bucket, "cluster").withColumn("query", F.col("component") != F.col("main"))
                 pairs = pairs.withColumn("cluster", F.concat(F.lit("cluster "), F.hex("cluster"))).unionByName(_questions(_with_ask_blocks(apart)).withColumn("cluster", F.concat(F.lit("bucket "), F.col("cluster").cast("string"))))
             links = links.unionByName(checkpointed(self._links(pairs, sets)))

@@ -282,6 +282,7 @@ def test_near_duplicates_in_blocks(spark, monkeypatch, few):
     """Clusters of many blocks give what one block gives, compared whole or by bucket."""
     monkeypatch.setattr("cantoria.llm.minhash.FEW_ASKED", few)
     monkeypatch.setattr("cantoria.llm.minhash.BLOCK", 4)
+    monkeypatch.setattr("cantoria.llm.minhash.BLOCK_BYTES", 6000)
     monkeypatch.setattr("cantoria.llm.minhash.HUBS", 1)
     rng = random.Random(3)
     base = C.text(rng, 120).split(" ")
