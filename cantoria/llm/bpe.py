@@ -69,12 +69,11 @@ def piece_table(path: str) -> pa.Table:
 
 
 def joined_pieces(ids: np.ndarray, path: str) -> pa.Array:
-    """The piece of each id, by a join with the id-to-piece table, in order of position; unknown ids have an empty one."""
-    placed = pa.table({"at": np.arange(len(ids), dtype=np.int32), "id": ids.astype(np.int32)})
-    found = placed.join(piece_table(path), "id", join_type="left outer", use_threads=False)
-    order = np.empty(len(ids), np.int64)
-    order[found.column("at").to_numpy()] = np.arange(len(ids))
-    return found.column("piece").combine_chunks().fill_null("").take(pa.array(order))
+    """The piece of each id: the distinct ids are joined with the id-to-piece table, each place takes what its id has; unknown ids have an empty one."""
+    coded = pa.array(ids.astype(np.int32)).dictionary_encode()
+    own = pa.table({"id": coded.dictionary, "at": np.arange(len(coded.dictionary), dtype=np.int32)})
+    found = own.join(piece_table(path), "id", join_type="left outer", use_threads=False).sort_by("at").column("piece")
+    return found.combine_chunks().fill_null("").take(coded.indices)
 
 
 @lru_cache(maxsize=4)
@@ -192,11 +191,12 @@ class WordTableBpe:
             flat = np.concatenate([unpack(r["ids"], np.uint8, True).reshape(4, -1).T.copy().view(np.uint32).ravel() for r in found]) if found else sizes
             starts, made = np.cumsum(sizes) - sizes, []
             for doc_ids, first, own in parts:
+                pa.default_memory_pool().release_unused()
                 at = pc.index_in(own, words).to_numpy().astype(np.int64)
                 ids = flat[_ranges(starts, sizes, at)].astype(np.int32)
                 ends = np.append(0, np.cumsum(sizes[at], dtype=np.int64))[first]
-                made += build(doc_ids, ids, ends, path)
-            out = pa.Table.from_pylist(made, schema=build.schema)
+                made.append(build(doc_ids, ids, ends, path))
+            out = pa.concat_tables(made) if made else build.schema.empty_table()
             del parts, words, codes, found, made
             released()
             return out
@@ -206,11 +206,12 @@ class WordTableBpe:
     def digests(self) -> DataFrame:
         """doc_id, n_tokens and SHA-256 of the ids and of the decoded text."""
 
-        def build(doc_ids: list, ids: np.ndarray, ends: np.ndarray, path: str) -> list[dict]:
+        def build(doc_ids: list, ids: np.ndarray, ends: np.ndarray, path: str) -> pa.Table:
             # each id's figures and its piece, with a blank behind: a document's are then one range of bytes, less the last
             views = [(memoryview(data), at[ends]) for data, at in map(text_buffer, (figures(path).take(pa.array(ids)), joined_pieces(ids, path)))]
             digest = lambda v, a, z: hashlib.sha256(v[a : max(a, z - 1)]).hexdigest()
-            return [{"doc_id": d, "n_tokens": int(ends[i + 1] - ends[i]), "ids_sha256": digest(views[0][0], views[0][1][i], views[0][1][i + 1]), "decoded_sha256": digest(views[1][0], views[1][1][i], views[1][1][i + 1])} for i, d in enumerate(doc_ids)]
+            hashed = [[digest(v, a, z) for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)] for v, at in views]
+            return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "n_tokens": np.diff(ends), "ids_sha256": hashed[0], "decoded_sha256": hashed[1]}, schema=build.schema)
 
         build.schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
         return self._apply(build, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -218,10 +219,15 @@ class WordTableBpe:
     def encoded(self) -> DataFrame:
         """doc_id, n_tokens, ids and the decoded text."""
 
-        def build(doc_ids: list, ids: np.ndarray, ends: np.ndarray, path: str) -> list[dict]:
+        def build(doc_ids: list, ids: np.ndarray, ends: np.ndarray, path: str) -> pa.Table:
             data, at = text_buffer(joined_pieces(ids, path))
-            at = at[ends]
-            return [{"doc_id": d, "n_tokens": int(ends[i + 1] - ends[i]), "ids": ids[ends[i] : ends[i + 1]], "decoded": data[at[i] : max(at[i], at[i + 1] - 1)].tobytes().decode()} for i, d in enumerate(doc_ids)]
+            at, full = at[ends], np.diff(ends) > 0
+            # the blank behind a document's last piece goes
+            data = np.delete(data, at[1:][full] - 1)
+            at = at - np.append(0, np.cumsum(full))
+            texts = pa.LargeStringArray.from_buffers(len(doc_ids), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+            return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "n_tokens": np.diff(ends), "ids": lists, "decoded": texts}, schema=build.schema)
 
         build.schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
         return self._apply(build, "doc_id long, n_tokens long, ids array<int>, decoded string")
