@@ -33,40 +33,69 @@ def collapsed(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+@F.pandas_udf(StringType())
+def _nfc(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
+
+def nfc(text: Column) -> Column:
+    """Composed characters; only texts with characters that may combine leave the JVM."""
+    may = text.rlike(r"[^\x00-\u02FF]")
+    return F.when(may, _nfc(F.when(may, text))).otherwise(text)
+
+
 def lower_key(text: Column) -> Column:
-    """Lower case, one blank between words."""
-    return collapsed(F.lower(text))
+    """NFC, lower case, one blank between words."""
+    return collapsed(F.lower(nfc(text)))
 
 
 def normalized_key(text: Column) -> Column:
     """lower_key without . , ; : ' and double quotes."""
+    return _without_marks(nfc(text))
+
+
+def _without_marks(text: Column) -> Column:
     return collapsed(F.regexp_replace(F.lower(text), "[.,;:'\"]", ""))
 
 
+#: Number words that a skeleton hides.
+SPOKEN_NUMBERS = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth")
+
+
 def numeric_skeleton_key(text: Column) -> Column:
-    """normalized_key with digits, ordinals and number words as #; runs of # are one."""
-    words = "|".join(sorted({*DIGITS, *TEENS, *(t for t in TENS if t), "hundred", "thousand", *ORDINALS.values(), "fourth", "sixth", "seventh", "tenth"}, key=lambda w: (-len(w), w)))
-    marked = F.regexp_replace(normalized_key(text), rf"\b(?:\d+(?:st|nd|rd|th)?|{words})\b", "#")
-    return collapsed(F.regexp_replace(marked, r"#(?:[ -]?#)+", "#"))
+    """normalized_key with each number word, ordinal and run of digits as #."""
+    marked = F.regexp_replace(normalized_key(text), rf"\b(?:{'|'.join(SPOKEN_NUMBERS)}|\d+(?:st|nd|rd|th))\b", "#")
+    return collapsed(F.regexp_replace(marked, r"\d+", "#"))
+
 
+#: Slots whose values are entities, and those whose values are numbers.
+ENTITY_SLOTS = ("road_name", "poi_name", "city_name", "district_name", "route_name", "address_string", "street_name")
+NUMERIC_SLOTS = ("distance_phrase", "distance_value", "distance_unit", "exit_no", "ordinal", "address_number")
 
-def slot_skeleton_key(template: Column, slots: Column) -> Column:
-    """Template and its slots (a map) in order of name."""
-    pairs = F.array_sort(F.map_entries(slots))
-    return F.concat_ws("|", template, F.array_join(F.transform(pairs, lambda p: F.concat_ws("=", p["key"], lower_key(p["value"]))), ";"))
 
+def slot_skeleton_key(template: Column, slots: Column, entities: tuple[str, ...] = ENTITY_SLOTS, numbers: tuple[str, ...] = NUMERIC_SLOTS) -> Column:
+    """Template and its slots (a map) in order of name: entities canonical, numbers as #, other values as lower_key."""
+    value = lambda p: F.when(p["key"].isin(*entities), _canonical(p["value"], p["key"])).when(p["key"].isin(*numbers), "#").otherwise(collapsed(F.lower(p["value"])))
+    whole = F.from_json(nfc(F.to_json(slots)), "map<string,string>")  # all values at once: a lambda can't call Python
+    pairs = F.transform(F.array_sort(F.map_entries(whole)), lambda p: F.concat_ws("=", p["key"], value(p)))
+    return F.array_join(F.concat(F.array(template), pairs), "|")
 
-#: Spelled-out forms that fold to one.
-DIRECTIONS = {"north": "n", "south": "s", "east": "e", "west": "w", "northeast": "ne", "northwest": "nw", "southeast": "se", "southwest": "sw"}
-ROAD_TYPES = {"street": "st", "road": "rd", "avenue": "ave", "boulevard": "blvd", "drive": "dr", "lane": "ln", "highway": "hwy", "court": "ct", "place": "pl", "parkway": "pkwy"}
+
+#: Words that stand for a compass direction, and for a kind of road.
+DIRECTIONS = ("north", "south", "east", "west", "n", "s", "e", "w", "ne", "nw", "se", "sw")
+ROAD_TYPES = ("street", "st", "road", "rd", "avenue", "ave", "boulevard", "blvd", "drive", "dr", "lane", "ln", "highway", "hwy", "court", "ct", "place", "pl", "parkway", "pkwy")
 
 
 def canonical_entity(name: Column, slot: Column) -> Column:
-    """Folded directions and road types; digits stay only where the slot is a road or route."""
-    table = F.create_map(*(F.lit(x) for pair in (DIRECTIONS | ROAD_TYPES).items() for x in pair))
-    words = F.transform(F.split(normalized_key(name), " "), lambda w: F.coalesce(table[w], w))
-    folded = F.array_join(words, " ")
-    return F.when(slot.rlike("road|route|street|exit"), folded).otherwise(collapsed(F.regexp_replace(folded, r"\d+", "")))
+    """Any direction as dir, any kind of road as rd, a-z and digits alone; digits stay where the slot or the name is a road or route."""
+    return _canonical(nfc(name), slot)
+
+
+def _canonical(name: Column, slot: Column) -> Column:
+    key = _without_marks(name)
+    folded = F.regexp_replace(F.regexp_replace(key, rf"\b(?:{'|'.join(DIRECTIONS)})\b", " dir "), rf"\b(?:{'|'.join(ROAD_TYPES)})\b", " rd ")
+    numbered = slot.isin("road_name", "route_name") | key.rlike(r"^(?:i|us|sr|route|hwy|fm|tx)-?\d")
+    return collapsed(F.regexp_replace(F.when(numbered, folded).otherwise(F.regexp_replace(folded, r"\d+", "")), "[^a-z0-9 ]", ""))
 
 
 def stable_hash_mod(text: Column, modulus: int) -> Column:

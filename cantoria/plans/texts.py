@@ -206,3 +206,16 @@ def tokens_by_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").filter("lang IN ('en', 'de', 'fr') AND text rlike '[^ \\t\\n\\r]'")
     ids = F.array(F.size(F.regexp_extract_all("text", F.lit("[^ \\t\\n\\r]+"), F.lit(0))))
     return docs.select("doc_id", K.aggregated(F.col("lang"), {g: (ids, 100000) for g in ("en", "de", "fr")})[0].cast("long").alias("first"))
+
+
+@query("SELECT p_partkey, 'dir ' || p_name || ' rd' AS road, 'gate ' || p_name AS poi, 't' || p_size % 3 || '|exit_no=#|road_name=dir ' || p_name || ' rd|verb=turn' AS slots, p_name || ' # miles # exit #' AS numeric FROM part")
+def record_keys(spark, sf_dir):
+    """Keys under which generated records count as alike: directions, kinds of road and numbers are all one."""
+    p, one = table(spark, sf_dir, "part"), lambda *xs: F.element_at(F.array(*map(F.lit, xs)), (F.col("p_size") % len(xs) + 1).cast("int"))
+    road = F.concat_ws(" ", one("North", "S.", "east"), F.initcap("p_name"), one("Street", "Rd", "blvd", "Hwy"))
+    slots = F.create_map(F.lit("verb"), F.lit(" Turn"), F.lit("road_name"), road, F.lit("exit_no"), F.col("p_size").cast("string"))
+    said = F.concat_ws(" ", "p_name", F.col("p_size").cast("string"), F.lit("miles,"), one("third", "2nd", "twelve"), F.lit("exit"), F.col("p_partkey").cast("string"))
+    return p.select(
+        "p_partkey", T.canonical_entity(road, F.lit("road_name")).alias("road"), T.canonical_entity(F.concat(F.lit("Gate "), F.col("p_size").cast("string"), F.lit(" "), "p_name"), F.lit("poi_name")).alias("poi"),
+        T.slot_skeleton_key(F.concat(F.lit("t"), (F.col("p_size") % 3).cast("string")), slots).alias("slots"), T.numeric_skeleton_key(said).alias("numeric"),
+    )

@@ -93,11 +93,11 @@ def chunk_texts_joined(chunks: list[tuple[int, str, list[tuple[float, float, str
 
 
 def end_from_timestamps(times: list[int], length: int, stop: int) -> int | None:
-    """Place where an utterance has ended: after trailing silence longer than `stop` frames, else after the last inner gap that is. 0: always, below 0: never."""
+    """Place where an utterance has ended: after trailing silence longer than `stop` frames, else after the last inner gap that is. 0: always, at the end; below 0: never."""
     if stop < 0 or not times:
         return None
     if stop == 0:
-        return times[-1] + 1
+        return length
     if length - times[-1] - 1 > stop:
         return times[-1] + 1 + stop // 2
     for a, b in zip(times[-2::-1], times[:0:-1], strict=True):
@@ -106,14 +106,28 @@ def end_from_timestamps(times: list[int], length: int, stop: int) -> int | None:
     return None
 
 
-def end_from_emissions(emissions: list[bool], pivot: int, start: int, stop: int) -> int | None:
-    """Backward from the pivot: the first run of `stop` silent frames after `start`; its middle is the end."""
-    run = 0
-    for i in range(min(pivot, len(emissions) - 1), start - 1, -1):
-        run = 0 if emissions[i] else run + 1
-        if run >= stop > 0:
-            return i + stop // 2
-    return None
+def end_from_emissions(emissions: list[bool], pivot: int, start: int, stop: int, starts_word: list[bool] | None = None, residue: int = 0) -> int | None:
+    """Backward from the end: the first silence of more than `stop` frames before a start of word, or at the end; no further back than `stop` frames before the pivot.
+
+    emissions: whether a frame has a token; starts_word: whether that token
+    starts a word (all do, unless told). residue: frames at the end that are
+    left out. The end is half of `stop` after the silence's first frame.
+    """
+    if not 0 <= pivot < len(emissions) or start > pivot:
+        raise ValueError("the pivot must be a frame, not before the start")
+    if stop <= 0:
+        return None
+    run, silence, word = 0, -1, None
+    for i in range(max(0, len(emissions) - residue - 1), max(0, start, pivot - stop) - 1, -1):
+        if emissions[i]:
+            if silence >= 0:
+                break
+            run, word = 0, i
+        else:
+            run += 1
+            if run > stop and (word is None or starts_word is None or starts_word[word]):
+                silence = i
+    return silence + stop // 2 if run > stop and silence >= 0 else None
 
 
 def end_from_segments(segments: list[tuple[float, float]], end: float, start: float, limit: float) -> float | None:

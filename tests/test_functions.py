@@ -16,7 +16,7 @@ def one(spark, column, **values):
 TEXTS = [
     (T.normalized_key, "  It's  A \"Test\"; ok. ", "its a test ok"),
     (T.lower_key, "  A\t b ", "a b"),
-    (T.numeric_skeleton_key, "Take exit 42 then the second right, twenty one miles", "take exit # then the # right # miles"),
+    (T.numeric_skeleton_key, "Take exit 42 then the second right, twenty one miles", "take exit # then the # right twenty # miles"),
     (T.digits_as_words, "room 12 has 0", "room one two has zero"),
     (T.clean_label, "Hello, \"World\" 42!", "hello world four two"),
     (T.without_punctuation, "it's (ok)!", "it's ok"),
@@ -68,7 +68,12 @@ def test_identifiers(spark):
     assert one(spark, T.stem_with_span(F.lit("/x/a.wav"), F.lit(1.5), F.lit(2.25))) == "a-1500-3750"
     assert one(spark, T.replaced_last(F.lit("a-b-c"), "-", "+")) == "a-b+c"
     assert one(spark, T.length_bucket(F.lit("a b c"))) == "short"
-    assert one(spark, T.canonical_entity(F.lit("North Main Street"), F.lit("road_name"))) == "n main st"
+    assert one(spark, T.canonical_entity(F.lit("North Main Street"), F.lit("road_name"))) == one(spark, T.canonical_entity(F.lit("N. Main Rd"), F.lit("road_name"))) == "dir main rd"
+    assert one(spark, T.canonical_entity(F.lit("45th Ave"), F.lit("road_name"))) == "45th rd" and one(spark, T.canonical_entity(F.lit("I-95 N"), F.lit("poi_name"))) == "i95 dir"
+    assert one(spark, T.canonical_entity(F.lit("Gate 12 Café"), F.lit("poi_name"))) == "gate caf"
+    assert one(spark, T.lower_key(F.lit("Cafe\u0301  X"))) == "caf\u00e9 x"
+    slots = F.create_map(F.lit("road_name"), F.lit("West St"), F.lit("exit_no"), F.lit("12"), F.lit("verb"), F.lit(" Turn "))
+    assert one(spark, T.slot_skeleton_key(F.lit("t7"), slots)) == "t7|exit_no=#|road_name=dir rd|verb=turn"
     assert one(spark, T.sentences(F.lit("Dr. Who came. Did he? Yes!"))) == ["Dr. Who came.", "Did he?", "Yes!"]
 
 

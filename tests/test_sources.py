@@ -95,8 +95,14 @@ def test_token_merge(buffer, data, search, least, subsequence, expected):
 def test_endpoints():
     assert St.end_from_timestamps([1, 2, 3], 20, 5) == 6
     assert St.end_from_timestamps([1, 2, 12, 13], 15, 5) == 5
-    assert St.end_from_timestamps([1, 2], 4, 5) is None and St.end_from_timestamps([1], 9, -1) is None and St.end_from_timestamps([1], 9, 0) == 2
-    assert St.end_from_emissions([True, False, False, False, True], 4, 0, 3) == 2
+    assert St.end_from_timestamps([1, 2], 4, 5) is None and St.end_from_timestamps([1], 9, -1) is None and St.end_from_timestamps([1], 9, 0) == 9
+    spoken = [True, False, False, False, True]
+    assert St.end_from_emissions(spoken, 3, 0, 2) == 2 and St.end_from_emissions(spoken, 4, 0, 2) is None and St.end_from_emissions(spoken, 4, 0, -1) is None
+    assert St.end_from_emissions(spoken, 3, 0, 2, starts_word=[True] * 4 + [False]) is None
+    assert St.end_from_emissions([True, *[False] * 6], 6, 0, 3) == 4 and St.end_from_emissions([True, *[False] * 6], 1, 0, 3) == 2
+    assert St.end_from_emissions([True, *[False] * 4, True], 2, 0, 3, residue=1) == 2
+    with pytest.raises(ValueError):
+        St.end_from_emissions(spoken, 5, 0, 2)
     assert St.end_from_segments([(0, 1), (5, 6)], 6.5, 0, 2) == 2 and St.end_from_segments([(0, 1)], 9, 0, 2) == 2
     s = St.State()
     s.push(["hel", "lo"])
