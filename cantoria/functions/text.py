@@ -40,8 +40,9 @@ def _nfc(text: pd.Series) -> pd.Series:
 
 def nfc(text: Column) -> Column:
     """Composed characters; only texts with characters that may combine leave the JVM."""
-    may = text.rlike(r"[^\x00-\u02FF]")
-    return F.when(may, _nfc(F.when(may, text))).otherwise(text)
+    plain = text.cast("string")
+    may = plain.rlike(r"[^\x00-\u02FF]")
+    return F.when(may, _nfc(F.when(may, plain))).otherwise(plain)
 
 
 def lower_key(text: Column) -> Column:
