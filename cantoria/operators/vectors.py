@@ -148,23 +148,23 @@ def k_means(x: np.ndarray, k: int, rounds: int = 15, seed: int = 0) -> np.ndarra
 
 
 def clustered(vectors: np.ndarray, most: int = 8, k: int | None = None, max_share: float = 0.25, seed: int = 0) -> np.ndarray:
-    """Spectral clustering: the neighbour count by least ratio of p to the largest eigenvalue gap, the cluster count by that gap."""
+    """Spectral clustering: the neighbour count by least ratio of p to the largest eigenvalue gap, or the next one whose graph is connected; the cluster count by that gap."""
     n = len(vectors)
     if n < 3:
         return np.zeros(n, int)
     a = affinity(vectors)
     best = None
     for p in range(2, max(3, int(n * max_share)) + 1, max(1, int(n * max_share) // 30)):
-        g = neighbour_graph(a, p)
-        if not largest_component(g, 0).all() and p < int(n * max_share) and best is None:
-            pass
-        count, values = eigen_gaps(g, min(most, n - 1))
+        count, values = eigen_gaps(neighbour_graph(a, p), min(most, n - 1))
         gap = np.diff(values[: most + 1]).max() / max(values[-1], 1e-10)
         score = p / n / max(gap, 1e-10)
         if best is None or score < best[0]:
             best = (score, p, count)
     _, p, count = best
     g = neighbour_graph(a, p)
+    while p < n - 1 and not largest_component(g, 0).all():
+        p += 1
+        g = neighbour_graph(a, p)
     count = k or count
     _, vecs = np.linalg.eigh(np.diag(np.abs(g - np.diag(np.diag(g))).sum(1)) - (g - np.diag(np.diag(g))))
     return k_means(vecs[:, :count], count, seed=seed)

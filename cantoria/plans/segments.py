@@ -133,13 +133,18 @@ def end_of_utterance_matches(spark, sf_dir):
     return J.matched_ends(s.filter("event_type = 'click'").drop("event_type"), s.filter("event_type = 'error'").drop("event_type"), ["user_id"], 600.0)
 
 
-@query()
+@query("""WITH f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, value / 50 AS p FROM events), d AS (SELECT *, CASE WHEN p > 0.5 THEN 1 WHEN p < 0.3 THEN 0 END AS d FROM f),
+s AS (SELECT user_id, i, coalesce(last_value(d IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS on_ FROM d), r AS (SELECT user_id, i, i - row_number() OVER (PARTITION BY user_id ORDER BY i) AS run FROM s WHERE on_ = 1),
+g AS (SELECT user_id, greatest(min(i) * 2 - 2, 0) AS a, (max(i) + 1) * 2 + 2 AS z FROM r GROUP BY user_id, run), m AS (SELECT *, max(z) OVER (PARTITION BY user_id ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM g),
+n AS (SELECT *, sum(CASE WHEN reach IS NULL OR a > reach THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY a, z) AS island FROM m)
+SELECT user_id, CAST(min(a) AS DOUBLE) AS start, CAST(max(z) AS DOUBLE) AS "end" FROM n GROUP BY user_id, island""")
 def speech_by_hysteresis(spark, sf_dir):
+    """Frames of two units whose value passes 25, until it falls below 15; a frame more at each end."""
     from pyspark.sql import Window
 
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     frames = table(spark, sf_dir, "events").select("user_id", (F.row_number().over(w) - 1).alias("frame_idx"), (F.col("value") / 50).alias("p"))
-    return I.hysteresis(frames, ["user_id"], 0.02, 0.5, 0.3, 0.02, 0.02)
+    return I.hysteresis(frames, ["user_id"], 2.0, 0.5, 0.3, 2.0, 2.0)
 
 
 @query()

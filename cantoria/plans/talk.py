@@ -126,9 +126,13 @@ def session_error_rates(spark, sf_dir):
     return sides.select("conv_id", S.session_errors("reference", "hypothesis").alias("x")).select("conv_id", "x.*")
 
 
-@query()
+@query(f"""WITH p AS (SELECT p_type, len(string_split(text, ' ')) AS r, CASE WHEN pred_text = '' THEN 0 ELSE len(string_split(pred_text, ' ')) END AS h, len(list_intersect(string_split(text, ' '), string_split(pred_text, ' '))) AS m1, CASE WHEN text = pred_text THEN 1 ELSE 0 END AS m2 FROM {PAIRS}),
+s AS (SELECT p_type, CAST(sum(r) AS BIGINT) AS ref_len, CAST(sum(h) AS BIGINT) AS hyp_len, CAST(sum(m1) AS BIGINT) AS match_1, CAST(sum(h) AS BIGINT) AS total_1, CAST(sum(m2) AS BIGINT) AS match_2, CAST(sum(greatest(h - 1, 0)) AS BIGINT) AS total_2 FROM p GROUP BY p_type),
+b AS (SELECT *, CASE WHEN hyp_len = 0 THEN 0.0 WHEN hyp_len >= ref_len THEN 1.0 ELSE exp(1 - ref_len / hyp_len) END AS brevity FROM s)
+SELECT p_type, ref_len, hyp_len, match_1, total_1, match_2, total_2, CAST(round(brevity, 6) AS DOUBLE) AS brevity, CAST(round(CASE WHEN least(match_1, match_2) > 0 THEN 100 * brevity * exp((ln(match_1 / total_1) + ln(match_2 / total_2)) / 2) ELSE 0.0 END, 6) AS DOUBLE) AS bleu FROM b""")
 def bleu(spark, sf_dir):
-    return S.ngram_matches(predictions(spark, sf_dir), ["p_type"], "text", "pred_text", 2)
+    """Names of two words against the next part's, up to pairs of words."""
+    return S.ngram_matches(predictions(spark, sf_dir), ["p_type"], "text", "pred_text", 2).withColumns({c: F.round(c, 6) for c in ("brevity", "bleu")})
 
 
 @query("""WITH p AS (SELECT d.doc_id, CAST(quality AS VARCHAR) AS y, CASE WHEN n_chars > 300 THEN '1' ELSE '0' END AS q FROM documents d JOIN labels USING (doc_id)),
@@ -170,9 +174,10 @@ def cross_entropy(spark, sf_dir):
     return S.normalized_cross_entropy(scored(spark, sf_dir)).select(F.round("nce", 6).alias("nce"))
 
 
-@query()
+@query(f"""WITH c AS (SELECT y, least(greatest(ceil(score * 50), 0), 51) AS cell FROM {SCORED}), v AS (SELECT t, abs(coalesce(count(*) FILTER (WHERE y = 0 AND cell < t) / nullif(count(*) FILTER (WHERE y = 0), 0), 0) - coalesce(count(*) FILTER (WHERE y = 1 AND cell < t) / nullif(count(*) FILTER (WHERE y = 1), 0), 0)) AS v
+FROM c, (SELECT unnest(generate_series(0, 50)) AS t) GROUP BY t) SELECT round(avg(v), 6) AS auc_yc, round(stddev_pop(v), 6) AS std_yc, round(max(v), 6) AS max_yc FROM v""")
 def youden_curve(spark, sf_dir):
-    return S.youden_curve(scored(spark, sf_dir), 50)
+    return S.youden_curve(scored(spark, sf_dir), 50).select(*(F.round(c, 6).alias(c) for c in ("auc_yc", "std_yc", "max_yc")))
 
 
 KEYS = ("red", "small ring", "widget")
