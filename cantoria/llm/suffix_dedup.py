@@ -8,7 +8,8 @@ places are all kept. Where an
 anchor stands in different fragments of different documents, their suffixes
 are sorted, the LCP array is scanned with a stack into the common-prefix
 interval tree, and nodes whose occurrences have different left neighbours are
-the maximal repeat groups, each with all its occurrences.
+the maximal repeat groups within these fragments; their spans are cut. The
+groups of whole documents, longer than a fragment, are in `repeat_tree`.
 
 Dataflow (each arrow one exchange, the text exchange is shared):
 chunk -> anchors by bucket -> verdict per anchor by chunk -> fragments by
@@ -36,7 +37,6 @@ ENTRY = "chunk int, bucket int, keys binary, contents binary, docs binary, doc_a
 VERDICT = "chunk int, bucket int, verdicts binary"
 FRAGMENT = "chunk int, bucket int, kind int, keys binary, docs binary, doc_at binary, starts binary, rows binary, times binary, lengths binary, bytes binary"
 SPAN = "chunk int, bucket int, kind int, rows binary, starts binary, ends binary"
-GROUP = "group_id string, length int, doc_id long, start int"
 
 
 def argmin_windows(h: np.ndarray, w: int) -> np.ndarray:
@@ -371,27 +371,17 @@ class SuffixDedup:
         return self.chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, FRAGMENT)
 
     def groups(self) -> DataFrame:
-        """(group_id, length, doc_id, start in bytes): repeats among differing fragments of one anchor, maximal within a fragment.
+        """(group_id, length, doc_id, start in bytes): every maximal repeat of at least `length` bytes, with all its occurrences.
 
-        Not all maximal repeats: equal fragments give no group of their own,
-        copies in further documents of a chunk are missing, and nothing is
-        longer than a fragment.
+        Maximal: its occurrences have different neighbours on the left and on
+        the right, where the edge of a document differs from all else. Repeats
+        within a document count, too; equal rows are occurrences of their own.
+        A run of one character has a group for each of its lengths, so the rows
+        of such a text grow with the square of the run.
         """
-        length = self.length
+        from .repeat_tree import RepeatTree
 
-        def listed(table: pa.Table) -> pa.Table:
-            own = table.filter(pa.array(table.column("kind").to_numpy() == 1))
-            if not own.num_rows:
-                return _rows([], GROUP)
-            _, _, key, sizes, data, doc, start, _, times = _fragments_of(own)
-            head = np.cumsum(times) - times
-            string, shift, nodes = repeat_groups(data, np.append(0, np.cumsum(sizes)), key, doc, length)
-            bucket, out = own.column("bucket")[0].as_py(), []
-            for g, (n, i, j) in enumerate(nodes):
-                out += [{"group_id": f"{bucket}-{g}", "length": n, "doc_id": int(doc[s]), "start": int(at + h)} for s, h in zip(string[i : j + 1], shift[i : j + 1], strict=True) for at in start[head[s] : head[s] + times[s]]]
-            return _rows(out, GROUP)
-
-        return self._fragments().groupBy("bucket").applyInArrow(listed, GROUP)
+        return RepeatTree(self.chunks, self.buckets, self.length, self.k).groups()
 
     def _apply(self, build, schema: str) -> DataFrame:
         length = self.length

@@ -22,6 +22,7 @@ from cantoria.llm.minhash import NearDuplicates
 from cantoria.llm.pii import Surrogates
 from cantoria.llm.quality_classifier import QualityClassifier, pooled
 from cantoria.llm.quality_rules import BITS, QualityRules, bins
+from cantoria.llm.repeat_tree import RepeatTree
 from cantoria.llm.suffix_dedup import SuffixDedup, lcp_intervals, repeat_groups
 
 from . import corpus as C
@@ -226,6 +227,66 @@ def test_suffix_texts_and_groups(spark):
     assert SuffixDedup(C.frame(spark), 50).groups().filter("length < 50").count() == 0
 
 
+def groups_brute(rows, least):
+    """Sorted (length, occurrences) of all maximal repeats, by extending each string of `least` bytes byte by byte."""
+    texts = [(t or "").encode() for _, t in rows]
+    seeds = {}
+    for r, raw in enumerate(texts):
+        for at in range(len(raw) - least + 1):
+            seeds.setdefault(raw[at : at + least], []).append((r, at))
+    out, todo = [], [(least, places) for places in seeds.values() if len(places) > 1]
+    while todo:
+        n, places = todo.pop()
+        left = {texts[r][at - 1] if at else (r, at) for r, at in places}
+        if len(left) == 1:
+            continue
+        following = {}
+        for r, at in places:
+            following.setdefault(texts[r][at + n] if at + n < len(texts[r]) else (r, at), []).append((r, at))
+        if len(following) > 1:
+            out.append((n, sorted((str(rows[r][0]), at) for r, at in places)))
+        todo += [(n + 1, p) for p in following.values() if len(p) > 1]
+    return sorted(out)
+
+
+def group_rows():
+    """Copies of documents and passages, runs, chains of overlapping passages, repeated rows and ids, nulls."""
+    rng = random.Random(23)
+    rows = [r for r in C.corpus() if r[0] not in (87, 91)]
+    passages = [C.text(rng, rng.choice((9, 20, 60))) for _ in range(5)]
+    rows += [(300 + i, C.text(rng, 3) + "".join(rng.choice(passages) for _ in range(4)) + C.text(rng, 3)) for i in range(12)]
+    rows += [(400 + i, C.text(random.Random(2), 300)) for i in range(4)] + [(404, "x" * 90), (405, "yx" + "x" * 70), (404, "x" * 90)]
+    return rows
+
+
+def found_groups(rows):
+    found = {}
+    for r in rows:
+        found.setdefault((r.group_id, r.length), []).append((str(r.doc_id), r.start))
+    assert len({g for g, _ in found}) == len(found)
+    return sorted((n, sorted(v)) for (_, n), v in found.items())
+
+
+@pytest.mark.parametrize(("width", "task_bytes"), [(512, 1 << 24), (64, 1 << 24), (64, 512)])
+def test_groups_are_all_maximal_repeats_with_all_occurrences(spark, width, task_bytes):
+    """Also with blocks of many rounds, and with families too wide for a task, which part byte by byte."""
+    rows = [r for r in group_rows() if task_bytes > 512 or r[0] in range(290, 404)]
+    dedup = SuffixDedup(C.frame(spark, rows), 30, k=12, chunk_bytes=6000)
+    tree = RepeatTree(dedup.chunks, dedup.buckets, 30, 12, width, task_bytes)
+    found = tree.groups().collect()
+    assert found_groups(found) == groups_brute(rows, 30)
+    # a group of a family that no task took whole is named by the family and its depth alone
+    assert any(r.group_id.count(":") == 1 for r in found) == (task_bytes == 512)
+
+
+def test_groups_of_the_operator(spark):
+    rows = group_rows()
+    expected = groups_brute(rows, 50)
+    assert found_groups(SuffixDedup(C.frame(spark, rows), 50).groups().collect()) == expected
+    assert any(n > 80 and len({d for d, _ in v}) >= 4 for n, v in expected)
+    assert SuffixDedup(empty(spark)).groups().count() == 0
+
+
 # 4
 
 
