@@ -126,3 +126,8 @@ def matched_ends(predicted: DataFrame, reference: DataFrame, keys: list[str], co
     # names of their own: with both sides from one table, columns of one name would be lost on the right
     named = reference.select(*(F.col(k).alias(f"ref_{k}") for k in (*keys, "start", "end")))
     return predicted.groupBy(*keys).cogroup(named.groupBy(*(f"ref_{k}" for k in keys))).applyInPandas(match, f"{kinds}, tp long, fp long, fn long, early long, missing long")
+
+
+def field_presence(df: DataFrame, field: str) -> DataFrame:
+    """(in_any, in_all): one row, whether some row and whether every row has the field; a null is a missing field, a table without rows has it everywhere and nowhere."""
+    return df.agg((F.count(field) > 0).alias("in_any"), (F.count(field) == F.count("*")).alias("in_all"))

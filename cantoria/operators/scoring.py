@@ -515,3 +515,21 @@ def searched_weight(candidates: DataFrame, key: str, weights: list[float], error
     aggs = [F.max_by(errors, F.struct((F.col(first) + w * F.col(second)).alias("s"), (-F.col(errors)).alias("e"))).alias(f"e{i}") for i, w in enumerate(weights)]
     sums = candidates.groupBy(key).agg(*aggs).agg(*(F.sum(f"e{i}").alias(f"e{i}") for i in range(len(weights))))
     return sums.select(F.explode(F.array(*(F.struct(F.lit(float(w)).alias("weight"), F.col(f"e{i}").alias("errors")) for i, w in enumerate(weights)))).alias("x")).select("x.*")
+
+
+def rows_and_hours(df: DataFrame, keys: list[str], duration: str = "duration") -> DataFrame:
+    """(keys, examples, hours): what each dataset weighs by its rows and by the seconds in them."""
+    return df.groupBy(*keys).agg(F.count("*").alias("examples"), (F.coalesce(F.sum(duration), F.lit(0)) / 3600).alias("hours"))
+
+
+def kinds_by_split(df: DataFrame, split: str, kind: str) -> DataFrame:
+    """(split, kind, n): rows of each kind in each split."""
+    return df.groupBy(split, kind).agg(F.count("*").alias("n"))
+
+
+def common_answers(df: DataFrame, answer: str, top: int = 5) -> DataFrame:
+    """(answer, n, percent): the commonest answers of a table with fewer distinct ones than a third of its rows, else none. Equally common ones come in order of their text."""
+    counts = df.groupBy(answer).agg(F.count("*").alias("n"))
+    totals = counts.agg(F.sum("n").alias("rows"), F.count("*").alias("distinct"))
+    few = counts.orderBy(F.desc("n"), answer).limit(top)
+    return few.join(F.broadcast(totals)).filter(F.col("distinct") < F.col("rows") / 3).select(answer, "n", F.round(100 * F.col("n") / F.col("rows"), 0).alias("percent"))

@@ -445,3 +445,30 @@ def cosines_of_neighbours(spark, sf_dir):
 @query("SELECT event_id, round((value - (SELECT min(value) FROM events)) / (SELECT max(value) - min(value) FROM events), 9) AS value FROM events")
 def scaled_values(spark, sf_dir):
     return V.scaled_min_max(table(spark, sf_dir, "events").select("event_id", "value"), "value").withColumn("value", F.round("value", 9))
+
+
+# what a table holds
+
+
+@query("SELECT true AS in_any, false AS in_all UNION ALL SELECT true, true UNION ALL SELECT false, false")
+def fields_of_rows(spark, sf_dir):
+    """A field of some rows, of all and of none."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", F.lit(1)).alias("some"), F.lit(None).cast("int").alias("none"))
+    return J.field_presence(o, "some").unionByName(J.field_presence(o, "o_orderkey")).unionByName(J.field_presence(o, "none"))
+
+
+@query("SELECT l_returnflag, count(*) AS examples, round(sum(l_quantity) / 3600.0, 6) AS hours FROM lineitem GROUP BY l_returnflag")
+def hours_by_dataset(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_quantity").cast("double").alias("duration"))
+    return S.rows_and_hours(l, ["l_returnflag"]).withColumn("hours", F.round("hours", 6))
+
+
+@query("SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderstatus, o_orderpriority")
+def kinds_of_splits(spark, sf_dir):
+    return S.kinds_by_split(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
+
+
+@query("SELECT p_type, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM part), 0) AS percent FROM part WHERE (SELECT count(DISTINCT p_type) < count(*) / 3.0 FROM part) GROUP BY p_type ORDER BY n DESC, p_type LIMIT 5")
+def commonest_answers(spark, sf_dir):
+    """A top-5 report."""
+    return S.common_answers(table(spark, sf_dir, "part").select("p_type"), "p_type")
