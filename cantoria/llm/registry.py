@@ -7,10 +7,11 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from . import chat, line_dedup, token_files
+from . import chat, lexical_search, line_dedup, token_files
 from .bpe import WordTableBpe
 from .chunks import table
 from .decontaminate import Decontaminate
+from .lexical_search import LexicalSearch
 from .line_dedup import LineDedup
 from .minhash import NearDuplicates
 from .pii import Surrogates
@@ -66,9 +67,13 @@ def op10_chat(spark, sf_dir):
     return chat.read_back(chat.segments(rows, ranks), ranks).drop("n_tokens")
 
 
+def op13_lexical_search(spark, sf_dir):
+    return LexicalSearch(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20).ranked()
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE_SQL.format(docs="documents", chars=50), "op10_chat": chat.ORACLE_SQL}
+    return {"op1_line_dedup": line_dedup.ORACLE_SQL.format(docs="documents", chars=50), "op10_chat": chat.ORACLE_SQL, "op13_lexical_search": lexical_search.ORACLE_SQL.format(top=20)}
