@@ -11,6 +11,7 @@ from . import chat, lexical_search, line_dedup, token_files
 from .bpe import WordTableBpe
 from .chunks import table
 from .decontaminate import Decontaminate
+from .language_id import LanguageId
 from .lexical_search import LexicalSearch
 from .line_dedup import LineDedup
 from .minhash import NearDuplicates
@@ -67,6 +68,10 @@ def op10_chat(spark, sf_dir):
     return chat.read_back(chat.segments(rows, ranks), ranks).drop("n_tokens")
 
 
+def op12_language_id(spark, sf_dir):
+    return LanguageId(table(spark, sf_dir, "documents")).predicted()
+
+
 def op13_lexical_search(spark, sf_dir):
     return LexicalSearch(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20).ranked()
 
