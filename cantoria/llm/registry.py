@@ -7,10 +7,11 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from . import chat, lexical_search, line_dedup, token_files
+from . import chat, hard_negatives, lexical_search, line_dedup, token_files
 from .bpe import WordTableBpe
 from .chunks import table
 from .decontaminate import Decontaminate
+from .hard_negatives import HardNegatives
 from .language_id import LanguageId
 from .lexical_search import LexicalSearch
 from .line_dedup import LineDedup
@@ -68,6 +69,10 @@ def op10_chat(spark, sf_dir):
     return chat.read_back(chat.segments(rows, ranks), ranks).drop("n_tokens")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return HardNegatives(table(spark, sf_dir, "embeddings")).mined()
+
+
 def op12_language_id(spark, sf_dir):
     return LanguageId(table(spark, sf_dir, "documents")).predicted()
 
@@ -81,4 +86,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.ORACLE_SQL.format(docs="documents", chars=50), "op10_chat": chat.ORACLE_SQL, "op13_lexical_search": lexical_search.ORACLE_SQL.format(top=20)}
+    return {"op1_line_dedup": line_dedup.ORACLE_SQL.format(docs="documents", chars=50), "op10_chat": chat.ORACLE_SQL, "op11_hard_negatives": hard_negatives.ORACLE_SQL, "op13_lexical_search": lexical_search.ORACLE_SQL.format(top=20)}
