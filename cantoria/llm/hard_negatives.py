@@ -116,7 +116,7 @@ class HardNegatives:
         self.folder = f"{shared_folder(self.spark)}/negatives-{uuid.uuid4().hex}"
         whole = plain.select("vec_id", "label", whole.alias("x"))
         first = whole.withColumn("by", F.xxhash64("vec_id", "label")).orderBy("by").limit(sample).select("x").toArrow()
-        books = centroids(_matrix(first.column("x").combine_chunks(), self.width).reshape(first.num_rows, -1, PART).astype(np.float64), CENTROIDS, ROUNDS, seed)
+        books = centroids(_matrix(first.column("x").combine_chunks(), self.width).reshape(first.num_rows, self.width // PART, PART).astype(np.float64), CENTROIDS, ROUNDS, seed)
         self.books, width = books, self.width
 
         def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
