@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ..operators import intervals as I
 from ..operators import joins as J
 from ..operators import scoring as S
+from ..operators import tuning as T
+from ..operators import zones as Z
 from ..streaming import streams
 from .registered import query, table
 
@@ -192,3 +194,98 @@ SELECT user_id, min(start) AS start, arg_max(end_, start) AS "end" FROM i GROUP
 def merged_neighbours(spark, sf_dir):
     """Segments merged with the one before only, which a longer one further back doesn't change."""
     return I.merged_neighbours(segments(spark, sf_dir), ["user_id"])
+
+
+def _islands(of: str) -> str:
+    """SQL of the unions of (user_id, a, z) spans that overlap or touch."""
+    return f"""(SELECT user_id, min(a) AS a, max(z) AS z FROM (SELECT *, sum(CASE WHEN reach IS NULL OR a > reach THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY a, z) AS island
+FROM (SELECT *, max(z) OVER (PARTITION BY user_id ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {of})) GROUP BY user_id, island)"""
+
+
+ZONES = f"""WITH s AS (SELECT user_id, event_type, start::DOUBLE AS a, end_::DOUBLE AS z FROM {SEGMENTS} WHERE end_ > start),
+z AS {_islands("(SELECT user_id, a, z FROM s WHERE event_type = 'error')")}, l AS {_islands("(SELECT user_id, a, z FROM s WHERE event_type = 'view')")},
+anchors AS (SELECT user_id, unnest([a, z]) AS t FROM (SELECT user_id, a, z FROM s WHERE event_type = 'purchase' UNION ALL SELECT user_id, a, z FROM l)),
+edges AS (SELECT z.user_id, z.a, z.z, EXISTS (SELECT 1 FROM l WHERE l.user_id = z.user_id AND l.a <= z.a AND l.z >= z.a) AS spoken_a, EXISTS (SELECT 1 FROM l WHERE l.user_id = z.user_id AND l.a <= z.z AND l.z >= z.z) AS spoken_z,
+  (SELECT max(t) FROM anchors x WHERE x.user_id = z.user_id AND t <= z.a) AS before, (SELECT min(t) FROM anchors x WHERE x.user_id = z.user_id AND t >= z.z) AS after, (SELECT max(y.a) FROM z y WHERE y.user_id = z.user_id AND y.a > z.a) AS next FROM z),
+stretched AS (SELECT user_id, CASE WHEN spoken_a THEN a ELSE greatest(coalesce(before, 0), a - 3e10) END AS a, CASE WHEN spoken_z THEN z WHEN after IS NOT NULL THEN least(after, z + 3e10) WHEN next IS NOT NULL THEN z + 3e10 ELSE 'infinity'::DOUBLE END AS z FROM edges),
+zones AS {_islands("stretched")}"""
+#: What a user's time between the first begin and the last end is.
+TURNS = "SELECT user_id, min(a) AS a, max(z) AS z FROM s GROUP BY user_id"
+
+
+def _tokens(spark, sf_dir):
+    """Views as lexemes, purchases as turns, errors as what isn't lexical; times in microseconds."""
+    kind = F.when(F.col("event_type") == "view", "LEXEME").when(F.col("event_type") == "purchase", "SPEAKER").when(F.col("event_type") == "error", "NON-LEX").otherwise("CLICK")
+    return segments(spark, sf_dir).select("user_id", kind.alias("kind"), F.lit("other").alias("subtype"), "start", "end")
+
+
+def _zones(spark, sf_dir):
+    return Z.exclusion_zones(_tokens(spark, sf_dir), ["user_id"], {"NON-LEX": {"other"}, "LEXEME": {"fp"}}, extend=3e10)
+
+
+@query(ZONES + ' SELECT user_id, a AS start, z AS "end" FROM zones')
+def exclusion_zones(spark, sf_dir):
+    """Errors stretched by up to 30,000 s, not over a view or the edge of a purchase."""
+    return _zones(spark, sf_dir)
+
+
+def _regions(spark, sf_dir):
+    s = segments(spark, sf_dir).filter("end > start")
+    return s.groupBy("user_id").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+
+
+@query(ZONES + f""", e AS (SELECT user_id, t, sum(r) AS r, sum(q) AS q FROM (SELECT user_id, unnest([a, z]) AS t, unnest([1, -1]) AS r, 0 AS q FROM ({TURNS}) UNION ALL SELECT user_id, unnest([a, z]), 0, unnest([1, -1]) FROM zones) GROUP BY user_id, t),
+c AS (SELECT user_id, t AS a, lead(t) OVER w AS z, sum(r) OVER w AS r, sum(q) OVER w AS q FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t)),
+k AS (SELECT *, max(CASE WHEN r > 0 AND q = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id) AS any_left FROM c WHERE z IS NOT NULL), p AS (SELECT user_id, a, z FROM k WHERE r > 0 AND (q = 0 OR any_left = 0))
+SELECT user_id, a AS start, z AS "end" FROM {_islands("p")}""")
+def regions_to_score(spark, sf_dir):
+    """A user's time without the zones."""
+    return Z.regions_without(_regions(spark, sf_dir), _zones(spark, sf_dir), ["user_id"])
+
+
+@query(f"""WITH s AS (SELECT user_id, start::DOUBLE AS a, end_::DOUBLE AS z FROM {SEGMENTS} WHERE end_ > start AND event_type IN ('purchase', 'click')), e AS (SELECT user_id, t, sum(n) AS n FROM (SELECT user_id, unnest([a, z]) AS t, unnest([1, -1]) AS n FROM s) GROUP BY user_id, t),
+p AS (SELECT user_id, a, z FROM (SELECT user_id, t AS a, lead(t) OVER w AS z, sum(n) OVER w AS n FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t)) WHERE n > 1 AND z IS NOT NULL)
+SELECT user_id, a AS start, z AS "end" FROM {_islands("p")}""")
+def speech_at_once(spark, sf_dir):
+    turns = segments(spark, sf_dir).filter("event_type in ('purchase', 'click')")
+    return Z.overlapped_speech(turns.select("user_id", F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end")), ["user_id"])
+
+
+@query()
+def diarization_outside_zones(spark, sf_dir):
+    """As diarization_error, over each user's time without zones and collars; held against a grid of instants in the tests."""
+    seconds = lambda df: df.select(F.col("user_id").alias("file"), (F.col("start") / 1e6).alias("start"), (F.col("end") / 1e6).alias("end"))
+    s = segments(spark, sf_dir).select(F.col("user_id").alias("file"), (F.col("start") / 1e6).alias("start"), (F.col("end") / 1e6).alias("end"), F.col("event_type").alias("speaker"))
+    heard = s.withColumns({"start": F.col("start") + 20, "end": F.col("end") + 20, "speaker": F.when(F.col("speaker") == "click", "view").otherwise(F.col("speaker"))})
+    return S.diarization(s, heard, "file", uem=seconds(Z.regions_without(_regions(spark, sf_dir), _zones(spark, sf_dir), ["user_id"])))
+
+
+THRESHOLDS = {"onset": [0.6, 0.4], "offset": [0.3, 0.5, 0.4], "pad_onset": [0.0, 1.0], "pad_offset": [2.0], "min_duration_on": [0.0, 3.0], "min_duration_off": [0.0, 3.0], "filter_speech_first": [True, False]}
+
+
+def _on_grid() -> str:
+    """SQL of the same grid: states by frames, runs, pads, unions, both filters and the seconds by edges; frames of a second."""
+    islands = lambda src: f"(SELECT k, user_id, min(a) AS a, max(z) AS z FROM (SELECT *, sum(CASE WHEN reach IS NULL OR a > reach THEN 1 ELSE 0 END) OVER (PARTITION BY k, user_id ORDER BY a, z) AS island FROM (SELECT *, max(z) OVER (PARTITION BY k, user_id ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {src})) GROUP BY k, user_id, island)"
+    filled = lambda src: f"(SELECT k, user_id, min(a) AS a, max(z) AS z FROM (SELECT *, sum(CASE WHEN reach IS NULL OR a - reach >= gap THEN 1 ELSE 0 END) OVER (PARTITION BY k, user_id ORDER BY a) AS island FROM (SELECT x.*, lag(z) OVER (PARTITION BY k, user_id ORDER BY a) AS reach, min_duration_off AS gap FROM {src} x JOIN grid USING (k))) GROUP BY k, user_id, island)"
+    points = ", ".join(f"({i}, {p['onset']}, {p['offset']}, {p['pad_onset']}, {p['pad_offset']}, {p['min_duration_on']}, {p['min_duration_off']}, {p['filter_speech_first']})" for i, p in enumerate(T.parameter_grid(THRESHOLDS)))
+    return f"""WITH grid(k, onset, "offset", pad_onset, pad_offset, min_duration_on, min_duration_off, filter_speech_first) AS (VALUES {points}),
+f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, least(value / 100, 1) AS p, event_type FROM events),
+d AS (SELECT k, user_id, i, last_value(CASE WHEN p > onset THEN 1 WHEN p < "offset" THEN 0 END IGNORE NULLS) OVER (PARTITION BY k, user_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS on_ FROM f, grid WHERE onset >= "offset"),
+g AS (SELECT k, user_id, greatest(min(i) - any_value(pad_onset), 0) AS a, max(i) + 1 + any_value(pad_offset) AS z FROM (SELECT *, i - row_number() OVER (PARTITION BY k, user_id ORDER BY i) AS run FROM d WHERE on_ = 1) JOIN grid USING (k) GROUP BY k, user_id, run),
+u AS {islands("g")}, first_ AS (SELECT u.* FROM u JOIN grid USING (k) WHERE filter_speech_first AND z - a >= min_duration_on), last_ AS (SELECT u.* FROM u JOIN grid USING (k) WHERE NOT filter_speech_first),
+segs AS (SELECT * FROM {filled("first_")} UNION ALL SELECT x.* FROM {filled("last_")} x JOIN grid USING (k) WHERE z - a >= min_duration_on),
+ref AS {_islands("(SELECT user_id, i AS a, i + 2 AS z FROM f WHERE event_type IN ('view', 'click'))")}, span AS (SELECT user_id, min(a) AS lo, max(z) AS hi, sum(z - a) AS scored FROM ref GROUP BY user_id),
+heard AS (SELECT k, sum(least(z, hi) - greatest(a, lo)) AS heard FROM segs JOIN span USING (user_id) WHERE a < hi AND z > lo GROUP BY k), hit AS (SELECT k, sum(least(s.z, r.z) - greatest(s.a, r.a)) AS hit FROM segs s JOIN ref r ON s.user_id = r.user_id AND s.a < r.z AND r.a < s.z GROUP BY k)
+SELECT * EXCLUDE (k, heard, hit), (false_alarm + missed) / scored AS error_rate, false_alarm / scored AS false_alarm_rate, missed / scored AS missed_rate
+FROM (SELECT k, onset::DOUBLE AS onset, "offset"::DOUBLE AS "offset", pad_onset::DOUBLE AS pad_onset, pad_offset::DOUBLE AS pad_offset, min_duration_on::DOUBLE AS min_duration_on, min_duration_off::DOUBLE AS min_duration_off, filter_speech_first, coalesce(heard, 0)::DOUBLE AS heard, coalesce(hit, 0)::DOUBLE AS hit, scored::DOUBLE AS scored, (coalesce(heard, 0) - coalesce(hit, 0))::DOUBLE AS false_alarm, (scored - coalesce(hit, 0))::DOUBLE AS missed
+FROM grid LEFT JOIN heard USING (k) LEFT JOIN hit USING (k), (SELECT sum(scored) AS scored FROM span) WHERE onset >= "offset")"""
+
+
+@query(_on_grid())
+def thresholds_on_grid(spark, sf_dir):
+    """Detection errors of a user's events as frames of a second, for every point of the grid whose onset isn't below the offset."""
+    from pyspark.sql import Window
+
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", (F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).alias("frame_idx"), F.least(F.col("value") / 100, F.lit(1.0)).alias("p"))
+    spoken = events.filter("event_type in ('view', 'click')").select("user_id", F.col("frame_idx").alias("start"), (F.col("frame_idx") + 2).alias("end"))
+    return T.detection_grid(events, spoken, "user_id", 1.0, THRESHOLDS).filter("onset >= offset")
