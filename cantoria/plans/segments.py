@@ -13,7 +13,7 @@ from ..operators import joins as J
 from ..operators import scoring as S
 from ..operators import tuning as T
 from ..operators import zones as Z
-from ..streaming import streams
+from ..streaming import online, streams
 from .registered import query, table
 
 SEGMENTS = "(SELECT user_id, event_id, event_type, epoch_us(ts) AS start, epoch_us(ts) + CAST(round(value * 1000) AS BIGINT) * 1000000 AS end_ FROM events)"
@@ -289,3 +289,19 @@ def thresholds_on_grid(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "event_type", (F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).alias("frame_idx"), F.least(F.col("value") / 100, F.lit(1.0)).alias("p"))
     spoken = events.filter("event_type in ('view', 'click')").select("user_id", F.col("frame_idx").alias("start"), (F.col("frame_idx") + 2).alias("end"))
     return T.detection_grid(events, spoken, "user_id", 1.0, THRESHOLDS).filter("onset >= offset")
+
+
+@query(f"""WITH s AS (SELECT user_id, start AS a, end_ AS z FROM {SEGMENTS} WHERE end_ > start AND event_type IN ('view', 'error')), u AS (SELECT user_id, a::BIGINT AS a, z::BIGINT AS z FROM {_islands("s")}),
+w AS (SELECT user_id, z, unnest(range(CASE WHEN z - a <= 9000000000 THEN 1 ELSE ceil((z - a - 9000000000) / 4000000000)::BIGINT + 1 END)) * 4000000000 + a AS a FROM u)
+SELECT user_id::VARCHAR AS stream_id, 'given' AS action, a::BIGINT AS start, least(a + 9000000000, z)::BIGINT AS "end" FROM w WHERE a < z""")
+def speech_windows(spark, sf_dir):
+    """Windows of 9,000 s every 4,000 s over what the views and errors of a user cover; on a stream the same rows, net of those cut."""
+    e = segments(spark, sf_dir).filter("event_type in ('view', 'error')")
+    return online.speech_windows(e.select(F.col("user_id").cast("string").alias("stream_id"), F.timestamp_micros("start").alias("start"), F.timestamp_micros("end").alias("end")), 9_000_000_000, 4_000_000_000)
+
+
+@query()
+def online_speakers(spark, sf_dir):
+    """Embeddings as segments of ten streams; held against the same steps without Spark in the tests, and against streams."""
+    e = table(spark, sf_dir, "embeddings")
+    return online.online_speakers(e.select((F.col("vec_id") % 10).cast("string").alias("stream_id"), F.floor(F.col("vec_id") / 10).alias("place"), F.col("embedding").alias("vector"), F.lit(False).alias("is_last")))

@@ -23,6 +23,8 @@ def session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSession:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        # timers of streams need it
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     for key, value in (defaults | conf).items():
         builder = builder.config(key, value)
