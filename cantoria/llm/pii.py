@@ -55,9 +55,10 @@ _NAME = r"\p{Lu}[\p{L}'’-]+"
 _TITLE = r"(?:" + "|".join(sorted((t for g in TITLES.values() for t in g), key=lambda t: (-len(t), t))) + r")\.?"
 _ASSIGN = r"(?i:password|passwd|pwd|secret|api[_-]?key|access[_-]?key|token)\s{0,3}[=:]\s{0,3}[\"']?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-#: Type and pattern of each kind of entity; where two fit at one place, the earlier counts.
+#: Type and pattern of each kind of entity; where two fit at one place, the earlier counts. A group that repeats without
+#: bound is possessive: any other recurses once a repetition, and a long text overflows the stack.
 PATTERNS = {
-    "EMAIL": r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+",
+    "EMAIL": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,255}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "AWS_KEY": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])",
     "SECRET": _ASSIGN + r"[^\s\"']{6,}+",
     "IPV4": rf"(?<!\d\.)(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
@@ -75,7 +76,11 @@ FEW_SIGNED = 4
 MASK = r"^([^\p{L}\p{N}])\1{3,}[.,;:!?)]*$"
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(PATTERNS.values()) + ")"
 #: Two or more names in a row, none of them the start of something else, looked at where the corpus has full names behind titles.
-NAMES = rf"{_NAME}(?: (?!{'|'.join(PATTERNS.values())}){_NAME})+"
+NAMES = rf"{_NAME}(?: (?!{'|'.join(PATTERNS.values())}){_NAME})++"
+#: A word's edges.
+WORD = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
+#: Those of one that isn't part of an address.
+APART = r"(?<![\p{L}\p{N}@._%+/-])", r"(?![\p{L}\p{N}@_/]|[.-][\p{L}\p{N}])"
 #: Fixed value: country calling codes; what isn't listed has three digits.
 CALLING = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 #: Country code and trunk zeros stay as they are; so does what ends a sentence behind a secret.
@@ -226,9 +231,21 @@ def _written(entity: Column, kind: Column, atoms: Column) -> Column:
     return F.when(kind.isin("PERSON", "NAMES"), person).when(kind == "IPV4", new).when(kind == "SECRET", secret).otherwise(F.concat(head, laid))
 
 
+def _without_family(text: Column, before: Column, family: Column) -> Column:
+    """The text with a family's (atom, surrogate) name replaced where it stands alone with a capital; one that the text before also has in small letters is a word there, and stays."""
+    name, other = family["atom"], family["surrogate"]
+    plain = F.regexp_replace(text, F.concat(F.lit(WORD[0]), F.upper(name), F.lit(WORD[1])), F.upper(other))
+    return F.when(F.rlike(before, F.concat(F.lit(APART[0]), name, F.lit(APART[1]))), text).otherwise(F.regexp_replace(plain, F.concat(F.lit(WORD[0] + r"(?=\p{Lu})(?iu:"), name, F.lit(")" + WORD[1])), other))
+
+
 class Surrogates:
     """Documents (doc_id, text) with surrogates for what PATTERNS find, under a secret key.
 
+    In a document with a person, the surname is replaced wherever it stands
+    with a capital, unless the document has the same word in small letters;
+    n_entities doesn't count these. An address whose first part has more than
+    256 characters is replaced from its last 256 on, from the start of a word.
+
     Null text counts as empty and stays empty text. Rows of one doc_id and
     text get the same surrogates; a null doc_id is an id like any other. Only
     doc_id and text are read.
@@ -247,29 +264,30 @@ class Surrogates:
             self.found = checkpointed(self._with_people(self._entities(self.pattern), people))
 
     def _entities(self, pattern: str) -> DataFrame:
-        """(doc_id, tie, at, entity, type, part, kind, atom, keep, tail): the atoms of what the pattern finds; names without a title have one for each name."""
+        """(doc_id, tie, at, entity, type, part, kind, atom, keep, tail): the atoms of what the pattern finds, the entity with the first of them; names without a title have one for each name."""
         found = self.docs.select("doc_id", "tie", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("found")).filter(F.size("found") > 0).dropDuplicates(["doc_id", "tie"])
         each = found.select("doc_id", "tie", F.posexplode("found").alias("at", "entity")).withColumn("type", F.coalesce(_type(F.col("entity")), F.lit("NAMES")))
         name = F.transform(F.split("entity", " "), lambda n: F.struct(F.lit("NAME").alias("kind"), F.lower(n).alias("atom"), F.lit(0).alias("keep"), F.lit(0).alias("tail")))
-        return each.select("*", F.posexplode(F.when(F.col("type") == "NAMES", name).otherwise(_atoms(F.col("entity"), F.col("type")))).alias("part", "of")).select("doc_id", "tie", "at", "entity", "type", "part", "of.*")
+        atoms = F.when(F.col("type") == "NAMES", name).otherwise(_atoms(F.col("entity"), F.col("type")))
+        # a row of a hundred thousand names is written once, not with each of them
+        parts = F.transform(atoms, lambda x, i: F.struct(*(x[c].alias(c) for c in ("kind", "atom", "keep", "tail")), F.when(i == 0, F.col("entity")).alias("entity")))
+        return each.select("doc_id", "tie", "at", "type", F.posexplode(parts).alias("part", "of")).select("doc_id", "tie", "at", "of.entity", "type", "part", "of.kind", "of.atom", "of.keep", "of.tail")
 
     def _with_people(self, found: DataFrame, people: DataFrame) -> DataFrame:
-        """Names without a title stay where two in a row are a known full name."""
+        """Names without a title stay where two in a row are a known full name, with a null kind for those of them that belong to none."""
         w = Window.partitionBy("doc_id", "tie", "at").orderBy("part")
-        names = found.filter("type = 'NAMES'").withColumn("next", F.lead("atom").over(w)).filter("next is not null")
-        pairs = names.join(people, (names["atom"] == people["given"]) & (names["next"] == people["family"])).drop("kind", "atom", "given", "next")
-        as_part = lambda step, atom, kind: pairs.withColumn("part", F.col("part") + step).withColumn("atom", atom).withColumn("kind", F.col(kind))
-        given = as_part(0, F.lower(F.element_at(F.split("entity", " "), F.col("part") + 1)), "given_kind")
-        family = as_part(1, F.col("family"), "family_kind")
         keep = ["doc_id", "tie", "at", "entity", "type", "part", "kind", "atom", "keep", "tail"]
+        names = found.filter("type = 'NAMES'").withColumn("next", F.lead("atom").over(w)).drop("kind")
+        met = names.join(people, (names["atom"] == people["given"]) & (names["next"] == people["family"]), "left")
         # a name that is one person's last and the next one's first is taken once
-        known = given.select(keep).unionByName(family.select(keep)).groupBy("doc_id", "tie", "at", "part").agg(F.min(F.struct("kind", "atom", "entity", "type", "keep", "tail")).alias("one")).select("doc_id", "tie", "at", "part", "one.*")
+        met = met.withColumn("kind", F.least("given_kind", F.lag("family_kind").over(w)))
+        known = met.withColumn("any", F.max("kind").over(Window.partitionBy("doc_id", "tie", "at"))).filter("any is not null")
         return found.filter("type != 'NAMES'").select(keep).unionByName(known.select(keep))
 
     def table(self) -> DataFrame:
         """(kind, atom, surrogate) of every distinct atom."""
         kind, atom = F.col("kind"), F.col("atom")
-        atoms = self.found.groupBy("kind", "atom").agg(F.min("keep").alias("keep"), F.min("tail").alias("tail"))
+        atoms = self.found.filter("kind is not null").groupBy("kind", "atom").agg(F.min("keep").alias("keep"), F.min("tail").alias("tail"))
         # names start with as many parts as their number asks for
         sizes = {r.kind: r.n for r in atoms.filter("kind rlike '^(GIVEN|SURNAME)'").groupBy("kind").agg(F.count("*").alias("n")).collect()}  # a row for each list of names
         lists = {f"GIVEN/{g}/{s}": len(n) for (g, s), n in GIVEN.items()} | {f"SURNAME/{s}": len(n) for s, n in SURNAMES.items()}
@@ -300,14 +318,14 @@ class Surrogates:
 
     def texts(self) -> DataFrame:
         """doc_id, text with surrogates, n_entities, types: a row for each document."""
-        named = self.found.join(self.table(), ["kind", "atom"])
+        named = self.found.join(self.table(), ["kind", "atom"], "left")
         parts = F.array_sort(F.collect_list(F.struct("part", "surrogate")))
-        entities = named.groupBy("doc_id", "tie", "at").agg(F.first("entity").alias("entity"), F.first("type").alias("type"), parts.alias("of"))
+        family = F.when(F.col("kind").startswith("SURNAME"), F.struct("atom", "surrogate"))
+        entities = named.groupBy("doc_id", "tie", "at").agg(F.max("entity").alias("entity"), F.first("type").alias("type"), parts.alias("of"), F.collect_set(family).alias("families"))
         # a surrogate for each name, null for those that stay
-        spread = F.transform(F.split("entity", " "), lambda _, i: F.get(F.transform(F.filter("of", lambda x: x["part"] == i), lambda x: x["surrogate"]), F.lit(0)))
-        entities = entities.withColumn("atoms", F.when(F.col("type") == "NAMES", spread).otherwise(F.transform("of", lambda x: x["surrogate"])))
+        entities = entities.withColumn("atoms", F.transform("of", lambda x: x["surrogate"]))
         entities = entities.withColumn("written", _written(F.col("entity"), F.col("type"), F.col("atoms"))).withColumn("type", F.when(F.col("type") == "NAMES", "PERSON").otherwise(F.col("type")))
-        by_doc = entities.groupBy(F.col("doc_id").alias("found_id"), F.col("tie").alias("found_tie")).agg(F.array_sort(F.collect_list(F.struct("at", "written", "type"))).alias("new"))
+        by_doc = entities.groupBy(F.col("doc_id").alias("found_id"), F.col("tie").alias("found_tie")).agg(F.array_sort(F.collect_list(F.struct("at", "written", "type"))).alias("new"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("families")))).alias("families"))
         joined = self.docs.join(by_doc, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("tie") == F.col("found_tie")), "left")
         there = F.col("new").isNotNull()
         # between texts and what was found behind each; a column each, since a lambda would compute them for every element
@@ -317,4 +335,5 @@ class Surrogates:
         pieces = F.transform("new", lambda x, i: F.concat(F.array_join(F.slice("whole", before(i) + 1, x["at"] - before(i)), ""), F.col("between")[x["at"]], x["written"]))
         after = F.element_at("new", -1)["at"] + 1
         text = F.concat(F.array_join(pieces, ""), F.array_join(F.slice("whole", after + 1, F.greatest(F.size("whole") - after, F.lit(0))), ""))
-        return cut.select("doc_id", F.when(there, text).otherwise(F.col("text")).alias("text"), F.when(there, F.size("new")).otherwise(0).cast("long").alias("n_entities"), F.coalesce(F.array_sort(F.array_distinct(F.transform("new", lambda x: x["type"]))), F.array().cast("array<string>")).alias("types"))
+        done = cut.withColumn("new_text", text).withColumn("new_text", F.aggregate("families", F.col("new_text"), lambda t, x: _without_family(t, F.col("text"), x)))
+        return done.select("doc_id", F.when(there, F.col("new_text")).otherwise(F.col("text")).alias("text"), F.when(there, F.size("new")).otherwise(0).cast("long").alias("n_entities"), F.coalesce(F.array_sort(F.array_distinct(F.transform("new", lambda x: x["type"]))), F.array().cast("array<string>")).alias("types"))

@@ -651,6 +651,31 @@ def test_surrogates_of_the_corpus_and_long_texts(spark):
     assert re.fullmatch(r"token=(?:[a-z][A-Z]\d){30000} end", texts[500])
 
 
+def test_surrogates_of_texts_without_end(spark):
+    """Addresses and rows of names that a pattern with a stack would not get through."""
+    names = "Dr Anna Keller met " + "Anna " * 100_000
+    rows = [(1, "x@" + "a." * 100_000 + "com"), (2, "a." * 100_000), (3, names), (4, "Ann Bell " * 20_000 + "and Mr Ann Bell"), (5, "A" * 100_000), (6, "Aa " * 60_000), (7, "1 " * 60_000), (8, "aa:" * 60_000), (9, "password=" + "x" * 100_000)]
+    out = {r.doc_id: r for r in Surrogates(C.frame(spark, rows), "k").texts().collect()}
+    assert len(out) == len(rows) and re.fullmatch(r"[a-z]@(?:[a-z]\.){100000}com", out[1].text) and out[1].n_entities == 1
+    assert all(out[i].text == rows[i - 1][1] for i in (2, 5, 6, 8))
+    assert out[3].text.endswith("Anna " * 10) and "Keller" not in out[3].text
+    assert not re.search(r"\bBell\b", out[4].text) and len(set(out[4].text.split(" "))) == 4
+
+
+def test_surnames_alone_are_replaced(spark):
+    rows = [
+        (1, "Dr. Anna Keller spoke. Keller, then KELLER and Keller's notes; Kellers stay. keller@mail.com"),
+        (2, "Here Anna Keller wrote, and Keller read."), (3, "Keller is a word here."),
+        (4, "Mr. Green has green tea. Green is fine."), (5, "Mrs. Li and Ms. Li-Wei O'Neil met; O'Neil left. Li stayed."),
+    ]
+    out = {r.doc_id: r.text for r in Surrogates(C.frame(spark, rows), "k").texts().collect()}
+    m = re.fullmatch(r"Dr\. (\w+) ([\w-]+) spoke\. ([\w-]+), then ([\w-]+) and ([\w-]+)'s notes; Kellers stay\. (\w+)@(\w+)\.com", out[1])
+    assert m[2] == m[3] == m[5] != "Keller" and m[4] == m[2].upper()
+    assert out[2] == f"Here {m[1]} {m[2]} wrote, and {m[2]} read." and out[3] == rows[2][1]
+    assert re.fullmatch(r"Mr\. [\w-]+ has green tea\. Green is fine\.", out[4]) and "Mr. Green" not in out[4]
+    assert not re.search(r"\bLi\b|O'Neil", out[5])
+
+
 def test_surrogates_stay_distinct(spark):
     """More people than names, and more addresses of one form than letters would keep apart by chance."""
     rows = [(i, f"Mr. {chr(65 + i % 26)}{'aeiou'[i // 26 % 5]}xov wrote from {chr(97 + i % 26)}@{chr(97 + i // 26)}.org") for i in range(130)]
