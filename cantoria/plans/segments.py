@@ -305,3 +305,15 @@ def online_speakers(spark, sf_dir):
     """Embeddings as segments of ten streams; held against the same steps without Spark in the tests, and against streams."""
     e = table(spark, sf_dir, "embeddings")
     return online.online_speakers(e.select((F.col("vec_id") % 10).cast("string").alias("stream_id"), F.floor(F.col("vec_id") / 10).alias("place"), F.col("embedding").alias("vector"), F.lit(False).alias("is_last")))
+
+
+@query("""WITH f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, value FROM events), n AS (SELECT user_id, max(i) + 1 AS length FROM f GROUP BY user_id),
+g AS (SELECT user_id, i, coalesce(lead(i) OVER (PARTITION BY user_id ORDER BY i), length - 1) - i - 1 AS gap FROM f JOIN n USING (user_id) WHERE value > 60), e AS (SELECT user_id, max(i) + 3 AS utterance_end FROM g WHERE gap > 4 GROUP BY user_id)
+SELECT user_id, length::INT AS length, utterance_end::INT AS utterance_end FROM n LEFT JOIN e USING (user_id)""")
+def utterance_ends(spark, sf_dir):
+    """Events as frames, those above 60 as tokens, the last frame left out: two frames into the last gap of more than four."""
+    from pyspark.sql import Window
+
+    f = table(spark, sf_dir, "events").select("user_id", "value", (F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1).alias("i"))
+    times = F.array_sort(F.collect_list(F.when(F.col("value") > 60, F.col("i"))))
+    return f.groupBy("user_id").agg(times.alias("times"), F.count("*").cast("int").alias("length")).select("user_id", "length", streams.utterance_end(F.col("times"), F.col("length"), 4, 1).alias("utterance_end"))

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # merging
@@ -92,42 +94,42 @@ def chunk_texts_joined(chunks: list[tuple[int, str, list[tuple[float, float, str
 # endpointing
 
 
-def end_from_timestamps(times: list[int], length: int, stop: int) -> int | None:
-    """Place where an utterance has ended: after trailing silence longer than `stop` frames, else after the last inner gap that is. 0: always, at the end; below 0: never."""
+def end_from_timestamps(times: list[int], length: int, stop: int, residue: int = 0) -> int | None:
+    """Place where an utterance has ended: half of `stop` into the last gap between tokens, or behind them all, of more than `stop` frames. 0: always, at the end; below 0: never. residue: frames at the end that are left out."""
     if stop < 0 or not times:
         return None
     if stop == 0:
         return length
-    if length - times[-1] - 1 > stop:
-        return times[-1] + 1 + stop // 2
-    for a, b in zip(times[-2::-1], times[:0:-1], strict=True):
-        if b - a - 1 > stop:
-            return a + 1 + stop // 2
-    return None
+    gaps = [a + 1 for a, z in pairwise([*times, length - residue]) if z - a - 1 > stop]
+    return gaps[-1] + stop // 2 if gaps else None
+
+
+def utterance_end(times: Column, length: Column, stop: int, residue: int = 0) -> Column:
+    """end_from_timestamps of an array of frames in order."""
+    if stop < 0:
+        return F.lit(None).cast("int")
+    after = F.concat(F.slice(times, 2, F.greatest(F.size(times) - 1, F.lit(0))), F.array((length - residue).cast("int")))
+    gaps = F.filter(F.arrays_zip(times.alias("a"), after.alias("z")), lambda g: g["z"] - g["a"] - 1 > stop)
+    return F.when(F.size(times) > 0, length.cast("int") if stop == 0 else F.try_element_at(gaps, F.lit(-1))["a"] + 1 + stop // 2)
 
 
 def end_from_emissions(emissions: list[bool], pivot: int, start: int, stop: int, starts_word: list[bool] | None = None, residue: int = 0) -> int | None:
-    """Backward from the end: the first silence of more than `stop` frames before a start of word, or at the end; no further back than `stop` frames before the pivot.
+    """Half of `stop` into the last run of more than `stop` silent frames that stands before a start of word, or at the end.
 
+    Frames count from `stop` before the pivot on, not from before the start.
     emissions: whether a frame has a token; starts_word: whether that token
     starts a word (all do, unless told). residue: frames at the end that are
-    left out. The end is half of `stop` after the silence's first frame.
+    left out.
     """
     if not 0 <= pivot < len(emissions) or start > pivot:
         raise ValueError("the pivot must be a frame, not before the start")
     if stop <= 0:
         return None
-    run, silence, word = 0, -1, None
-    for i in range(max(0, len(emissions) - residue - 1), max(0, start, pivot - stop) - 1, -1):
-        if emissions[i]:
-            if silence >= 0:
-                break
-            run, word = 0, i
-        else:
-            run += 1
-            if run > stop and (word is None or starts_word is None or starts_word[word]):
-                silence = i
-    return silence + stop // 2 if run > stop and silence >= 0 else None
+    low, high = max(0, start, pivot - stop), max(0, len(emissions) - residue)
+    edges = np.flatnonzero(np.diff(~np.asarray(emissions[low:high], bool), prepend=False, append=False)) + low
+    runs = edges.reshape(-1, 2).tolist()
+    ended = [a for a, z in runs if z - a > stop and (z == high or starts_word is None or starts_word[z])]
+    return ended[-1] + stop // 2 if ended else None
 
 
 def end_from_segments(segments: list[tuple[float, float]], end: float, start: float, limit: float) -> float | None:
