@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from .plans import corpus, files, flows, registered, segments, similarity, tables, talk, texts
+from .plans import corpus, files, flows, language, registered, segments, similarity, tables, talk, texts
 
 FLAGSHIP = "corpus_profile"
-MODULES = (corpus, segments, talk, similarity, flows, files, texts, tables)
+MODULES = (corpus, segments, talk, similarity, flows, files, texts, tables, language)
 
 
 def queries() -> dict:
