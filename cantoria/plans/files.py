@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
 from ..sources import manifests as M
+from ..sources import ranges
 from ..sources import sinks as K
 from .registered import query, scratch, table
 from .segments import SEGMENTS, segments
@@ -193,7 +195,7 @@ def written_shards(spark, sf_dir):
 
 @query(TAR)
 def tar_rows(spark, sf_dir):
-    paths = sorted(f"file://{r.path}" if r.path.startswith("/") else r.path for r in written_shards(spark, sf_dir).collect())  # five shards
+    paths = sorted(r.path for r in written_shards(spark, sf_dir).collect())  # five shards
     out = M.tar_members(spark, paths)
     return out.select(F.regexp_extract("shard", r"_(\d+)\.tar$", 1).cast("long").alias("shard"), "file", F.md5("data").alias("digest"))
 
@@ -203,7 +205,7 @@ def tarred_manifest_rows(spark, sf_dir):
     """Manifest rows with the bytes of their members, by shard number and name."""
     to = scratch(spark, "tarred")
     K.jsonl(table(spark, sf_dir, "documents").select("doc_id", "lang", (F.col("doc_id") % 5).cast("int").alias("shard_id"), F.concat(F.lit("any/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("audio_filepath")), to)
-    paths = sorted(f"file://{r.path}" if r.path.startswith("/") else r.path for r in written_shards(spark, sf_dir).collect())  # five shards
+    paths = sorted(r.path for r in written_shards(spark, sf_dir).collect())  # five shards
     return M.read(spark, {"type": "tarred_manifest", "manifest_filepath": to, "tarred_audio_filepaths": paths}).select("doc_id", "lang", F.md5("data").alias("digest"))
 
 
@@ -212,7 +214,7 @@ def tar_pair_rows(spark, sf_dir):
     """A JSON file and another one of the same stem, side by side."""
     rows = table(spark, sf_dir, "benchmark").select((F.col("item_id") % 2).alias("shard_id"), F.col("item_id").cast("string").alias("stem"), F.concat(F.lit('{"id":'), F.col("item_id").cast("string"), F.lit("}")).alias("text"))
     members = rows.select("shard_id", F.explode(F.array(F.concat("stem", F.lit(".json")), F.concat("stem", F.lit(".wav")))).alias("member"), F.encode("text", "UTF-8").alias("data"))
-    paths = sorted(f"file://{r.path}" if r.path.startswith("/") else r.path for r in K.save_archives(K.tar_shards(members), scratch(spark, "pairs")).collect())  # two shards
+    paths = sorted(r.path for r in K.save_archives(K.tar_shards(members), scratch(spark, "pairs")).collect())  # two shards
     return M.tar_pairs(M.tar_members(spark, paths)).select("stem", "json", F.md5("data").alias("digest"))
 
 
@@ -298,3 +300,22 @@ def subtitle_events(spark, sf_dir):
     """Words with times as the events of a subtitle file for each session."""
     words = table(spark, sf_dir, "events").select(F.col("user_id").alias("session_id"), (F.col("event_id") % 3000).cast("double").alias("start"), (F.col("event_id") % 3000 + 1).cast("double").alias("end"), F.col("event_type").alias("word")).distinct()
     return K.subtitles(words).select("session_id", F.substring("text", F.lit(len(K.SUBTITLE_HEAD) + 1), F.length("text")).alias("events"))
+
+
+@query("SELECT doc_id, md5(coalesce(text, '')) AS digest FROM documents")
+def rows_by_permutation(spark, sf_dir):
+    """Rows of a JSONL file in the order of a permutation, half of them by one run and the rest by the next: all come, each once."""
+    to = scratch(spark, "random")
+    table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).write.json(to)
+    index = checkpointed(ranges.numbered(ranges.lines(spark, to, values=False), "line"))
+    half = index.count() // 2
+    both = ranges.epoch(index, 7, 0, half).unionByName(ranges.epoch(index, 7, half))
+    row = F.from_json(F.decode("data", "UTF-8"), "doc_id long, text string")
+    return both.select(row.alias("r")).select("r.doc_id", F.md5("r.text").alias("digest"))
+
+
+@query("SELECT doc_id, md5(coalesce(text, '')) AS digest FROM documents WHERE doc_id % 3 = 0")
+def members_by_name(spark, sf_dir):
+    """Every third document's bytes, read from tar files by the places of its member."""
+    index = ranges.members(spark, [r.path for r in written_shards(spark, sf_dir).collect()], values=False).withColumn("doc_id", F.regexp_extract("name", r"^(\d+)", 1).cast("long"))  # five shards
+    return ranges.bytes_at(index.filter("doc_id % 3 = 0").drop("value")).select("doc_id", F.md5("data").alias("digest"))

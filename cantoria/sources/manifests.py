@@ -6,18 +6,16 @@ is a function registered by name; `read(spec)` dispatches on it.
 
 from __future__ import annotations
 
-import io
 import re
-import tarfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.batching import expanded, mixture
 from ..operators.conversations import around_placeholder
 from ..operators.filters import without_skipped
+from . import ranges
 
 SOURCES: dict[str, Callable[..., DataFrame]] = {}
 
@@ -240,18 +238,10 @@ def tabular(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tar_members(spark: SparkSession, paths) -> DataFrame:
-    """(shard, file, place, stem, extension, data) of every member of tar shards; an archive is one task's stream."""
-    blobs = spark.read.format("binaryFile").load(_paths(paths)).select("path", "content")
-
-    def members(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-                    for place, m in enumerate(x for x in tar if x.isfile()):
-                        stem, _, ext = m.name.rpartition(".")
-                        yield pd.DataFrame([(path, m.name, place, stem or m.name, ext if stem else "", tar.extractfile(m).read())], columns=["shard", "file", "place", "stem", "extension", "data"])
-
-    return blobs.mapInPandas(members, "shard string, file string, place int, stem string, extension string, data binary")
+    """(shard, file, place, stem, extension, data) of every member of tar shards; a task walks an archive member by member."""
+    stem = F.regexp_extract("name", r"^(.*)\.[^.]*$", 1)
+    named = ranges.members(spark, _paths(paths))
+    return named.select(F.col("file").alias("shard"), F.col("name").alias("file"), F.col("member").cast("int").alias("place"), F.when(stem != "", stem).otherwise(F.col("name")).alias("stem"), F.when(stem != "", F.regexp_extract("name", r"([^.]*)$", 1)).otherwise("").alias("extension"), F.col("value").alias("data"))
 
 
 def tar_pairs(members: DataFrame) -> DataFrame:
@@ -280,17 +270,8 @@ def tarred(spark: SparkSession, manifest_filepath, tarred_audio_filepaths, **opt
 
 
 def offset_index(spark: SparkSession, paths) -> DataFrame:
-    """(file, line, offset, length) in bytes of every line of text files: what random access needs."""
-    def lines(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                at, rows = 0, []
-                for n, raw in enumerate(content.splitlines(keepends=True)):
-                    rows.append((path, n, at, len(raw)))
-                    at += len(raw)
-                yield pd.DataFrame(rows, columns=["file", "line", "offset", "length"])
-
-    return spark.read.format("binaryFile").load(_paths(paths)).select("path", "content").mapInPandas(lines, "file string, line long, offset long, length long")
+    """(file, line, offset, length) in bytes of every line of text files: what random access needs. Lines end with a line feed and nothing else."""
+    return ranges.lines(spark, _paths(paths), values=False).drop("value")
 
 
 def created_manifest(wav: DataFrame, **others: DataFrame) -> DataFrame:

@@ -97,12 +97,11 @@ def tar_shards(df: DataFrame, shard: str = "shard_id", member: str = "member", d
 
 def save_archives(archives: DataFrame, folder: str, shard: str = "shard_id") -> DataFrame:
     """Writes each archive as shard_<n>.tar to a shared folder; returns (shard, path, n) of those written."""
-    import os
-    import re
-
     import pyarrow.fs as pafs
 
-    files_uri = folder if re.match(r"\w+:/", folder) else f"file://{os.path.abspath(folder)}"
+    from .ranges import resolved
+
+    files_uri = resolved(archives.sparkSession, folder)
     kind = archives.schema[shard].dataType.simpleString()
 
     def save(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,7 +114,7 @@ def save_archives(archives: DataFrame, folder: str, shard: str = "shard_id") ->
                 with files.open_output_stream(f"{name}.part") as out:
                     out.write(content)
                 files.move(f"{name}.part", name)  # whole or not at all, whichever attempt is last
-                rows.append((s, name, n))
+                rows.append((s, f"{files_uri}/shard_{s}.tar", n))
             yield pd.DataFrame(rows, columns=[shard, "path", "n"])
 
     return archives.mapInPandas(save, f"{shard} {kind}, path string, n long")
