@@ -187,7 +187,8 @@ class NearDuplicates:
     """
 
     def __init__(self, docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 40, rows: int = 5):
-        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        text = F.coalesce("text", F.lit(""))
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
         self.k, self.percent, self.bands, self.hashes = k, percent, bands, bands * rows
         share = percent / 100
         self.slack = 5 * (share * (1 - share) / self.hashes) ** 0.5
@@ -201,14 +202,18 @@ class NearDuplicates:
                     sets, bounds = shingle_sets(piece, k)
                     keys = band_keys(signatures(sets, bounds, count), bands)
                     flat = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel()))
-                    yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(node_keys(sets, bounds), pa.binary()), flat], ["doc_id", "n_shingles", "node", "bands"])
+                    yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("tie"), pa.array(np.diff(bounds), pa.int64()), pa.array(node_keys(sets, bounds), pa.binary()), flat], ["doc_id", "tie", "n_shingles", "node", "bands"])
 
-        return self.docs.mapInArrow(describe, "doc_id long, n_shingles long, node binary, bands array<long>")
+        return self.docs.mapInArrow(describe, "doc_id long, tie long, n_shingles long, node binary, bands array<long>")
 
     def _full_sets(self, wanted: DataFrame) -> DataFrame:
-        """wanted (node, doc_id, ...) with each node's set and signature, computed anew from one of its texts."""
+        """wanted (node, doc_id, tie, ...) with each node's set and signature, computed anew from one of its texts.
+
+        A text is known by its id and hash, so rows that share an id don't meet each other's nodes.
+        """
         k, count = self.k, self.hashes
-        texts = self.docs.join(wanted.select("node", F.col("doc_id").alias("wanted_id")), F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("node", "text")
+        named = wanted.select("node", F.col("doc_id").alias("wanted_id"), F.col("tie").alias("wanted_tie"))
+        texts = self.docs.join(named, (F.col("tie") == F.col("wanted_tie")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("node", "text")
 
         def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -242,14 +247,14 @@ class NearDuplicates:
     def components(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept, one row for each document."""
         described = checkpointed(self._described())
-        nodes = checkpointed(described.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")))
+        nodes = checkpointed(described.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tie")))["tie"].alias("own_tie"), F.min("tie").alias("any_tie"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")).withColumn("tie", F.coalesce("own_tie", "any_tie")).drop("own_tie", "any_tie"))
         placed = nodes.select("node", F.explode("bands").alias("band"))
         shared = placed.groupBy("band").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
         near = placed.join(shared, "band").filter("node != lead").select(F.col("node").alias("u"), F.col("lead").alias("v"))
         clusters = connected_components(near).withColumnRenamed("component", "cluster")
         sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         weight = 8 * F.col("n_shingles") + 4 * self.hashes + 128  # of a node's row
-        members = checkpointed(clusters.join(sizes, "cluster").join(nodes.select("node", "doc_id", weight.alias("bytes")), "node"))
+        members = checkpointed(clusters.join(sizes, "cluster").join(nodes.select("node", "doc_id", "tie", weight.alias("bytes")), "node"))
         sets = checkpointed(self._full_sets(members).dropDuplicates(["node"]))
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("string")
         hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks") * (BLOCK // HUBS)) < 1)

@@ -74,8 +74,9 @@ class QualityRules:
             there = np.flatnonzero(raw)
             yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(raw[there]), pa.array(good[there])], ["bin", "raw", "good"])
 
-        # always the same join: it would be a broadcast on small tables only, and grow by leaps
-        marked = self.plain.join(self.trusted.hint("merge"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+        # always the same join: it would be a broadcast on small tables only, and grow by leaps; rows without an id take no part in it
+        named = self.plain.filter("doc_id is not null").join(self.trusted.hint("merge"), "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+        marked = named.unionByName(self.plain.filter("doc_id is null").select("text", F.lit(False).alias("trusted")))
         summed = marked.mapInArrow(count, "bin int, raw long, good long").groupBy("bin").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()  # a row for each bin
         raw, good = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
         at = summed.column("bin").to_numpy()

@@ -338,6 +338,23 @@ def test_near_duplicates(spark, k, percent, bands, rows_):
     assert NearDuplicates(empty(spark), k, percent, bands, rows_).components().count() == 0
 
 
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    """Four hundred texts under a null id and as many under one id, near copies among them: each text meets its own node only."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(100):
+        base = [C.word(rng) for _ in range(60)]
+        for j in range(4):
+            near = list(base)
+            near[j * 7] = C.word(rng)
+            rows += [(None, " ".join(near)), (7, " ".join(near[1:]))]
+    near = NearDuplicates(C.frame(spark, rows), 3, 85, 32, 6)
+    expected = C.components(rows, 3, 85)
+    assert C.by_row((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near.components().collect()) == C.by_row(expected)
+    nodes = near._described().select("node", "doc_id", "tie").dropDuplicates(["node"])
+    assert near._full_sets(nodes).count() == 800  # a row each, not one for each pair under an id
+
+
 @pytest.mark.parametrize("few", [8, 0])
 def test_near_duplicates_in_blocks(spark, monkeypatch, few):
     """Clusters of many blocks give what one block gives, compared whole or by bucket."""
