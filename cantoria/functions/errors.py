@@ -24,9 +24,11 @@ def words(text: Column) -> Column:
 
 
 def sequence_distance(a: Column, b: Column) -> Column:
-    """Edit distance of two arrays of strings, up to 50,000 distinct elements in both."""
+    """Edit distance of two arrays of strings, up to a million distinct elements in both: as many as there are characters to stand for them."""
     both = F.array_distinct(F.concat(a, b))
-    letters = lambda x: F.array_join(F.transform(x, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(both, w).cast("long") + F.when(F.array_position(both, w) > 0xD000, 0x1000).otherwise(0x20)), 4, "0")), "UTF-16BE")), "")
+    # surrogates are no characters
+    point = lambda w: F.array_position(both, w).cast("long") + F.when(F.array_position(both, w) > 0xD000, 0x1000).otherwise(0x20)
+    letters = lambda x: F.array_join(F.transform(x, lambda w: F.decode(F.unhex(F.lpad(F.hex(point(w)), 8, "0")), "UTF-32")), "")
     return F.levenshtein(letters(a), letters(b)).cast("long")
 
 
@@ -43,23 +45,44 @@ def rate(errors: Column, tokens: Column) -> Column:
     return F.when(tokens > 0, errors / tokens).when(errors > 0, F.lit(float("inf"))).otherwise(F.lit(0.0))
 
 
+def _numbered(a: list, b: list) -> tuple[np.ndarray, np.ndarray]:
+    """Both sequences as numbers, equal where the elements are."""
+    of: dict = {}
+    return tuple(np.fromiter((of.setdefault(x, len(of)) for x in s), np.int64, len(s)) for s in (a, b))
+
+
 def aligned(a: list, b: list) -> list[tuple[int | None, int | None]]:
-    """Index pairs of a least-cost alignment; None for what stands on one side only."""
-    n, m = len(a), len(b)
-    cost = np.zeros((n + 1, m + 1), np.int32)
-    cost[0], cost[:, 0] = np.arange(m + 1), np.arange(n + 1)
-    steps = np.arange(m + 1)
+    """Index pairs of a least-cost alignment; None for what stands on one side only.
+
+    Rows of costs are kept at intervals of the square root of their number and
+    the ones between worked out again on the way back, a block at a time.
+    """
+    x, y = _numbered(a, b)
+    n, m = len(x), len(y)
+    steps, every = np.arange(m + 1), max(1, int(n**0.5))
+
+    def following(row: np.ndarray, i: int) -> np.ndarray:
+        full = np.concatenate(([i], np.minimum(row[1:] + 1, row[:-1] + (y != x[i - 1]))))
+        return np.minimum.accumulate(full - steps) + steps
+
+    row = steps
+    kept = {0: row}
     for i in range(1, n + 1):
-        differ = np.fromiter((x != a[i - 1] for x in b), np.int32, m)
-        row = np.minimum(cost[i - 1, 1:] + 1, cost[i - 1, :-1] + differ)
-        full = np.concatenate(([i], row))
-        cost[i] = np.minimum.accumulate(full - steps) + steps
+        row = following(row, i)
+        if i % every == 0:
+            kept[i] = row
     out, i, j = [], n, m
+    cost: dict[int, np.ndarray] = {}
     while i or j:
-        if i and j and cost[i, j] == cost[i - 1, j - 1] + (a[i - 1] != b[j - 1]):
+        if i and i - 1 not in cost:
+            low = (i - 1) // every * every
+            cost = {low: kept[low]}
+            for k in range(low + 1, i + 1):
+                cost[k] = following(cost[k - 1], k)
+        if i and j and cost[i][j] == cost[i - 1][j - 1] + (x[i - 1] != y[j - 1]):
             i, j = i - 1, j - 1
             out.append((i, j))
-        elif i and cost[i, j] == cost[i - 1, j] + 1:
+        elif i and cost[i][j] == cost[i - 1][j] + 1:
             i -= 1
             out.append((i, None))
         else:
@@ -68,6 +91,25 @@ def aligned(a: list, b: list) -> list[tuple[int | None, int | None]]:
     return out[::-1]
 
 
+def common_subsequence(a: list, b: list) -> int:
+    """Length of the longest common subsequence: a bit for each element of a, one addition for each of b."""
+    places: dict = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    whole = (1 << len(a)) - 1
+    row = whole
+    for x in b:
+        met = row & places.get(x, 0)
+        row = (row + met | row - met) & whole
+    return len(a) - row.bit_count()
+
+
+@F.pandas_udf(LongType())
+def subsequence_lengths(a: pd.Series, b: pd.Series) -> pd.Series:
+    """common_subsequence of two arrays; a null one is empty."""
+    return pd.Series([common_subsequence(list(x if x is not None else ()), list(y if y is not None else ())) for x, y in zip(a, b, strict=True)])
+
+
 @F.pandas_udf(StructType([StructField(c, LongType()) for c in ("hits", "insertions", "deletions", "substitutions")]))
 def operations(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
     """Counts of each edit operation over arrays of tokens."""

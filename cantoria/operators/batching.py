@@ -171,14 +171,12 @@ def bucket_batch_sizes(size: int | list[int], buckets: int) -> list[int]:
 
 
 def first_fit(lengths: list[int], capacity: int, descending: bool = False) -> list[list[int]]:
-    """Bins of lengths; each length goes to the first bin with room, found in a tree over the bins' free space."""
+    """Bins of lengths; each length goes to the first bin with room, found in a tree over the bins' free space. One longer than the capacity has a bin of its own."""
     todo = sorted(lengths, reverse=True) if descending else lengths
     size = 1 << max(1, (len(todo) - 1).bit_length() if todo else 1)
     free, bins = [capacity] * (2 * size), []
     for x in todo:
-        if x > capacity:
-            raise ValueError(f"{x} is longer than a pack of {capacity}")
-        at = 1
+        at = size + len(bins) if x > capacity else 1
         while at < size:
             at = 2 * at if free[2 * at] >= x else 2 * at + 1
         if at - size == len(bins):

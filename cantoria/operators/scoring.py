@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from ..functions.errors import char_distance, operations, rate, word_distance, words
+from ..functions.errors import char_distance, operations, rate, subsequence_lengths, word_distance, words
 
 # transcripts
 
@@ -113,6 +113,13 @@ def rouge_n(df: DataFrame, reference: str, hypothesis: str, n: int = 1) -> DataF
     return out.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0))).drop("_a", "_b", "_c")
 
 
+def rouge_l(df: DataFrame, reference: str, hypothesis: str) -> DataFrame:
+    """Adds precision, recall and F1 of the longest common subsequence of words in small letters, and its length `common`."""
+    a, b = words(F.lower(reference)), words(F.lower(hypothesis))
+    out = df.withColumn("common", subsequence_lengths(a, b)).withColumns({"precision": F.coalesce(F.try_divide("common", F.size(b)), F.lit(0.0)), "recall": F.coalesce(F.try_divide("common", F.size(a)), F.lit(0.0))})
+    return out.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
+
+
 def keyword_scores(df: DataFrame, keywords: list[str], reference: str = "text", hypothesis: str = "pred_text") -> DataFrame:
     """Precision, recall and F1 of each keyword or phrase by its counts in reference and hypothesis."""
     words_ = df.sparkSession.createDataFrame([(k,) for k in keywords], "keyword string")

@@ -10,6 +10,8 @@ from ..operators import batching as B
 from ..operators import dedup as D
 from ..operators import filters as X
 from ..operators import labels as L
+from ..operators import packs as P
+from ..operators import sampler as A
 from ..operators import scoring as S
 from ..sources import manifests as M
 from .registered import query, table
@@ -96,3 +98,60 @@ def preference_pairs(spark, sf_dir):
     items = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("key"), F.col("p_size").cast("double").alias("cer"), (F.col("p_retailprice") / 1000).alias("similarity"))
     fronts = B.pareto_fronts(items, "brand", "key").join(items, ["brand", "key"])
     return L.chosen_and_rejected(fronts, "brand", 3)
+
+
+SPEC = {"key": "doc_id", "min_duration": 2.0, "max_duration": 1000.0, "min_tokens": 3, "bucket_duration_bins": [20.0, 60.0, 150.0, 400.0], "slots": 4, "seed": 1}
+
+
+def _measured_documents(spark, sf_dir):
+    words = F.size(F.split(F.trim("text"), " "))
+    return table(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") / 15).alias("duration"), words.alias("n_tokens"))
+
+
+_BATCHED = """WITH d AS (SELECT doc_id, n_chars / 15 AS duration, len(string_split(trim(text, ' '), ' ')) AS n_tokens FROM documents), f AS (SELECT * FROM d WHERE (duration IS NULL OR duration BETWEEN 2 AND 1000) AND (n_tokens IS NULL OR n_tokens >= 3)),
+b AS (SELECT *, CASE WHEN coalesce(duration, 0) <= 20 THEN 0 WHEN duration <= 60 THEN 1 WHEN duration <= 150 THEN 2 WHEN duration <= 400 THEN 3 END AS bucket, md5(doc_id || ':1') AS h FROM f),
+s AS (SELECT doc_id, bucket, h, (('0x' || substr(h, 1, 7))::BIGINT % 4)::INT AS slot FROM b WHERE bucket IS NOT NULL), n AS (SELECT *, (row_number() OVER (PARTITION BY bucket, slot ORDER BY h, doc_id) - 1) // [16, 8, 4, 2][bucket + 1] AS batch FROM s),
+o AS (SELECT bucket, slot, batch, row_number() OVER (ORDER BY md5(bucket || ':' || slot || ':' || batch || ':1')) - 1 AS step FROM (SELECT DISTINCT bucket, slot, batch FROM n))"""
+
+
+@query(_BATCHED + " SELECT doc_id, bucket, slot, batch, step FROM n JOIN o USING (bucket, slot, batch) WHERE step >= 10")
+def bucketed_batches(spark, sf_dir):
+    """Documents in batches of a size for each bucket, in shuffled steps; what a run that took ten steps has left."""
+    return A.sampled(_measured_documents(spark, sf_dir), SPEC | {"bucket_batch_size": [16, 8, 4, 2]}, done=10).select("doc_id", "bucket", "slot", F.col("batch").cast("long").alias("batch"), F.col("step").cast("long").alias("step"))
+
+
+@query(_BATCHED + " SELECT bucket, slot, count(*) AS n, 0 AS over, 0 AS could_have_been_one, 0 AS wrong_steps FROM s GROUP BY bucket, slot")
+def batches_within_budget(spark, sf_dir):
+    """By bucket and slot: rows, batches of several rows beyond the budget, neighbours that would have fitted one batch, and rows that the first ten steps and the rest don't give once."""
+    spec = SPEC | {"batch_duration": 600.0, "quadratic_duration": 300.0}
+    rows = A.sampled(_measured_documents(spark, sf_dir), spec)
+    cost = F.col("duration_") + F.col("duration_") * F.col("duration_") / 300
+    each = rows.groupBy("bucket", "slot", "batch").agg(F.count("*").alias("k"), F.max(cost).alias("longest"), F.min(cost).alias("least"), F.count_distinct("step").alias("steps"))
+    from pyspark.sql import Window
+
+    after = Window.partitionBy("bucket", "slot").orderBy("batch")
+    # the next batch's first row closed this one: even its shortest row is no less than nothing
+    fits = (F.col("k") + F.lead("k").over(after)) * F.greatest("longest", F.lead("longest").over(after)) <= 600
+    checked = each.withColumn("fits", F.coalesce(fits, F.lit(False)))
+    parts = checked.groupBy("bucket", "slot").agg(F.sum("k").alias("n"), F.sum(((F.col("k") > 1) & (F.col("k") * F.col("longest") > 600)).cast("int")).cast("int").alias("over"), F.sum(F.col("fits").cast("int")).cast("int").alias("could_have_been_one"), F.sum((F.col("steps") != 1).cast("int")).alias("split"))
+    resumed = rows.filter("step < 10").select("doc_id").unionByName(A.sampled(_measured_documents(spark, sf_dir), spec, done=10).select("doc_id")).groupBy("doc_id").agg(F.count("*").alias("times"))
+    wrong = rows.select("doc_id", "bucket", "slot").join(resumed, "doc_id", "left").groupBy("bucket", "slot").agg(F.sum((F.coalesce("times", F.lit(0)) != 1).cast("int")).cast("int").alias("wrong"))
+    return parts.join(wrong, ["bucket", "slot"]).select("bucket", "slot", "n", "over", "could_have_been_one", (F.col("wrong") + F.col("split")).cast("int").alias("wrong_steps"))
+
+
+@query("SELECT doc_id, len(w)::INT AS n, md5(array_to_string(list_transform(w, lambda x: length(x)), ' ')) AS ids, CASE WHEN len(w) = 0 THEN 0 ELSE greatest(len(w) - 4, 0) END::INT AS labels FROM (SELECT doc_id, string_split(coalesce(text, ''), ' ') AS w FROM documents)")
+def rows_out_of_packs(spark, sf_dir):
+    """Documents as ids, the lengths of their words, packed, filled and taken apart again: every row with its ids and mask."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.transform(F.split(F.coalesce("text", F.lit("")), " "), F.length).alias("input_ids"))
+    docs = docs.withColumn("loss_mask", P.label_mask(F.col("input_ids"), answer_start=F.lit(5))).withColumn("n", F.size("input_ids"))
+    packs = P.filled(B.packed(docs, "doc_id", "n", 4096), docs, "doc_id")
+    return P.unfilled(packs, "doc_id").select("doc_id", F.size("input_ids").alias("n"), F.md5(F.array_join("input_ids", " ")).alias("ids"), F.size(F.filter("loss_mask", lambda x: x)).alias("labels"))
+
+
+@query("""SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS place, left(text, 20) AS said FROM documents""")
+def outputs_in_old_order(spark, sf_dir):
+    """A run over documents from the longest on, its outputs joined with the documents by their old number."""
+    docs = table(spark, sf_dir, "documents")
+    order = P.presorted(docs, "doc_id", "n_chars")
+    said = order.select("order", F.col("order").alias("place"), F.substring("text", 1, 20).alias("said"))
+    return P.restored(said, order, "doc_id").select("doc_id", "place", "said")

@@ -209,3 +209,11 @@ def with_context_turn(spark, sf_dir):
     df = C.with_context(C.gathered(table(spark, sf_dir, "conversations")).withColumn("context", F.lit("The context.")), "context")
     at = F.array_position(F.transform("turns", lambda t: t["value"]), "The context.")
     return df.select("conv_id", at.cast("int").alias("leading"), F.size("turns").cast("long").alias("n_turns"))
+
+
+@query(f"""WITH c AS (SELECT p_partkey, CASE WHEN pred_text = '' THEN 0 ELSE greatest((a[1] = b[1])::INT + (a[2] = b[2])::INT, (a[1] = b[2])::INT, (a[2] = b[1])::INT) END AS common, len(a) AS n, CASE WHEN pred_text = '' THEN 0 ELSE len(b) END AS m FROM (SELECT *, string_split(lower(text), ' ') AS a, string_split(lower(pred_text), ' ') AS b FROM {PAIRS}))
+SELECT p_partkey, common::BIGINT AS common, round(CASE WHEN m = 0 THEN 0 ELSE common / m END, 6) AS precision, round(common / n, 6) AS recall, round(CASE WHEN common = 0 THEN 0 ELSE 2 * common / (m + n) END, 6) AS f1 FROM c""")
+def rouge_l_scores(spark, sf_dir):
+    """Longest common subsequences of two words each; long ones against brute force in the tests."""
+    out = S.rouge_l(predictions(spark, sf_dir), "text", "pred_text")
+    return out.select("p_partkey", "common", *(F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")))
