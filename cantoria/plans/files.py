@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
+from ..sources import cuts
 from ..sources import manifests as M
 from ..sources import ranges
 from ..sources import sinks as K
@@ -319,3 +320,15 @@ def members_by_name(spark, sf_dir):
     """Every third document's bytes, read from tar files by the places of its member."""
     index = ranges.members(spark, [r.path for r in written_shards(spark, sf_dir).collect()], values=False).withColumn("doc_id", F.regexp_extract("name", r"^(\d+)", 1).cast("long"))  # five shards
     return ranges.bytes_at(index.filter("doc_id % 3 = 0").drop("value")).select("doc_id", F.md5("data").alias("digest"))
+
+
+@query("""SELECT doc_id::VARCHAR AS id, n_chars / 15.0 AS duration, 2::INT AS n_supervisions, text AS said, lang AS language, upper(lang) AS target, md5(coalesce(text, '')) AS digest, doc_id % 4 AS shard FROM documents""")
+def sharded_cuts(spark, sf_dir):
+    """Documents as cuts in four shards, with a field of lines and one of archives beside them, zipped by place."""
+    docs = table(spark, sf_dir, "documents").withColumn("shard", F.col("doc_id") % 4)
+    part = lambda n: F.struct(F.concat_ws("-", "doc_id", F.lit(str(n))).alias("id"), F.lit(None).cast("string").alias("recording_id"), F.lit(float(n)).alias("start"), F.lit(1.0).alias("duration"), F.lit(0).alias("channel"), F.when(F.lit(n == 0), F.col("text")).alias("text"), F.col("lang").alias("language"), F.lit(None).cast("string").alias("speaker"), F.lit(None).cast("map<string,string>").alias("custom"))
+    rows = docs.select("shard", "doc_id", "text", "lang", F.col("doc_id").cast("string").alias("id"), F.lit(0.0).alias("start"), (F.col("n_chars") / 15).alias("duration"), F.lit(0).alias("channel"), F.lit("r").alias("recording_id"), F.array(part(0), part(1)).alias("supervisions"), F.lit(None).cast("map<string,string>").alias("custom"))
+    paths = cuts.write_shards(rows, scratch(spark, "shar"), "shard", "doc_id", {"cuts": cuts.cut_line(rows), "target": F.upper("lang")}, {"recording": (F.concat("id", F.lit(".txt")), F.encode(F.coalesce("text", F.lit("")), "UTF-8"))})
+    back = M.read(spark, {"type": "shar", "fields": {k: sorted(f for f, _ in ranges.files_of(spark, [v])) for k, v in paths.items()}})
+    first = F.col("supervisions")[0]
+    return back.select("id", "duration", F.size("supervisions").alias("n_supervisions"), first["text"].alias("said"), first["language"].alias("language"), "target", F.md5("recording").alias("digest"), "shard")

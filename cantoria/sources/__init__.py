@@ -1 +1,3 @@
 
+
+from . import cuts, manifests  # noqa: F401  each registers its source types
