@@ -75,8 +75,8 @@ NUMERIC_SLOTS = ("distance_phrase", "distance_value", "distance_unit", "exit_no"
 
 
 def slot_skeleton_key(template: Column, slots: Column, entities: tuple[str, ...] = ENTITY_SLOTS, numbers: tuple[str, ...] = NUMERIC_SLOTS) -> Column:
-    """Template and its slots (a map) in order of name: entities canonical, numbers as #, other values as lower_key."""
-    value = lambda p: F.when(p["key"].isin(*entities), _canonical(p["value"], p["key"])).when(p["key"].isin(*numbers), "#").otherwise(collapsed(F.lower(p["value"])))
+    """Template and its slots (a map) in order of name: entities canonical, numbers as #, other values in small letters without blanks around them."""
+    value = lambda p: F.when(p["key"].isin(*entities), _canonical(p["value"], p["key"])).when(p["key"].isin(*numbers), "#").otherwise(F.regexp_replace(F.lower(p["value"]), r"^\s+|\s+$", ""))
     whole = F.from_json(nfc(F.to_json(slots)), "map<string,string>")  # all values at once: a lambda can't call Python
     pairs = F.transform(F.array_sort(F.map_entries(whole)), lambda p: F.concat_ws("=", p["key"], value(p)))
     return F.array_join(F.concat(F.array(template), pairs), "|")

@@ -170,25 +170,27 @@ def clustered(vectors: np.ndarray, most: int = 8, k: int | None = None, max_shar
     return k_means(vecs[:, :count], count, seed=seed)
 
 
-def speaker_clusters(segments: DataFrame, key: str, order: str, column: str, most: int = 8, window: int = 2000) -> DataFrame:
-    """(key, order, cluster) of each recording's embeddings.
+def speaker_clusters(segments: DataFrame, key: str, order: str, column: str, most: int = 8, window: int | None = None) -> DataFrame:
+    """(key, order, cluster) of each recording's embeddings, by the matrix of all its segments.
 
-    A recording longer than `window` segments is clustered piece by piece, and
-    the pieces' cluster centres are clustered once more.
+    With a `window`, which is another method with another result, a recording
+    of more segments is clustered piece by piece, and the pieces' cluster
+    centres are clustered once more: for recordings whose matrix doesn't fit a task.
     """
     kinds = {c: segments.schema[c].dataType.simpleString() for c in (key, order)}
 
     def label(k, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
         x = np.array(pdf[column].tolist(), float)
-        pieces = [clustered(x[i : i + window], most) for i in range(0, len(x), window)]
+        size = window or max(1, len(x))
+        pieces = [clustered(x[i : i + size], most) for i in range(0, len(x), size)]
         if len(pieces) == 1:
             out = pieces[0]
         else:
             centres, owner = [], []
             for n, p in enumerate(pieces):
                 for c in np.unique(p):
-                    centres.append(x[n * window : (n + 1) * window][p == c].mean(0))
+                    centres.append(x[n * size : (n + 1) * size][p == c].mean(0))
                     owner.append((n, c))
             merged = dict(zip(owner, clustered(np.array(centres), most), strict=True))
             out = np.concatenate([[merged[(n, c)] for c in p] for n, p in enumerate(pieces)])

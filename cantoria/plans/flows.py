@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import batching as B
 from ..operators import dedup as D
+from ..operators import entries as N
 from ..operators import filters as X
 from ..operators import labels as L
 from ..operators import packs as P
 from ..operators import sampler as A
 from ..operators import scoring as S
 from ..sources import manifests as M
+from .corpus import HASH, KEY
 from .registered import query, table
 
 
@@ -86,7 +88,7 @@ def reward_sides(spark, sf_dir):
     return L.normal_rewards(table(spark, sf_dir, "events"), "value").select("event_id", (F.col("reward") < 0.5).alias("above"))
 
 
-@query()
+@query(f"""SELECT doc_id, CASE WHEN h < 8000 THEN 'train' WHEN h < 9000 THEN 'val' ELSE 'test' END AS split FROM (SELECT doc_id, {HASH.format(x="doc_id::VARCHAR")} AS h FROM (SELECT min(doc_id) AS doc_id FROM documents GROUP BY {KEY}))""")
 def record_splits(spark, sf_dir):
     kept, _ = records_flow(table(spark, sf_dir, "documents"), "doc_id", "text", "doc_id", "source")
     return kept.select("doc_id", "split")
@@ -155,3 +157,22 @@ def outputs_in_old_order(spark, sf_dir):
     order = P.presorted(docs, "doc_id", "n_chars")
     said = order.select("order", F.col("order").alias("place"), F.substring("text", 1, 20).alias("said"))
     return P.restored(said, order, "doc_id").select("doc_id", "place", "said")
+
+
+@query("""SELECT doc_id, 'a/' || doc_id || '.wav' AS audio_file, n_chars / 15.0 AS duration, CASE doc_id % 4 WHEN 0 THEN 'own context' ELSE ['say it', 'write it', 'what is it'][(('0x' || substr(md5(doc_id || ':3'), 1, 7))::BIGINT % 3) + 1] END AS context,
+coalesce(CASE WHEN doc_id % 5 = 0 THEN lang END, CASE WHEN doc_id % 7 <> 0 THEN text END, 'na') AS answer, lang FROM documents""")
+def context_rows(spark, sf_dir):
+    """Documents as manifest rows, some with a context or an answer of their own, the others with one drawn, their text, or the default."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", F.concat(F.lit("a/"), "doc_id", F.lit(".wav")).alias("audio_filepath"), (F.col("n_chars") / 15).alias("duration"), F.when(F.col("doc_id") % 4 == 0, "own context").alias("context"), F.when(F.col("doc_id") % 5 == 0, F.col("lang")).alias("answer"), F.when(F.col("doc_id") % 7 != 0, F.col("text")).alias("text"), F.lit("why?").alias("question"), "lang")
+    return N.context_rows(rows, "doc_id", ["say it", " ", "write it\n", "what is it"], seed=3).select("doc_id", "audio_file", "duration", "context", "answer", "lang")
+
+
+@query("""WITH f AS (SELECT user_id, event_type, min(ts) AS t FROM events GROUP BY ALL), s AS (SELECT user_id, list(event_type ORDER BY t, event_type) AS speakers FROM f GROUP BY user_id)
+SELECT 'u' || user_id AS uniq_id, array_to_string(speakers, ',') AS speakers, CASE WHEN len(speakers) = 1 THEN 1 ELSE len(speakers) * (len(speakers) - 1) // 2 END::INT AS n_targets, 0.0::DOUBLE AS "offset" FROM s""")
+def sessions_to_diarize(spark, sf_dir):
+    """Users as sessions: their event types as speakers in order of appearance, with all pairs of these."""
+    e = table(spark, sf_dir, "events")
+    sessions = N.session_rows(e.select(F.concat(F.lit("in/u"), "user_id", F.lit(".wav")).alias("audio_filepath"), F.lit(1.0).alias("duration")).distinct())
+    out = N.session_targets(sessions, e.select(F.concat(F.lit("u"), "user_id").alias("uniq_id"), F.col("ts").alias("start"), F.col("event_type").alias("speaker")))
+    return out.select("uniq_id", F.array_join("speakers", ",").alias("speakers"), F.size("targets").alias("n_targets"), "offset")

@@ -149,7 +149,8 @@ def speech_by_hysteresis(spark, sf_dir):
     return I.hysteresis(frames, ["user_id"], 2.0, 0.5, 0.3, 2.0, 2.0)
 
 
-@query()
+@query("""WITH w AS (SELECT user_id, event_type AS word, epoch_us(ts) / 1e6 AS a FROM events), m AS (SELECT *, lag(a + 1) OVER (PARTITION BY user_id ORDER BY a) AS before FROM w), s AS (SELECT *, sum(CASE WHEN a - before > 3600 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY a) AS segment FROM m)
+SELECT user_id::VARCHAR AS stream_id, segment::BIGINT AS segment, min(a) AS start, max(a) + 1 AS "end", string_agg(word, ' ' ORDER BY a) AS text FROM s GROUP BY user_id, segment""")
 def stream_transcripts(spark, sf_dir):
     """Event types as words of a user's stream; a silence of an hour ends a segment. The same fold runs on streams."""
     s = segments(spark, sf_dir)
