@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_left
+from collections import deque
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -104,6 +105,15 @@ def token_length(duration: Column, text_tokens: Column, token_seconds: float) ->
 # batches
 
 
+#: Rows of a slot, about, and the fewest slots, where no number of slots is asked for.
+SLOT_ROWS, FEWEST_SLOTS = 50_000, 16
+
+
+def _slots(df: DataFrame, slots: int | None) -> int:
+    """As many slots as the rows ask for, so that one doesn't grow with the table."""
+    return slots or max(FEWEST_SLOTS, math.ceil(df.count() / SLOT_ROWS))
+
+
 def fixed_size_batches(df: DataFrame, bucket: str, sizes: dict[int, int], order: str, seed: int = 0) -> DataFrame:
     """A batch number for each row: rows of one bucket, shuffled by hash, cut by the bucket's batch size.
 
@@ -116,13 +126,13 @@ def fixed_size_batches(df: DataFrame, bucket: str, sizes: dict[int, int], order:
     return slotted.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size))
 
 
-def budget_batches(df: DataFrame, length: str, budget: float, order: str, quadratic: float | None = None, slots: int = 64) -> DataFrame:
+def budget_batches(df: DataFrame, length: str, budget: float, order: str, quadratic: float | None = None, slots: int | None = None) -> DataFrame:
     """(slot, batch) for each row so that rows times the longest length keep within a budget.
 
     The fold depends on order, so each slot of the hash-dealt rows is folded
     alone, as a stream. quadratic: length beyond which cost grows with its square.
     """
-    dealt = df.withColumn("slot", F.pmod(F.xxhash64(order), F.lit(slots)).cast("int"))
+    dealt = df.withColumn("slot", F.pmod(F.xxhash64(order), F.lit(_slots(df, slots))).cast("int"))
     kinds = {c: t for c, t in dealt.dtypes}
     schema = ", ".join(f"`{c}` {t}" for c, t in kinds.items()) + ", batch long"
 
@@ -189,7 +199,7 @@ def first_fit(lengths: list[int], capacity: int, descending: bool = False) -> li
     return bins
 
 
-def packed(df: DataFrame, key: str, length: str, capacity: int, slots: int = 64, descending: bool = True) -> DataFrame:
+def packed(df: DataFrame, key: str, length: str, capacity: int, slots: int | None = None, descending: bool = True) -> DataFrame:
     """(key, slot, pack, start): first-fit packing of each slot of the hash-dealt rows.
 
     Every row comes back: one longer than capacity has a pack of its own, and
@@ -219,7 +229,7 @@ def packed(df: DataFrame, key: str, length: str, capacity: int, slots: int = 64,
                 free[at] = max(free[2 * at], free[2 * at + 1])
         return pd.DataFrame(rows, columns=[key, "slot", "pack", "start"])
 
-    dealt = df.select(key, F.greatest(F.col(length), F.lit(0)).alias(length), F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("slot"))
+    dealt = df.select(key, F.greatest(F.col(length), F.lit(0)).alias(length), F.pmod(F.xxhash64(key), F.lit(_slots(df, slots))).cast("int").alias("slot"))
     return dealt.groupBy("slot").applyInPandas(fit, f"{key} {kind}, slot int, pack int, start long")
 
 
@@ -372,7 +382,7 @@ def round_robin(sources: list[DataFrame], order: str) -> DataFrame:
     return out
 
 
-def code_switched(df: DataFrame, language: str, key: str, duration: str, least: float, most: float, seed: int = 0, slots: int = 64) -> DataFrame:
+def code_switched(df: DataFrame, language: str, key: str, duration: str, least: float, most: float, seed: int = 0, slots: int | None = None) -> DataFrame:
     """Composite samples of utterances of several languages: (sample, place, key), least to most seconds each.
 
     Each slot of the hash-dealt rows takes its languages in turn; a sample that stays too short is dropped.
@@ -380,13 +390,13 @@ def code_switched(df: DataFrame, language: str, key: str, duration: str, least:
     kind = df.schema[key].dataType.simpleString()
 
     def compose(k, pdf: pd.DataFrame) -> pd.DataFrame:
-        queues = {g: list(zip(q[key], q[duration], strict=True)) for g, q in pdf.sort_values(["h", key]).groupby(language)}
+        queues = {g: deque(zip(q[key], q[duration], strict=True)) for g, q in pdf.sort_values(["h", key]).groupby(language)}
         rows, sample, now, total = [], 0, [], 0.0
         while any(queues.values()):
             for g in sorted(queues):
                 if not queues[g]:
                     continue
-                ident, d = queues[g].pop(0)
+                ident, d = queues[g].popleft()
                 if total + d > most:
                     if total >= least:
                         rows += [(f"{k[0]}-{sample}", i, x) for i, x in enumerate(now)]
@@ -399,7 +409,7 @@ def code_switched(df: DataFrame, language: str, key: str, duration: str, least:
             rows += [(f"{k[0]}-{sample}", i, x) for i, x in enumerate(now)]
         return pd.DataFrame(rows, columns=["sample", "place", key])
 
-    dealt = df.select(key, language, duration, F.xxhash64(F.col(key), F.lit(seed)).alias("h")).withColumn("slot", F.pmod("h", F.lit(slots)))
+    dealt = df.select(key, language, duration, F.xxhash64(F.col(key), F.lit(seed)).alias("h")).withColumn("slot", F.pmod("h", F.lit(_slots(df, slots))))
     return dealt.groupBy("slot").applyInPandas(compose, f"sample string, place int, {key} {kind}")
 
 
