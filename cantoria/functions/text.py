@@ -232,19 +232,23 @@ def graphemes_normalized(text: Column) -> Column:
 
 # number words
 
+MOST_IN_WORDS = 10**12 - 1
+#: What three digits count, the highest first.
+SCALES = [(10**9, " billion"), (10**6, " million"), (1000, " thousand"), (1, "")]
 
-def cardinal_words(n: Column) -> Column:
-    """0 to 999999 in words; null beyond."""
+
+def cardinal_words(n: Column, most: int = 999_999) -> Column:
+    """0 to `most`, less than a trillion, in words; null beyond."""
     below_hundred = lambda x: F.when(x < 10, F.element_at(F.array(*map(F.lit, DIGITS)), x + 1)).when(x < 20, F.element_at(F.array(*map(F.lit, TEENS)), x - 9)).otherwise(F.concat_ws(" ", F.element_at(F.array(*map(F.lit, TENS)), F.floor(x / 10).cast("int") + 1), F.when(x % 10 > 0, F.element_at(F.array(*map(F.lit, DIGITS)), x % 10 + 1))))
 
     def below_thousand(x: Column) -> Column:
         rest = F.when((x % 100 > 0) | (x < 100), below_hundred(x % 100))
         return F.concat_ws(" ", F.when(x >= 100, F.concat(F.element_at(F.array(*map(F.lit, DIGITS)), F.floor(x / 100).cast("int") + 1), F.lit(" hundred"))), rest)
 
-    x = n.cast("int")
-    high, low = F.floor(x / 1000).cast("int"), x % 1000
-    text = F.concat_ws(" ", F.when(high > 0, F.concat(below_thousand(high), F.lit(" thousand"))), F.when((low > 0) | (high == 0), below_thousand(low)))
-    return F.when((n >= 0) & (n <= 999999), text)
+    # three digits at a time, the highest first; what stands alone may be zero
+    thousands = F.transform(F.array(*(F.struct(F.floor(n.cast("long") / unit).alias("above"), F.lit(name).alias("name")) for unit, name in SCALES)), lambda s: F.struct((s["above"] % 1000).cast("int").alias("x"), s["above"].alias("above"), s["name"].alias("name")))
+    said = F.transform(F.filter(thousands, lambda s: (s["x"] > 0) | ((s["name"] == "") & (s["above"] == 0))), lambda s: F.concat(below_thousand(s["x"]), s["name"]))
+    return F.when((n >= 0) & (n <= most), F.array_join(said, " "))
 
 
 def ordinal_words(n: Column) -> Column:

@@ -10,6 +10,7 @@ from ..functions import written as W
 from ..operators import batching as B
 from ..operators import language_models as L
 from ..operators import splits as P
+from ..session import spread
 from .corpus import HASH
 from .registered import query, table
 
@@ -61,8 +62,8 @@ def held_out_perplexity(spark, sf_dir):
 def numbers_written(spark, sf_dir):
     """What cardinal_words says, written again: a part's number, price and size; kept: words that stay, each from its own place."""
     cents = F.round(F.col("p_retailprice") * 100).cast("long")
-    spoken = F.concat_ws(" ", F.lit("part"), T.cardinal_words(F.col("p_partkey")), F.lit("costs"), T.cardinal_words(F.floor("p_retailprice")), F.lit("dollars and"), T.cardinal_words(cents % 100), F.lit("cents or"), T.cardinal_words(F.col("p_size")), F.lit("percent more"))
-    said = table(spark, sf_dir, "part").select("p_partkey", F.split(spoken, " ").alias("said"))
+    spoken = F.concat_ws(" ", F.lit("part"), T.cardinal_words(F.col("p_partkey"), T.MOST_IN_WORDS), F.lit("costs"), T.cardinal_words(F.floor("p_retailprice"), T.MOST_IN_WORDS), F.lit("dollars and"), T.cardinal_words(cents % 100), F.lit("cents or"), T.cardinal_words(F.col("p_size")), F.lit("percent more"))
+    said = spread(table(spark, sf_dir, "part"), "p_partkey").select("p_partkey", F.split(spoken, " ").alias("said"))
     done = said.withColumn("a", W.as_written(F.col("said"), least=0))
     kept = F.filter("a", lambda x: (x["kind"] == "word") & (x["first"] == x["last"]) & (F.get("said", x["first"]) == x["word"]))
     return done.select("p_partkey", F.array_join(F.transform("a", lambda x: x["word"]), " ").alias("written"), F.transform("a", lambda x: x["kind"]).alias("kinds"), F.size(kept).cast("long").alias("kept"))

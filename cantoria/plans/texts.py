@@ -101,7 +101,7 @@ CASE WHEN s < 20 THEN d[s + 1] WHEN s % 10 = 0 THEN left(t[s // 10 + 1], -1) ||
 SELECT k AS p_partkey, CASE WHEN k = 0 THEN 'zero' ELSE concat_ws(' ', high || ' thousand', mid, low) END AS cardinal, ordinal FROM h""")
 def number_words(spark, sf_dir):
     """Keys of parts in words and sizes as ordinals."""
-    return table(spark, sf_dir, "part").select("p_partkey", T.cardinal_words(F.col("p_partkey")).alias("cardinal"), T.ordinal_words(F.col("p_size")).alias("ordinal"))
+    return table(spark, sf_dir, "part").select("p_partkey", T.cardinal_words(F.col("p_partkey"), T.MOST_IN_WORDS).alias("cardinal"), T.ordinal_words(F.col("p_size")).alias("ordinal"))
 
 
 @query("SELECT page_id, regexp_replace(regexp_extract(url, '([^/]*)$', 1), '\\.[^.]*$', '') AS stem FROM pages")

@@ -66,3 +66,9 @@ def checkpointed(df, eager: bool = True):
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager)
+
+
+def spread(df, *columns):
+    """Dealt by the columns over as many tasks as the session shuffles to, four a core at least: for rows that are small and work that isn't, which adaptive execution would put into a few tasks."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism), *columns)

@@ -72,3 +72,21 @@ def test_times_go_over(spark):
     rows = {r.id: r.t for r in out.collect()}
     assert [tuple(x) for x in rows[1]] == [("cost", "word", 0.0, 0.2), ("$25", "money", 0.3, 1.2), ("today", "word", 1.3, 1.6)]
     assert rows[2] == [] and rows[3] is None
+
+
+def test_numbers_beyond_a_million_there_and_back(spark):
+    numbers = [0, 99_999, 100_001, 999_999, 1_000_000, 1_000_017, 1_200_003, 20_000_000, 999_999_999, 10**9, 3_000_000_004, T.MOST_IN_WORDS]
+    rows = spark.createDataFrame([(n,) for n in [*numbers, T.MOST_IN_WORDS + 1]], "n long").select("n", T.cardinal_words(F.col("n"), T.MOST_IN_WORDS).alias("w")).collect()
+    said = {r.n: r.w for r in rows}
+    assert said.pop(T.MOST_IN_WORDS + 1) is None
+    assert said[100_001] == "one hundred thousand one" and said[1_000_017] == "one million seventeen" and said[0] == "zero"
+    assert {n: plain(w, 0) for n, w in said.items()} == {n: str(n) for n in numbers}
+
+
+def test_number_queries_beyond_a_million(spark, tmp_path):
+    from cantoria.plans import language, texts
+
+    part = spark.createDataFrame([(n, "a", "b", "c", 7, 905.05) for n in (19_999, 100_001, 1_200_003)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    assert {r.p_partkey: r.written for r in language.numbers_written(spark, str(tmp_path)).collect()} == {n: f"part {n} costs $905.05 or 7% more" for n in (19_999, 100_001, 1_200_003)}
+    assert {r.p_partkey: r.cardinal for r in texts.number_words(spark, str(tmp_path)).collect()} == {19_999: "nineteen thousand nine hundred ninety nine", 100_001: "one hundred thousand one", 1_200_003: "one million two hundred thousand three"}
