@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..functions.errors import char_distance, operations, rate, subsequence_lengths, word_distance, words
+from ..session import spread
 
 # transcripts
 
@@ -257,7 +258,7 @@ def diarization(reference: DataFrame, system: DataFrame, key: str = "file", coll
         found = diarization_errors(pdf[pdf["side"] == 0], pdf[pdf["side"] == 1], collar, skip_overlap, list(zip(zones["start"], zones["end"], strict=True)) or None)
         return pd.DataFrame([(k[0], *found, sum(found[:3]) / found[3] if found[3] else float("nan"))], columns=[key, "missed", "false_alarm", "confusion", "scored", "der"])
 
-    return tagged.groupBy(key).applyInPandas(score, f"{key} {kind}, missed double, false_alarm double, confusion double, scored double, der double")
+    return spread(tagged, key).groupBy(key).applyInPandas(score, f"{key} {kind}, missed double, false_alarm double, confusion double, scored double, der double")
 
 
 def evaluated(reference: DataFrame, system: DataFrame, key: str = "file") -> DataFrame:

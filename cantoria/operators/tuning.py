@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: What a point of the grid may set, and what holds where it doesn't.
 DEFAULTS = {"onset": 0.5, "offset": 0.5, "pad_onset": 0.0, "pad_offset": 0.0, "min_duration_on": 0.0, "min_duration_off": 0.0, "filter_speech_first": True}
 FIGURES = ("scored", "false_alarm", "missed")
@@ -134,7 +136,7 @@ def detection_grid(frames: DataFrame, reference: DataFrame, key: str, frame: flo
         found = [detection_errors(prepared.segments(frame, **point), known) for point in grid]
         return pd.DataFrame([(i, *f) for i, f in enumerate(found)], columns=["point", *FIGURES])
 
-    each = tagged.groupBy(key).applyInPandas(score, "point int, scored double, false_alarm double, missed double")
+    each = spread(tagged, key).groupBy(key).applyInPandas(score, "point int, scored double, false_alarm double, missed double")
     sums = each.groupBy("point").agg(*(F.sum(c).alias(c) for c in FIGURES))
     points = frames.sparkSession.createDataFrame([(i, *(float(v) if not isinstance(v, bool) else v for v in p.values())) for i, p in enumerate(grid)], "point int, " + ", ".join(f"{n} {'boolean' if isinstance(v, bool) else 'double'}" for n, v in DEFAULTS.items()))
     rate = lambda c: F.coalesce(F.try_divide(c, F.col("scored")), F.lit(float("nan")))

@@ -9,6 +9,7 @@ from ..functions import errors as E
 from ..operators import conversations as C
 from ..operators import joins as J
 from ..operators import scoring as S
+from ..session import spread
 from .registered import query, table
 
 
@@ -122,7 +123,7 @@ def punctuation_errors(spark, sf_dir):
 def session_error_rates(spark, sf_dir):
     """cpWER of each conversation: its roles' transcripts against the same without every turn's first word."""
     said = table(spark, sf_dir, "conversations").groupBy("conv_id", "role").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), " ").alias("t"))
-    sides = said.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("reference"), F.sort_array(F.collect_list(F.regexp_replace("t", r"^\S+\s*", "")), asc=False).alias("hypothesis"))
+    sides = spread(said, "conv_id").groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("reference"), F.sort_array(F.collect_list(F.regexp_replace("t", r"^\S+\s*", "")), asc=False).alias("hypothesis"))
     return sides.select("conv_id", S.session_errors("reference", "hypothesis").alias("x")).select("conv_id", "x.*")
 
 
