@@ -166,7 +166,7 @@ def seglst_rows(spark, sf_dir):
     r = rttm_rows_of(spark, sf_dir)
     words = F.concat(F.lit("w"), (F.col("end") - F.col("start")).cast("long").cast("string"))
     K.seglst(r.select(F.col("file").alias("session_id"), "speaker", words.alias("words"), F.col("start").alias("start_time"), F.col("end").alias("end_time")), to)
-    return M.seglst(spark, to).select(F.col("session_id").cast("string").alias("session_id"), "speaker", "words", "start_time", "end_time", "duration")
+    return M.seglst(spark, to, lines=True).select("session_id", "speaker", "words", "start_time", "end_time", "duration")
 
 
 @query(f"SELECT file || ' 1 ' || s || '.00 ' || d || '.00 ' || speaker || ' NA lex NA' AS line FROM {RTTM}")
@@ -182,21 +182,21 @@ def transcript_lines(spark, sf_dir):
     to = scratch(spark, "transcripts")
     r = rttm_rows_of(spark, sf_dir).select(F.col("file").alias("session_id"), "speaker", "start", F.concat_ws(" ", "speaker", (F.col("end") - F.col("start")).cast("long").cast("string")).alias("text"))
     K.transcripts(r, to)
-    return spark.read.text(to).select(F.col("session_id").cast("string").alias("session_id"), F.col("value").alias("line"))
+    return M.transcripts(spark, to)
 
 
 TAR = "SELECT CAST(doc_id % 5 AS BIGINT) AS shard, doc_id || '.txt' AS file, md5(coalesce(text, '')) AS digest FROM documents"
 
 
 def written_shards(spark, sf_dir):
-    """Documents in five tar files: (shard, path)."""
+    """Documents in tar files of five shards: (shard, path)."""
     docs = table(spark, sf_dir, "documents").select((F.col("doc_id") % 5).alias("shard_id"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("member"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
-    return K.save_archives(K.tar_shards(docs), scratch(spark, "tar"))
+    return K.write_archives(docs, scratch(spark, "tar"))
 
 
 @query(TAR)
 def tar_rows(spark, sf_dir):
-    paths = sorted(r.path for r in written_shards(spark, sf_dir).collect())  # five shards
+    paths = sorted(r.path for r in written_shards(spark, sf_dir).collect())  # a row for each file of 64 MB
     out = M.tar_members(spark, paths)
     return out.select(F.regexp_extract("shard", r"_(\d+)\.tar$", 1).cast("long").alias("shard"), "file", F.md5("data").alias("digest"))
 
@@ -206,7 +206,7 @@ def tarred_manifest_rows(spark, sf_dir):
     """Manifest rows with the bytes of their members, by shard number and name."""
     to = scratch(spark, "tarred")
     K.jsonl(table(spark, sf_dir, "documents").select("doc_id", "lang", (F.col("doc_id") % 5).cast("int").alias("shard_id"), F.concat(F.lit("any/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("audio_filepath")), to)
-    paths = sorted(r.path for r in written_shards(spark, sf_dir).collect())  # five shards
+    paths = sorted(r.path for r in written_shards(spark, sf_dir).collect())  # a row for each file of 64 MB
     return M.read(spark, {"type": "tarred_manifest", "manifest_filepath": to, "tarred_audio_filepaths": paths}).select("doc_id", "lang", F.md5("data").alias("digest"))
 
 
@@ -215,7 +215,7 @@ def tar_pair_rows(spark, sf_dir):
     """A JSON file and another one of the same stem, side by side."""
     rows = table(spark, sf_dir, "benchmark").select((F.col("item_id") % 2).alias("shard_id"), F.col("item_id").cast("string").alias("stem"), F.concat(F.lit('{"id":'), F.col("item_id").cast("string"), F.lit("}")).alias("text"))
     members = rows.select("shard_id", F.explode(F.array(F.concat("stem", F.lit(".json")), F.concat("stem", F.lit(".wav")))).alias("member"), F.encode("text", "UTF-8").alias("data"))
-    paths = sorted(r.path for r in K.save_archives(K.tar_shards(members), scratch(spark, "pairs")).collect())  # two shards
+    paths = sorted(r.path for r in K.write_archives(members, scratch(spark, "pairs")).collect())  # a row for each file
     return M.tar_pairs(M.tar_members(spark, paths)).select("stem", "json", F.md5("data").alias("digest"))
 
 
@@ -232,11 +232,12 @@ def member_names(spark, sf_dir):
 @query("""SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS line, CAST(coalesce(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset", CAST(n AS BIGINT) AS length
 FROM (SELECT doc_id, 1 + octet_length(encode(replace(replace(coalesce(text, ''), chr(10), ' '), chr(13), ' '))) AS n FROM documents)""")
 def line_offsets(spark, sf_dir):
-    """Where each line of a file starts, for random access."""
+    """Where each line of a corpus starts, for random access: files in order, numbered as one."""
     to = scratch(spark, "offsets")
     flat = F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ")
-    table(spark, sf_dir, "documents").orderBy("doc_id").coalesce(1).select(flat.alias("value")).write.text(to)
-    return M.offset_index(spark, f"{to}/part-*").select("line", "offset", "length")
+    table(spark, sf_dir, "documents").orderBy("doc_id").select(flat.alias("value")).write.text(to)
+    index = M.offset_index(spark, f"{to}/part-*")
+    return ranges.as_one(index, ranges.files_of(spark, [f"{to}/part-*"])).select("line", "offset", "length")
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS c_mktsegment FROM customer")
@@ -318,7 +319,7 @@ def rows_by_permutation(spark, sf_dir):
 @query("SELECT doc_id, md5(coalesce(text, '')) AS digest FROM documents WHERE doc_id % 3 = 0")
 def members_by_name(spark, sf_dir):
     """Every third document's bytes, read from tar files by the places of its member."""
-    index = ranges.members(spark, [r.path for r in written_shards(spark, sf_dir).collect()], values=False).withColumn("doc_id", F.regexp_extract("name", r"^(\d+)", 1).cast("long"))  # five shards
+    index = ranges.members(spark, [r.path for r in written_shards(spark, sf_dir).collect()], values=False).withColumn("doc_id", F.regexp_extract("name", r"^(\d+)", 1).cast("long"))  # a row for each file of 64 MB
     return ranges.bytes_at(index.filter("doc_id % 3 = 0").drop("value")).select("doc_id", F.md5("data").alias("digest"))
 
 

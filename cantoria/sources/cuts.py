@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import ranges
 from .manifests import _paths, source
-from .sinks import save_archives, tar_shards
+from .sinks import write_archives
 
 SUPERVISIONS = "array<struct<id:string,recording_id:string,start:double,duration:double,channel:int,text:string,language:string,speaker:string,custom:map<string,string>>>"
 CUT = f"id string, start double, duration double, channel int, recording_id string, supervisions {SUPERVISIONS}, custom map<string,string>"
@@ -54,18 +54,18 @@ def _shard(path: Column) -> Column:
 
 
 def write_shards(df: DataFrame, folder: str, shard: str, order: str, lines: dict[str, Column], archives: dict[str, tuple[Column, Column]] | None = None) -> dict[str, str]:
-    """Writes each field of `lines` (name -> line of text) and of `archives` (name -> member name, bytes) as a file for each shard, all in the same order; returns name -> paths.
+    """Writes each field of `lines` (name -> line of text) and of `archives` (name -> member name, bytes) as files of each shard, which in order of path have its rows in the same order; returns name -> paths.
 
-    A shard's lines pass one task. Line feeds in a line would break it: JSON has none.
+    A task has a range of shards and places, so no shard passes one task. Line feeds in a line would break it: JSON has none.
     """
     out = {}
     for name, line in lines.items():
         to = f"{folder}/{name}"
-        df.select(F.col(shard).alias("shard"), F.col(order).alias("_order"), line.alias("value")).repartition("shard").sortWithinPartitions("shard", "_order").select("shard", "value").write.partitionBy("shard").text(to)
+        df.select(F.col(shard).alias("shard"), F.col(order).alias("_order"), line.alias("value")).repartitionByRange("shard", "_order").sortWithinPartitions("shard", "_order").select("shard", "value").write.partitionBy("shard").text(to)
         out[name] = f"{to}/shard=*/part-*"
     for name, (member, data) in (archives or {}).items():
-        made = tar_shards(df.select(F.col(shard).alias("shard_id"), F.col(order).alias("_order"), member.alias("member"), data.alias("data")), order="_order")
-        save_archives(made, f"{folder}/{name}").count()
+        rows = df.select(F.col(shard).alias("shard_id"), F.col(order).alias("_order"), member.alias("member"), data.alias("data"))
+        write_archives(rows, f"{folder}/{name}", order="_order").count()
         out[name] = f"{folder}/{name}/*.tar"
     return out
 
@@ -74,7 +74,7 @@ def write_shards(df: DataFrame, folder: str, shard: str, order: str, lines: dict
 def shar(spark: SparkSession, fields: dict, **_) -> DataFrame:
     """Cuts (the field `cuts`) with a column for each further field: a line's text, or the name and bytes of an archive's member.
 
-    Of archives whose cuts have two members, data and then JSON, the JSON is a column of its own (`<field>_json`).
+    A shard may have several files of a field, in order of path. Of archives whose cuts have two members, data and then JSON, the JSON is a column of its own (`<field>_json`).
     Every shard must have as many values of each field as it has cuts; the
     error names field and shard.
     """
@@ -84,14 +84,14 @@ def shar(spark: SparkSession, fields: dict, **_) -> DataFrame:
     for name, paths in fields.items():
         listed = _paths(paths)
         if all(p.endswith(".tar") for p in listed):
-            m = ranges.members(spark, listed)
+            m = ranges.within_shards(ranges.members(spark, listed), ranges.members(spark, listed, values=False), _shard(F.col("file")), "member")
             stem = F.regexp_extract("name", r"^(.*?)(?:\.[^.]*)?$", 1)
             numbered = m.select(_shard(F.col("file")).alias("shard"), "member", stem.alias("stem"), "name", "value")
             pairs = numbered.groupBy("shard", "stem").agg(F.min("member").alias("first"), F.min_by(F.struct("name", "value"), "member").alias("data"), F.max(F.when(F.col("name").endswith(".json"), F.decode("value", "UTF-8"))).alias("json"), F.count("*").alias("n"))
             # a cut's members follow each other, so its place is what its first one's comes to
             placed = pairs.select("shard", F.floor(F.col("first") / F.col("n")).alias("place"), F.col("data.value").alias(name), F.col("data.name").alias(f"{name}_name"), F.when(F.col("n") > 1, F.col("json")).alias(f"{name}_json"))
         else:
-            placed = ranges.lines(spark, listed).select(_shard(F.col("file")).alias("shard"), F.col("line").alias("place"), F.decode("value", "UTF-8").alias(name))
+            placed = ranges.within_shards(ranges.lines(spark, listed), ranges.places(spark, listed), _shard(F.col("file")), "line").select(_shard(F.col("file")).alias("shard"), F.col("line").alias("place"), F.decode("value", "UTF-8").alias(name))
         parts[name] = placed
     counts = None
     for name, placed in parts.items():

@@ -189,6 +189,11 @@ def rttm(spark: SparkSession, paths) -> DataFrame:
     return df.select(F.col("p")[1].alias("file"), F.col("p")[2].alias("channel"), F.col("p")[3].cast("double").alias("start"), F.col("p")[4].cast("double").alias("duration"), F.round(F.col("p")[3].cast("double") + F.col("p")[4].cast("double"), 3).alias("end"), F.col("p")[7].alias("speaker"))
 
 
+def transcripts(spark: SparkSession, paths) -> DataFrame:
+    """(session_id, line) of what `sinks.transcripts` wrote."""
+    return spark.read.options(sep="\t", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).schema("session_id string, line string").csv(_paths(paths))
+
+
 def rttm_line(line: Column, digits: int = 3) -> Column:
     """One RTTM line as `start end speaker`."""
     p = F.split(F.trim(line), r"\s+")
@@ -205,9 +210,9 @@ def uem_of(segments: DataFrame) -> DataFrame:
     return segments.groupBy("file", "channel").agg(F.min("start").alias("start"), F.max("end").alias("end"))
 
 
-def seglst(spark: SparkSession, paths, digits: int = 3) -> DataFrame:
-    """JSON arrays of session_id, speaker, words, start_time, end_time; duration follows."""
-    df = spark.read.option("multiLine", True).schema("session_id string, speaker string, words string, start_time double, end_time double").json(_paths(paths))
+def seglst(spark: SparkSession, paths, digits: int = 3, lines: bool = False) -> DataFrame:
+    """JSON arrays of session_id, speaker, words, start_time, end_time, one a file or, as `sinks.seglst` writes them, one a line; duration follows."""
+    df = spark.read.option("multiLine", not lines).schema("session_id string, speaker string, words string, start_time double, end_time double").json(_paths(paths))
     return df.withColumns({c: F.round(c, digits) for c in ("start_time", "end_time")}).withColumn("duration", F.round(F.col("end_time") - F.col("start_time"), digits))
 
 

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -165,6 +165,11 @@ def lines(spark: SparkSession, paths, values: bool = True, range_bytes: int = RA
     return each.join(before, ["file", "range"]).select("file", (F.col("before") + F.col("at")).alias("line"), "offset", "length", "value")
 
 
+def places(spark: SparkSession, paths, range_bytes: int = RANGE) -> DataFrame:
+    """Lines of files, by range, without their values: for counting."""
+    return _read(spark, paths, "lines", False, range_bytes).select("file", "range", "at")
+
+
 def members(spark: SparkSession, paths, values: bool = True) -> DataFrame:
     """(file, member, name, offset, length, value) of the files in tar archives, one archive a task; without values only headers are read."""
     return _read(spark, paths, "members", values, RANGE).select("file", F.col("at").alias("member"), "name", "offset", "length", "value")
@@ -177,6 +182,21 @@ def numbered(index: DataFrame, within: str) -> DataFrame:
     return index.join(before, "file").withColumn("row", F.col("before") + F.col(within)).drop("before")
 
 
+def within_shards(index: DataFrame, counts: DataFrame, shard: Column, place: str) -> DataFrame:
+    """The index with `place` numbered over all files of a shard in order of path; counts: the same files' index, of which only rows are counted."""
+    n = counts.groupBy("file").agg(F.count("*").alias("n")).select("file", shard.alias("_shard"), "n")
+    before = n.select("file", F.coalesce(F.sum("n").over(Window.partitionBy("_shard").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row for each file
+    return index.join(before, "file").withColumn(place, F.col("before") + F.col(place)).drop("before")
+
+
+def as_one(index: DataFrame, files: list[tuple[str, int]]) -> DataFrame:
+    """Lines of `files_of` files with number and offset as if the files, in order of path, were one; each must end with a line feed."""
+    begins = np.cumsum([0, *(n for _, n in files)]).tolist()
+    at = index.sparkSession.createDataFrame([(f, b) for (f, _), b in zip(files, begins, strict=False)], "file string, _begin long")  # a row for each file
+    one = numbered(index, "line").join(at, "file")
+    return one.withColumns({"line": F.col("row"), "offset": F.col("_begin") + F.col("offset")}).drop("row", "_begin")
+
+
 def spans(places: list[tuple[int, int]], gap: int = GAP) -> list[tuple[int, int, list[int]]]:
     """Places (offset, length) in any order -> reads (begin, end, which places), neighbours together."""
     out: list[list] = []
