@@ -10,6 +10,7 @@ import re
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
@@ -21,6 +22,9 @@ TENS = ("", "", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eight
 ORDINALS = {"one": "first", "two": "second", "three": "third", "five": "fifth", "eight": "eighth", "nine": "ninth", "twelve": "twelfth"}
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
+#: Texts that are Python objects at a time.
+SLICE = 64
+
 
 def _class_of(chars: str) -> str:
     return "[" + "".join("\\" + c for c in chars) + "]"
@@ -201,16 +205,21 @@ def is_backchannel(text: Column, phrases: list[str]) -> Column:
     return only_letters(text).isin(*phrases)
 
 
-@F.pandas_udf(StringType())
-def ascii_folded(text: pd.Series) -> pd.Series:
+def _sliced(text: pa.Array, out) -> pa.Array:
+    """The rows some at a time, so that a task holds little besides the batch itself."""
+    return pa.concat_arrays([pa.array([None if t is None else out(t) for t in text.slice(a, SLICE).to_pylist()], pa.string()) for a in range(0, max(len(text), 1), SLICE)])
+
+
+@F.arrow_udf(StringType())
+def ascii_folded(text: pa.Array) -> pa.Array:
     """NFKD without what isn't ASCII."""
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
+    return _sliced(text, lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 
 
-@F.pandas_udf(StringType())
-def composed(text: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def composed(text: pa.Array) -> pa.Array:
     """NFC, with the typographic apostrophe as a plain one."""
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t).replace("’", "'"))
+    return _sliced(text, lambda t: unicodedata.normalize("NFC", t).replace("’", "'"))
 
 
 @F.pandas_udf(BooleanType())

@@ -4,7 +4,9 @@ import tracemalloc
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
+from cantoria.functions import text as T
 from cantoria.operators import vectors as V
 
 
@@ -32,3 +34,12 @@ def test_equal_neighbours_come_by_key(spark):
     df = spark.createDataFrame([(i, [1.0, float(i % 3)]) for i in range(300)], "id long, v array<double>").repartition(3)
     found = V.neighbours(df.filter("id = 0"), df, "id", "v", 4).orderBy("place").collect()
     assert [r.id for r in found] == [3, 6, 9, 12]
+
+
+def test_folded_texts_hold_little_besides_the_batch():
+    text = pa.array(["é" * 2_000] * 10_000)
+    tracemalloc.start()
+    out = T.ascii_folded.func(text)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 5e6 and len(out) == 10_000 and out[0].as_py() == "e" * 2_000 and T.ascii_folded.func(pa.array([None, ""])).to_pylist() == [None, ""]
