@@ -14,6 +14,7 @@ from ..operators import labels as L
 from ..operators import packs as P
 from ..operators import sampler as A
 from ..operators import scoring as S
+from ..session import checkpointed
 from ..sources import manifests as M
 from .corpus import HASH, KEY
 from .registered import query, table
@@ -40,17 +41,25 @@ def report(predictions: DataFrame, by: str, slots: list | None = None, clean: bo
 
 
 def records_flow(records: DataFrame, order: str, text: str, entity: str, template: str) -> tuple[DataFrame, dict]:
-    """Generated records -> deduplicated rows with splits, and the gate's verdict."""
+    """Generated records -> deduplicated rows with splits, and the gate's verdict.
+
+    Texts are read twice at most, whatever the verdict asks: once for what it
+    needs of each row (SHA-256 of its text and keys, its entity, template and
+    length), which is written down, and once for the rows that are kept.
+    """
     n = records.count()
-    key = T.normalized_key(F.col(text))
-    unique = D.first_of_each(records, key, order)
-    kept = B.split_by_entity(unique, F.array(T.lower_key(F.col(entity)))).filter("split != 'conflict'")
-    rates = {r.level: r.rate for r in D.duplicate_rates(kept, {"exact": F.col(text), "normalized": key, "numeric": T.numeric_skeleton_key(F.col(text))}).collect()}
-    total = max(1, kept.count())
-    leaked = D.leakage(kept, entity).count()
-    top = kept.groupBy(template).count().agg(F.max("count")).first()[0] or 0
-    long_share = kept.agg(F.avg((T.length_bucket(F.col(text)) == "long").cast("int"))).first()[0]
-    summary = {"n_rows": total, "exact_dup_rate": rates.get("exact"), "normalized_dup_rate": rates.get("normalized"), "numeric_dup_rate": rates.get("numeric"), "leakage_ratio": leaked / max(1, kept.select(entity).distinct().count()), "unique_ratio": total / max(1, n), "top_template_share": top / total, "long_share": long_share}
+    hashed = lambda c: F.sha2(c, 256)
+    key = hashed(T.normalized_key(F.col(text)))
+    facts = records.select(F.col(order).alias("order"), F.col(entity).alias("entity"), F.col(template).alias("template"), hashed(F.col(text)).alias("exact"), key.alias("normalized"), hashed(T.numeric_skeleton_key(F.col(text))).alias("numeric"), (T.length_bucket(F.col(text)) == "long").cast("int").alias("long"))
+    split = lambda rows, name: B.split_by_entity(rows, F.array(T.lower_key(F.col(name)))).filter("split != 'conflict'")
+    kept = split(D.first_of_each(records, key, order), entity)
+    known = checkpointed(split(D.first_of_each(facts, F.col("normalized"), "order"), "entity"))
+    rates = {r.level: r.rate for r in D.duplicate_rates(known, {c: F.col(c) for c in ("exact", "normalized", "numeric")}).collect()}
+    leaked = D.leakage(known, "entity").count()
+    top = known.groupBy("template").count().agg(F.max("count")).first()[0] or 0
+    rows, long_share = known.agg(F.count("*"), F.avg("long")).first()
+    total = max(1, rows)
+    summary = {"n_rows": total, "exact_dup_rate": rates.get("exact"), "normalized_dup_rate": rates.get("normalized"), "numeric_dup_rate": rates.get("numeric"), "leakage_ratio": leaked / max(1, known.select("entity").distinct().count()), "unique_ratio": total / max(1, n), "top_template_share": top / total, "long_share": long_share}
     return kept, summary | D.gate(summary)
 
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cantoria.functions import dates as Dt
+from cantoria.operators import dedup as D
 from cantoria.operators import labels as L
 from cantoria.plans import flows
 
@@ -72,6 +73,34 @@ def test_flows(spark, tmp_path):
     assert kept.count() == 50 and not verdict["passed"] and verdict["exact_dup_rate"] == 0
 
 
+def test_records_flow_reads_texts_twice(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def said(i):
+        reads.add(1)
+        return f"Take  the {'second' if i % 2 else i % 30} road{'.' * (i % 3)}"
+
+    texts = [f"Take  the {'second' if i % 2 else i % 30} road{'.' * (i % 3)}" for i in range(120)]
+    rows = spark.range(120).select("id", said("id").alias("text"), F.concat(F.lit("e"), F.col("id") % 7).alias("entity"), F.when(F.col("id") % 2 == 0, "t1").alias("template"))
+    kept, verdict = flows.records_flow(rows, "id", "text", "entity", "template")
+    found = {r.id: r for r in kept.collect()}
+    assert reads.value <= 240
+    first = {}
+    for i, t in enumerate(texts):
+        first.setdefault(" ".join(t.lower().replace(".", "").split()), i)
+    assert set(found) == set(first.values()) and all((r.text, r.entity, r.template) == (texts[i], f"e{i % 7}", None if i % 2 else "t1") for i, r in found.items())
+    n = len(first)
+    assert (verdict["n_rows"], verdict["unique_ratio"], verdict["exact_dup_rate"], verdict["normalized_dup_rate"], verdict["leakage_ratio"], verdict["long_share"]) == (n, n / 120, 0.0, 0.0, 0.0, 0.0)
+    assert verdict["numeric_dup_rate"] == (n - 1) / n and verdict["top_template_share"] == max(sum(i % 2 == x for i in found) for x in (0, 1)) / n
+
+
+def test_first_of_each_gives_whole_rows_of_tied_order(spark):
+    rows = [(i % 5, i % 2, i, f"x{i}") for i in range(400)]
+    out = D.first_of_each(spark.createDataFrame(rows, "k int, o int, a int, b string").repartition(7), F.col("k"), "o").collect()
+    assert len(out) == 5 and all(r.o == 0 and tuple(r) in rows for r in out)
+
+
 def test_words_of_turns(spark):
     from cantoria.operators import joins as J
 
