@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import checkpointed, written
 
 BEGIN, END, UNKNOWN = "<s>", "</s>", "<unk>"
 #: log10 of nothing, as ARPA files write it.
@@ -28,7 +28,7 @@ def _n(gram: Column) -> Column:
 
 def _history(gram: Column) -> Column:
     """All words but the last; of one word, the empty text."""
-    return F.regexp_replace(gram, r" ?[^ ]*$", "")
+    return gram.substr(F.lit(1), F.greatest(F.length(gram) - F.length(_word(gram)) - 1, F.lit(0)))
 
 
 def _word(gram: Column) -> Column:
@@ -37,21 +37,26 @@ def _word(gram: Column) -> Column:
 
 def _suffix(gram: Column) -> Column:
     """All words but the first; of one word, the empty text."""
-    return F.when(F.instr(gram, " ") > 0, F.regexp_replace(gram, r"^[^ ]* ", "")).otherwise("")
+    return F.when(F.instr(gram, " ") > 0, gram.substr(F.instr(gram, " ") + 1, F.length(gram))).otherwise("")
+
+
+def _own(model: DataFrame) -> Column:
+    return F.when(model["log10p"] > NEVER, F.pow(F.lit(10.0), model["log10p"])).otherwise(0.0)
 
 
 def scored(model: DataFrame, grams: DataFrame, order: int) -> DataFrame:
     """Distinct `ngram`s -> (ngram, p): what the model says of the last word after the others; 0 for words it doesn't have."""
-    known = model.select(F.col("ngram").alias("have"), F.when(F.col("log10p") > NEVER, F.pow(F.lit(10.0), F.col("log10p"))).otherwise(0.0).alias("own"))
+    known = model.select("order", F.col("ngram").alias("have"), _own(model).alias("own"))
     weights = model.filter(F.col("backoff").isNotNull()).select(F.col("ngram").alias("history"), F.pow(F.lit(10.0), F.col("backoff")).alias("weight"))
     open_ = grams.select("ngram").distinct().withColumns({"left": F.col("ngram"), "times": F.lit(1.0), "p": F.lit(None).cast("double")})
     for n in range(order, 0, -1):
-        found = open_.join(known, (F.col("left") == F.col("have")) & F.col("p").isNull(), "left").drop("have")
+        found = open_.join(known.filter(F.col("order") <= n).drop("order"), (F.col("left") == F.col("have")) & F.col("p").isNull(), "left").drop("have")
         found = found.withColumn("p", F.coalesce("p", F.col("times") * F.col("own"))).drop("own")
         if n == 1:
             return found.select("ngram", F.coalesce("p", F.lit(0.0)).alias("p"))
         longer = F.col("p").isNull() & (_n(F.col("left")) == n)
-        open_ = found.withColumn("h", F.when(longer, _history(F.col("left")))).join(weights, F.col("h") == F.col("history"), "left")
+        # what is found meets nothing, by keys of its own: nulls would all go to one task
+        open_ = found.withColumn("h", F.when(longer, _history(F.col("left"))).otherwise(F.concat(F.lit(" "), "ngram"))).join(weights, F.col("h") == F.col("history"), "left")
         open_ = open_.select("ngram", F.when(longer, _suffix(F.col("left"))).otherwise(F.col("left")).alias("left"), F.when(longer, F.col("times") * F.coalesce("weight", F.lit(1.0))).otherwise(F.col("times")).alias("times"), "p")
     raise ValueError("the order must be 1 at least")
 
@@ -61,7 +66,7 @@ def _with_backoff(levels: dict[int, DataFrame]) -> DataFrame:
     model = None
     top = max(levels)
     for n in range(1, top + 1):
-        own = levels[n].select("ngram", "p")
+        own = written(levels[n].select("ngram", "p"))
         log = F.when(F.col("p") > 0, F.log10("p")).otherwise(NEVER)
         if n > 1:
             # what the levels below say of the same words without the first one
@@ -69,10 +74,9 @@ def _with_backoff(levels: dict[int, DataFrame]) -> DataFrame:
             left = own.withColumn("suffix", _suffix(F.col("ngram"))).join(lower, "suffix").groupBy(_history(F.col("ngram")).alias("h")).agg((1 - F.sum("p")).alias("own_left"), (1 - F.sum("lower")).alias("lower_left"))
             weight = F.when((F.col("own_left") > LEAST) & (F.col("lower_left") > LEAST), F.log10(F.col("own_left") / F.col("lower_left"))).otherwise(NEVER)
             below = model.join(left.select(F.col("h").alias("ngram"), weight.alias("w")), "ngram", "left").select("order", "log10p", "ngram", F.coalesce("w", "backoff").alias("backoff"))
-            model = below.unionByName(own.select(F.lit(n).alias("order"), log.alias("log10p"), "ngram", F.lit(None).cast("double").alias("backoff")))
+            model = written(below).unionByName(own.select(F.lit(n).alias("order"), log.alias("log10p"), "ngram", F.lit(None).cast("double").alias("backoff")))
         else:
             model = own.select(F.lit(1).alias("order"), log.alias("log10p"), "ngram", F.lit(None).cast("double").alias("backoff"))
-        model = checkpointed(model)
     return model
 
 
@@ -84,9 +88,10 @@ def estimated(counts: DataFrame, order: int) -> DataFrame:
     """
     levels = {}
     for n in range(1, order + 1):
-        seen = counts.filter((F.col("n") == n) & (_word(F.col("ngram")) != BEGIN)).select("ngram", "count", _history(F.col("ngram")).alias("h"))
+        seen = written(counts.filter((F.col("n") == n) & (_word(F.col("ngram")) != BEGIN)).select("ngram", "count", _history(F.col("ngram")).alias("h")))
         of = seen.groupBy("h").agg(F.sum("count").alias("c"), F.count("*").alias("kinds"))
-        levels[n] = seen.join(of, "h").select("ngram", (F.col("count") / (F.col("c") + F.col("kinds"))).alias("p"))
+        # all single words have one history
+        levels[n] = seen.join(F.broadcast(of) if n == 1 else of, "h").select("ngram", (F.col("count") / (F.col("c") + F.col("kinds"))).alias("p"))
         if n == 1:
             rest = of.select(F.lit(UNKNOWN).alias("ngram"), (F.col("kinds") / (F.col("c") + F.col("kinds"))).alias("p"))
             begin = counts.sparkSession.createDataFrame([(BEGIN, 0.0)], "ngram string, p double")
@@ -103,14 +108,21 @@ def merged(first: DataFrame, second: DataFrame, order: int, alpha: float = 1.0,
     if alpha < 0 or beta < 0 or alpha + beta <= 0:
         raise ValueError("weights must not be negative, nor both zero")
     levels = {}
-    histories = [m.filter("backoff is not null").select(F.col("ngram").alias("h"), F.lit(w).alias(name)) for m, name, w in ((first, "a", alpha), (second, "b", beta))]
+    models = (("a", first, alpha), ("b", second, beta))
+    weights = [m.filter("backoff is not null").select(F.col("ngram").alias("h"), F.pow(F.lit(10.0), F.col("backoff")).alias(f"w{x}")) for x, m, _ in models]
+    histories = weights[0].join(weights[1], "h", "full")
     for n in range(1, order + 1):
-        both = first.filter(F.col("order") == n).select("ngram").unionByName(second.filter(F.col("order") == n).select("ngram")).distinct()
-        said = reduce(lambda df, m: df.join(scored(m[0], both, n).withColumnRenamed("p", m[1]), "ngram"), ((first, "pa"), (second, "pb")), both)
+        level = [m.filter(F.col("order") == n).select("ngram", *((_own(m) if y == x else F.lit(None).cast("double")).alias(f"p{y}") for y in "ab")) for x, m, _ in models]
+        grams = level[0].unionByName(level[1])
+        said = grams.groupBy("ngram").agg(F.max("pa").alias("pa"), F.max("pb").alias("pb"))
         if n == 1:
-            said = said.withColumns({"a": F.lit(alpha), "b": F.lit(beta)})
+            said = said.na.fill(0.0, ["pa", "pb"]).withColumns({"a": F.lit(alpha), "b": F.lit(beta)})
         else:
-            said = reduce(lambda df, h: df.join(h, "h", "left"), histories, said.withColumn("h", _history(F.col("ngram")))).na.fill(0.0, ["a", "b"])
+            # a gram that a model hasn't: its history's weight times what the model says without the first word
+            ends = grams.select(_suffix(F.col("ngram")).alias("ngram")).distinct()
+            lower = reduce(lambda x, y: x.join(y, "ngram"), (scored(m, ends, n - 1).withColumnRenamed("p", f"l{x}") for x, m, _ in models)).withColumnRenamed("ngram", "suffix")
+            said = said.withColumns({"h": _history(F.col("ngram")), "suffix": _suffix(F.col("ngram"))}).join(histories, "h", "left").join(lower, "suffix")
+            said = said.select("ngram", *(F.coalesce(f"p{x}", F.coalesce(f"w{x}", F.lit(1.0)) * F.col(f"l{x}")).alias(f"p{x}") for x in "ab"), *(F.when(F.col(f"w{x}").isNotNull(), w).otherwise(0.0).alias(x) for x, _, w in models))
         whole = F.col("a") + F.col("b")
         # a history that only a model of weight zero has keeps that model's word
         mixed = F.when(whole > 0, (F.col("a") * F.col("pa") + F.col("b") * F.col("pb")) / whole).otherwise(F.greatest("pa", "pb"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import weakref
 import zipfile
 from pathlib import Path
@@ -68,6 +69,13 @@ def checkpointed(df, eager: bool = True):
     return df.checkpoint(eager)
 
 
+def written(df):
+    """The rows as Parquet in the shared folder, for what is read several times: made once, where a checkpoint makes its last stage twice, and by columns."""
+    path = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df, *columns):
     """Dealt by the columns over as many tasks as the session shuffles to, four a core at least: for rows that are small and work that isn't, which adaptive execution would put into a few tasks."""
     spark = df.sparkSession

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -96,6 +97,16 @@ def test_estimates_merges_and_perplexity(spark, tmp_path, order):
     assert lines[0] == "\\data\\" and [x for x in lines if x][-1] == "\\end\\" and f"\\{order}-grams:" in lines
 
 
+def test_very_long_words(spark):
+    lines = ["a " + "b" * 100_000 + " a b", "c " + "b" * 100_000]
+    mixed, plain = model(spark, lines, 2), estimate(lines, 2)
+    began = time.time()
+    r = L.perplexity(mixed, spark.createDataFrame([(t,) for t in lines], "text string"), "text", 2).first()
+    assert time.time() - began < 20
+    w = [["<s>", *t.split(" "), "</s>"] for t in lines]
+    assert r.unknown == 0 and math.isclose(r.log10p, sum(math.log10(plain.of((s[i - 1], s[i]))) for s in w for i in range(1, len(s))), rel_tol=1e-6)
+
+
 def test_weights_are_checked(spark):
     m = model(spark, ["a"], 1)
     for bad in ((-1, 2), (0, 0)):
