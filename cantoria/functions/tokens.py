@@ -157,7 +157,7 @@ def ngram_counts(df: DataFrame, text: str, order: int, prune: int = 0) -> DataFr
     out = None
     for n in range(1, order + 1):
         grams = _windows(F.col("t"), n)
-        part = base.filter(F.size("t") >= n).select(F.explode(grams).alias("ngram")).groupBy("ngram").agg(F.count("*").alias("count")).filter(F.col("count") > prune).select(F.lit(n).alias("n"), "ngram", "count")
+        part = base.select(F.explode(F.when(F.size("t") >= n, grams)).alias("ngram")).groupBy("ngram").agg(F.count("*").alias("count")).filter(F.col("count") > prune).select(F.lit(n).alias("n"), "ngram", "count")
         out = part if out is None else out.unionByName(part)
     return out
 

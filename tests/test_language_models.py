@@ -6,6 +6,7 @@ import time
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from cantoria.functions import tokens as Tk
 from cantoria.operators import language_models as L
@@ -97,6 +98,25 @@ def test_estimates_merges_and_perplexity(spark, tmp_path, order):
     assert lines[0] == "\\data\\" and [x for x in lines if x][-1] == "\\end\\" and f"\\{order}-grams:" in lines
 
 
+def counting(spark, lines):
+    """Texts that count how often they are read."""
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def said(i):
+        reads.add(1)
+        return lines[i]
+
+    return spark.range(len(lines)).select(said("id").alias("text")), reads
+
+
+def test_texts_are_read_once_for_each_level_of_a_model(spark):
+    (a, reads_a), (b, reads_b) = (counting(spark, texts(seed)) for seed in (1, 2))
+    mixed = L.merged(L.estimated(Tk.ngram_counts(a, "text", 2), 2), L.estimated(Tk.ngram_counts(b, "text", 2), 2), 2, 0.7, 0.3)
+    same(mixed.collect(), merge(estimate(texts(1), 2), estimate(texts(2), 2), 2, 0.7, 0.3))
+    assert (reads_a.value, reads_b.value) == (60, 60)
+
+
 def test_very_long_words(spark):
     lines = ["a " + "b" * 100_000 + " a b", "c " + "b" * 100_000]
     mixed, plain = model(spark, lines, 2), estimate(lines, 2)
