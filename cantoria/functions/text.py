@@ -112,9 +112,14 @@ def stable_hash_mod(text: Column, modulus: int) -> Column:
     return out
 
 
+#: The space and those beyond ASCII.
+SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
+
 def word_count(text: Column) -> Column:
-    """Words between blanks; null and blank texts have none."""
-    return F.when(F.trim(F.coalesce(text, F.lit(""))) == "", 0).otherwise(F.size(F.split(collapsed(text), " "))).cast("long")
+    """Words between blanks; null and blank texts have none. Spaces beyond ASCII part no words, but none begins or ends a text."""
+    inner = F.btrim(F.regexp_replace(text, r"[ \t\n\f\r]+", " "), F.lit(SPACES))
+    return F.when(F.coalesce(text, F.lit("")).rlike(rf"\A[{SPACES}]*\z"), 0).otherwise(F.size(F.split(inner, " "))).cast("long")
 
 
 def length_bucket(text: Column, short_most: int = 8, long_least: int = 18) -> Column:

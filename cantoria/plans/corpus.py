@@ -55,7 +55,8 @@ def filter_optional_label(spark, sf_dir):
 
 @query(f"SELECT doc_id FROM documents WHERE {WORDS} / (n_chars / 15.0) BETWEEN 1.5 AND 2.6")
 def filter_token_rate(spark, sf_dir):
-    df = manifest(spark, sf_dir).withColumn("n_tokens", T.word_count(F.col("text")))
+    """Here all rows are utterances, so those without a duration go."""
+    df = manifest(spark, sf_dir).filter(F.col("duration").isNotNull()).withColumn("n_tokens", T.word_count(F.col("text")))
     return X.by_token_rate(df, 1.5, 2.6).select("doc_id")
 
 
